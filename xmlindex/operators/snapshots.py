@@ -7,7 +7,7 @@ compares checksums only; record text is fetched for the records that changed.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 DOCUMENT_KEY = ["index_name", "doc_key"]
 RECORD_KEY = ["index_name", "doc_key", "node_key"]
@@ -36,17 +36,16 @@ def latest_timestamps(snapshots: DataFrame, before: Column | None = None) -> Dat
 def previous_timestamps(snapshots: DataFrame) -> DataFrame:
     """The time before the newest, per document that has one.
 
-    `max` over structs of (time, marker) would not see the second; two passes of partial
-    aggregation do, and keep one row per document and time at most.
+    Times are made distinct first, and the filter on the row number lets Spark drop all but
+    two per document before the rows are exchanged.
     """
-    times = snapshots.groupBy(*DOCUMENT_KEY, "snapshot_ts").agg(F.lit(1).alias("_"))
-    newest = F.max_by("snapshot_ts", "snapshot_ts")
-    top = times.groupBy(*DOCUMENT_KEY).agg(newest.alias("newest"))
+    newest_first = Window.partitionBy(*DOCUMENT_KEY).orderBy(F.desc("snapshot_ts"))
     return (
-        times.join(top, DOCUMENT_KEY)
-        .where("snapshot_ts < newest")
-        .groupBy(*DOCUMENT_KEY)
-        .agg(F.max("snapshot_ts").alias("snapshot_ts"))
+        snapshots.select(*DOCUMENT_KEY, "snapshot_ts").distinct()
+        .withColumn("rn", F.row_number().over(newest_first))
+        .where("rn <= 2")
+        .where("rn = 2")
+        .drop("rn")
     )
 
 

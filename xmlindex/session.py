@@ -77,13 +77,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def join_small(df: DataFrame, small: DataFrame, on: list[str], how: str) -> DataFrame:
-    """Join `df` with a side expected to be small.
+def small_side(df: DataFrame) -> DataFrame:
+    """`df` marked for broadcast if a count confirms it is small, else unchanged.
 
-    The side is counted up to the limit first; beyond the limit the join is left to the
-    planner, which shuffles both sides and splits skewed partitions.
+    Beyond the limit the join is left to the planner, which shuffles both sides and splits
+    skewed partitions.
     """
     from pyspark.sql import functions as F
 
-    within = small.limit(BROADCAST_ROW_LIMIT + 1).count() <= BROADCAST_ROW_LIMIT
-    return df.join(F.broadcast(small) if within else small, on, how)
+    within = df.limit(BROADCAST_ROW_LIMIT + 1).count() <= BROADCAST_ROW_LIMIT
+    return F.broadcast(df) if within else df
+
+
+def join_small(df: DataFrame, small: DataFrame, on: list[str], how: str) -> DataFrame:
+    return df.join(small_side(small), on, how)
