@@ -229,9 +229,9 @@ def extract_records(
     return build_records(shredded, configs, mode, drop_empty)
 
 
-def processed_documents(shredded: DataFrame, configs: list[CollectionConfig]) -> DataFrame:
-    """(index, document) pairs seen, with their document key, whether or not they gave a record."""
-    slots = shredded.sparkSession.createDataFrame(
+def index_table(spark: SparkSession, configs: list[CollectionConfig]) -> DataFrame:
+    """One row per configured index, with the slot its document id is found in."""
+    return spark.createDataFrame(
         [
             (config_no, index.name, 2 * index_no + 1 if index.document_id else None)
             for config_no, config in enumerate(configs)
@@ -239,9 +239,23 @@ def processed_documents(shredded: DataFrame, configs: list[CollectionConfig]) ->
         ],
         "config_no int, index_name string, document_id_slot int",
     )
+
+
+def skipped_documents(shredded: DataFrame, configs: list[CollectionConfig]) -> DataFrame:
+    """(index, document) pairs left out because the document is not well-formed."""
+    indexes = F.broadcast(index_table(shredded.sparkSession, configs))
+    return (
+        shredded.where("error is not null")
+        .join(indexes, "config_no")
+        .select("index_name", "collection", "collection_id", "document_id", "error")
+    )
+
+
+def processed_documents(shredded: DataFrame, configs: list[CollectionConfig]) -> DataFrame:
+    """(index, document) pairs seen, with their document key, whether or not they gave a record."""
     return (
         shredded.where("scope is null and error is null")
-        .join(F.broadcast(slots), "config_no")
+        .join(F.broadcast(index_table(shredded.sparkSession, configs)), "config_no")
         .select(
             "index_name", "collection", "collection_id", "document_id",
             R.doc_key(

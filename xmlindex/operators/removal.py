@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from xmlindex.config import CollectionConfig
-from xmlindex.functions.paths import in_collection_tree
-from xmlindex.operators.extract import resolve_config
+from xmlindex.functions.paths import ancestors, in_collection_tree
+from xmlindex.operators.extract import index_table, resolve_config
 from xmlindex.operators.snapshots import DOCUMENT_KEY
 from xmlindex.operators.sync import TREE_KEY, in_trees, valid_records
 from xmlindex.session import join_small
@@ -18,10 +18,7 @@ def removal_scope(requests: DataFrame, configs: list[CollectionConfig]) -> DataF
     Requests made by a re-index are left out (the snapshot difference deals with them), and
     so are collections without a configuration.
     """
-    indexes = requests.sparkSession.createDataFrame(
-        [(n, index.name) for n, config in enumerate(configs) for index in config.indexes],
-        "config_no int, index_name string",
-    )
+    indexes = index_table(requests.sparkSession, configs).drop("document_id_slot")
     return (
         resolve_config(requests.where("not reindex"), configs)
         .join(F.broadcast(indexes), "config_no")
@@ -53,14 +50,10 @@ def covered_by_removal(events: DataFrame, removals: DataFrame) -> DataFrame:
     Both have `sequence`; `removals` names its `tree`. Only distinct collections are matched
     with trees, so the documents themselves are joined with a small table once.
     """
-    named = events.withColumn("index_name", F.lit(""))
-    trees = removals.select(F.lit("").alias("index_name"), "tree", "sequence")
-    from xmlindex.functions.paths import ancestors
-
     last = (
-        named.select("collection").distinct()
+        events.select("collection").distinct()
         .select("collection", F.explode(ancestors("collection")).alias("tree"))
-        .join(trees.groupBy("tree").agg(F.max("sequence").alias("removed_at")), "tree")
+        .join(removals.groupBy("tree").agg(F.max("sequence").alias("removed_at")), "tree")
         .groupBy("collection")
         .agg(F.max("removed_at").alias("removed_at"))
     )

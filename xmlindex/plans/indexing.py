@@ -11,14 +11,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from xmlindex.functions.paths import in_collection_tree
 from xmlindex.operators.batches import assemble_batches, plan_batches
-from xmlindex.operators.extract import build_records, processed_documents, resolve_config
+from xmlindex.operators.extract import build_records, processed_documents, resolve_config, skipped_documents
 from xmlindex.operators.removal import document_removals, tombstones
 from xmlindex.operators.shred import shred_documents
 from xmlindex.operators.snapshots import DOCUMENT_KEY, RECORD_KEY, dedup_last_write, diff_snapshots
 from xmlindex.operators.status import BATCH_WRITE, DEGRADED, DOCUMENT_DELETE, outcome_events, status_gate
 from xmlindex.operators.sync import in_trees
 from xmlindex.plans.job import Job
-from xmlindex.session import materialize
+from xmlindex.session import Staging, materialize
 from xmlindex.sources.snapshots import snapshot_rows
 
 _GROUP = ("index_name", "doc_key")
@@ -50,32 +50,39 @@ def publish_changes(job: Job, changes: DataFrame, commit: str) -> DataFrame:
 def index_documents(
     job: Job, documents: DataFrame, commit: str, snapshot_ts: int | None = None, on_malformed: str = "fail"
 ) -> DataFrame:
-    """Bring the index up to date with `documents`; returns one outcome per changed document."""
-    snapshot_ts = job.now_millis() if snapshot_ts is None else snapshot_ts
-    shredded = materialize(
-        shred_documents(resolve_config(documents, job.configs), job.configs, on_malformed), "shredded"
-    )
-    processed = processed_documents(shredded, job.configs)
-    records = materialize(
-        snapshot_rows(build_records(shredded, job.configs), snapshot_ts)
-        .withColumn("written", F.monotonically_increasing_id()),
-        "records",
-    )
-    slim = records.drop("record_json", "snapshot_ts", "user_document_id")
-    current = materialize(dedup_last_write(slim, RECORD_KEY, "written"), "current")
-    previous = job.store.latest_of(processed, without_commit=commit)
-    changes = materialize(without_moved(diff_snapshots(previous, current)), "changes")
+    """Bring the index up to date with `documents`; returns one outcome per changed document.
 
-    winners = records.join(current.select("written"), "written", "left_semi").drop("written")
-    texts = winners.select(*RECORD_KEY, "record_json")
-    upserts = changes.where("op <> 'delete'").join(texts, RECORD_KEY)
-    deletes = changes.where("op = 'delete'").withColumn("record_json", F.lit(None).cast("string"))
-    outcomes = materialize(publish_changes(job, upserts.unionByName(deletes), commit), "documents")
-
-    accepted = outcomes.where("state = 'current'").select(*DOCUMENT_KEY)
-    _remember(job, winners, changes, accepted, commit, snapshot_ts)
-    _spare_from_removal(job, processed)
-    job.record(_indexing_events(job, processed, previous, current, changes, outcomes))
+    Documents that are not well-formed keep their stored records; with `on_malformed="skip"`
+    they degrade the status of their collection instead of ending the run.
+    """
+    snapshot_ts = job.now_millis() if snapshot_ts is None else snapshot_ts
+    with Staging() as staging:
+        shredded = staging.write(
+            shred_documents(resolve_config(documents, job.configs), job.configs, on_malformed), "shredded"
+        )
+        processed = processed_documents(shredded, job.configs)
+        records = staging.write(
+            snapshot_rows(build_records(shredded, job.configs), snapshot_ts)
+            .withColumn("written", F.monotonically_increasing_id()),
+            "records",
+        )
+        # Deciding what changed moves keys and checksums only; record text is joined afterwards.
+        slim = records.drop("record_json", "snapshot_ts", "user_document_id")
+        current = staging.write(dedup_last_write(slim, RECORD_KEY, "written"), "current")
+        previous = job.store.latest_of(processed, without_commit=commit)
+        changes = staging.write(without_moved(diff_snapshots(previous, current)), "changes")
+
+        winners = records.join(current.select("written"), "written", "left_semi").drop("written")
+        texts = winners.select(*RECORD_KEY, "record_json")
+        upserts = changes.where("op <> 'delete'").join(texts, RECORD_KEY)
+        deletes = changes.where("op = 'delete'").withColumn("record_json", F.lit(None).cast("string"))
+        outcomes = materialize(publish_changes(job, upserts.unionByName(deletes), commit), "documents")
+
+        accepted = outcomes.where("state = 'current'").select(*DOCUMENT_KEY)
+        _remember(job, winners, changes, accepted, commit, snapshot_ts)
+        _spare_from_removal(job, processed)
+        skipped = skipped_documents(shredded, job.configs)
+        job.record(_indexing_events(job, processed, skipped, changes, outcomes))
     return outcomes
 
 
@@ -98,8 +105,8 @@ def _spare_from_removal(job: Job, processed: DataFrame) -> None:
     job.pending.write(job.pending.read().unionByName(spared))
 
 
-def _indexing_events(job: Job, processed: DataFrame, previous: DataFrame, current: DataFrame,
-                     changes: DataFrame, outcomes: DataFrame) -> DataFrame:
+def _indexing_events(job: Job, processed: DataFrame, skipped: DataFrame, changes: DataFrame,
+                     outcomes: DataFrame) -> DataFrame:
     """Status of every collection the run touched, also by documents without changes."""
     collections = (
         changes.where("op <> 'delete'").select(*DOCUMENT_KEY, "collection")
@@ -113,7 +120,14 @@ def _indexing_events(job: Job, processed: DataFrame, previous: DataFrame, curren
         F.coalesce("object_count", F.lit(0)).alias("object_count"),
         "failure_class", "failure_message",
     )
-    return outcome_events(rows, BATCH_WRITE, job.now_text(), job.now_millis())
+    malformed = skipped.select(
+        "index_name", "collection",
+        F.lit(DEGRADED).alias("state"),
+        F.lit(0).cast("bigint").alias("object_count"),
+        F.lit("MalformedDocument").alias("failure_class"),
+        F.concat_ws(": ", F.col("document_id").cast("string"), "error").alias("failure_message"),
+    )
+    return outcome_events(rows.unionByName(malformed), BATCH_WRITE, job.now_text(), job.now_millis())
 
 
 def remove_documents(job: Job, documents: DataFrame, commit: str, snapshot_ts: int | None = None) -> DataFrame:

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from xmlindex.functions.paths import in_collection_tree
 from xmlindex.operators.batches import assemble_batches, plan_batches
 from xmlindex.operators.removal import removal_candidates, stale_removals, tombstones
 from xmlindex.operators.snapshots import DOCUMENT_KEY
 from xmlindex.operators.status import (
-    COLLECTION_DELETE, CURRENT, DEGRADED, INDEX_DROP, STATUS_KEY, outcome_events, stale_events,
+    COLLECTION_DELETE, CURRENT, DEGRADED, INDEX_DROP, outcome_events, stale_events,
 )
 from xmlindex.operators.sync import TREE_KEY, in_trees
 from xmlindex.plans.job import Job
@@ -76,11 +75,6 @@ def remove_collections(job: Job, requests: DataFrame, commit: str, snapshot_ts:
     return flush_removals(job, commit, snapshot_ts)
 
 
-def stored_tree(job: Job, tree: str) -> DataFrame:
-    """Newest stored records of a collection tree."""
-    return job.store.latest().where(in_collection_tree("collection", tree))
-
-
 def drop_index(job: Job, index_name: str) -> None:
     """Delete an index and all that is stored about it."""
     try:
@@ -97,5 +91,3 @@ def drop_index(job: Job, index_name: str) -> None:
     if state == CURRENT:
         job.store.drop_index(index_name)
 
-
-__all__ = ["request_removals", "flush_removals", "remove_collections", "stored_tree", "drop_index", "STATUS_KEY"]

@@ -37,14 +37,20 @@ def replay_batches(plan: DataFrame, size: int = REPLAY_BATCH_SIZE) -> DataFrame:
     that does both (2), all that add only (3).
     """
     placed = with_positions(plan, "index_name", "action_rank", "object_id")
-    chunked = placed.withColumn("chunk", F.floor((F.col("position") - 1) / size).cast("long") + 1)
-    group = ("index_name",)
+    first = placed.groupBy("index_name").agg(
+        F.min("position").alias("first"), F.count("*").alias("operations")
+    )
+    chunk = F.floor((F.col("position") - F.col("first")) / size).cast("long") + 1
+    chunked = (
+        placed.join(first, "index_name")
+        .withColumn("chunk", chunk)
+        .withColumn("total_chunks", F.floor((F.col("operations") - 1) / size).cast("long") + 1)
+    )
     ranks = chunked.groupBy("index_name", "chunk").agg(
         F.min("action_rank").alias("low"), F.max("action_rank").alias("high")
     )
-    total = chunked.groupBy("index_name").agg(F.max("chunk").alias("total_chunks"))
-    bodies = assemble_batches(chunked.join(F.broadcast(total), "index_name"), group)
     phase = F.when(F.col("low") != F.col("high"), 2).when(F.col("low") == 1, 1).otherwise(3)
+    bodies = assemble_batches(chunked, ("index_name",))
     return bodies.join(ranks, ["index_name", "chunk"]).withColumn("phase", phase).drop("low", "high")
 
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +34,18 @@ def build_session(app_name: str = "xmlindex", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of the session, once."""
+    sc = spark.sparkContext
+    if getattr(sc, "_xmlindex_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    with tempfile.TemporaryDirectory() as folder:
+        archive = shutil.make_archive(f"{folder}/xmlindex", "zip", package.parent, package.name)
+        sc.addPyFile(archive)
+    sc._xmlindex_shipped = True
+
+
 def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
@@ -77,6 +91,29 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+class Staging:
+    """Intermediate results of one flow, deleted when it ends."""
+
+    def __init__(self) -> None:
+        self._written: list[tuple[SparkSession, str]] = []
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def write(self, df: DataFrame, label: str) -> DataFrame:
+        spark = df.sparkSession
+        path = staging_path(spark, label)
+        self._written.append((spark, path))
+        df.write.mode("errorifexists").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, *_error) -> None:
+        from xmlindex.sources.files import delete
+
+        for spark, path in self._written:
+            delete(spark, path)
+
+
 def small_side(df: DataFrame) -> DataFrame:
     """`df` marked for broadcast if a count confirms it is small, else unchanged.
 

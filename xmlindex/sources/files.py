@@ -39,3 +39,8 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.write(text.encode("utf-8"))
     finally:
         stream.close()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder this package wrote."""
+    _system(spark, path).delete(_path(spark, path), True)

@@ -12,13 +12,12 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from xmlindex.functions.records import doc_key
+from xmlindex.operators.extract import index_table, resolve_config
 from xmlindex.operators.removal import covered_by_removal, removal_scope
-from xmlindex.operators.extract import resolve_config
-from xmlindex.operators.sync import in_trees
 from xmlindex.plans.indexing import index_documents, remove_documents
 from xmlindex.plans.job import Job
 from xmlindex.plans.removing import flush_removals, request_removals
-from xmlindex.session import materialize
+from xmlindex.session import Staging
 
 UPSERT, DELETE, REMOVE_COLLECTION = "upsert", "delete", "remove_collection"
 
@@ -41,30 +40,28 @@ def surviving_events(events: DataFrame) -> DataFrame:
 def apply_events(job: Job, events: DataFrame, commit: str, snapshot_ts: int | None = None) -> None:
     """One batch: collections are removed first, then what came after them is applied."""
     snapshot_ts = job.now_millis() if snapshot_ts is None else snapshot_ts
-    events = materialize(events, "events")
-    kept = surviving_events(events)
-    upserts = kept.where(F.col("op") == UPSERT)
-    deletes = kept.where(F.col("op") == DELETE)
-
-    removals = events.where(F.col("op") == REMOVE_COLLECTION).select("collection").distinct()
-    if not removals.isEmpty():
-        requests = removal_scope(removals.withColumn("reindex", F.lit(False)), job.configs)
-        request_removals(job, requests)
-    if not job.pending.requests().isEmpty():
-        flush_removals(job, f"{commit}-collections", snapshot_ts)
-    if not deletes.isEmpty():
-        remove_documents(job, _index_keys(job, deletes), f"{commit}-documents", snapshot_ts + 1)
-    if not upserts.isEmpty():
-        documents = upserts.select("collection", "collection_id", "document_id", "xml")
-        index_documents(job, documents, f"{commit}-upserts", snapshot_ts + 2, on_malformed="skip")
+    with Staging() as staging:
+        events = staging.write(events, "events")
+        kept = surviving_events(events)
+        upserts = kept.where(F.col("op") == UPSERT)
+        deletes = kept.where(F.col("op") == DELETE)
+
+        removals = events.where(F.col("op") == REMOVE_COLLECTION).select("collection").distinct()
+        if not removals.isEmpty():
+            requests = removal_scope(removals.withColumn("reindex", F.lit(False)), job.configs)
+            request_removals(job, requests)
+        if not job.pending.requests().isEmpty():
+            flush_removals(job, f"{commit}-collections", snapshot_ts)
+        if not deletes.isEmpty():
+            remove_documents(job, _index_keys(job, deletes), f"{commit}-documents", snapshot_ts + 1)
+        if not upserts.isEmpty():
+            documents = upserts.select("collection", "collection_id", "document_id", "xml")
+            index_documents(job, documents, f"{commit}-upserts", snapshot_ts + 2, on_malformed="skip")
 
 
 def _index_keys(job: Job, deletes: DataFrame) -> DataFrame:
     """(index, document key) of deleted documents, for every index of their collection."""
-    names = job.spark.createDataFrame(
-        [(n, index.name) for n, config in enumerate(job.configs) for index in config.indexes],
-        "config_no int, index_name string",
-    )
+    names = index_table(job.spark, job.configs)
     return (
         resolve_config(deletes.drop("xml"), job.configs)
         .join(F.broadcast(names), "config_no")
@@ -81,6 +78,3 @@ def start_incremental(job: Job, events: DataFrame, checkpoint: str, **trigger) -
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.start()
-
-
-__all__ = ["apply_events", "start_incremental", "surviving_events", "in_trees"]
