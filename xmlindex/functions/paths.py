@@ -66,8 +66,11 @@ def document_filter(document_id: Column | str, user_document_id: Column | str |
 
 
 def quoted_index_name(index_name: Column | str) -> Column:
-    """Index name as one URL path segment."""
-    return F.replace(F.url_encode(_column(index_name)), F.lit("+"), F.lit("%20"))
+    """Index name as one URL path segment: everything but letters, digits and `-._~` is quoted."""
+    quoted = F.url_encode(_column(index_name))
+    for plain, wanted in (("+", "%20"), ("*", "%2A"), ("%7E", "~")):
+        quoted = F.replace(quoted, F.lit(plain), F.lit(wanted))
+    return quoted
 
 
 def status_key(index_name: Column | str, collection: Column | str) -> Column:

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import os
-import shutil
 import tempfile
 import uuid
-from pathlib import Path
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
+import xmlindex
+
 # Rows a side may have before a broadcast join is no longer asked for.
 BROADCAST_ROW_LIMIT = 100_000
 
@@ -34,16 +35,12 @@ def build_session(app_name: str = "xmlindex", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers of the session, once."""
-    sc = spark.sparkContext
-    if getattr(sc, "_xmlindex_shipped", False):
-        return
-    package = Path(__file__).resolve().parent
-    with tempfile.TemporaryDirectory() as folder:
-        archive = shutil.make_archive(f"{folder}/xmlindex", "zip", package.parent, package.name)
-        sc.addPyFile(archive)
-    sc._xmlindex_shipped = True
+def ship_package() -> None:
+    """Send this package's functions to the Python workers with each task.
+
+    For sessions whose executors do not have the package installed.
+    """
+    cloudpickle.register_pickle_by_value(xmlindex)
 
 
 def is_local(spark: SparkSession) -> bool:
