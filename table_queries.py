@@ -20,7 +20,7 @@ from xmlindex.plans.indexing import index_documents, remove_documents
 from xmlindex.plans.job import Job
 from xmlindex.plans.removing import remove_collections
 from xmlindex.plans.repairing import replay_batches
-from xmlindex.session import ship_package, staging_path
+from xmlindex.session import ship_package, spread, staging_path
 from xmlindex.sources.documents import documents_from_table
 from xmlindex.streaming.incremental import start_incremental
 
@@ -247,7 +247,7 @@ def attribute(name: str, value: Column) -> Column:
 
 
 def document_xml(spark: SparkSession, sf_dir: str, *extra: Column, rows: DataFrame | None = None) -> DataFrame:
-    rows = table(spark, sf_dir, "documents") if rows is None else rows
+    rows = spread(table(spark, sf_dir, "documents")) if rows is None else rows
     lines = F.transform(
         F.split("text", "\n"),
         lambda line, n: F.concat(
@@ -290,7 +290,7 @@ lines AS (SELECT doc_id, lang, source, unnest(lines) AS line, unnest(range(1, le
 
 # Orders as XML, one document per row, typed fields.
 def order_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "orders")
+    rows = spread(table(spark, sf_dir, "orders"))
     xml = F.concat(
         F.lit("<?xml version='1.0'?><?order?><orders><order"),
         attribute("id", F.concat(F.lit("o"), F.col("o_orderkey").cast("string"))),
@@ -322,7 +322,7 @@ TYPED_ORDER = {"path": "/orders/order", "nodeId": "@id", "fields": [
 
 # Turns of conversations as XML, one document per row; user turns have an id.
 def turn_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "conversations")
+    rows = spread(table(spark, sf_dir, "conversations"))
     key = F.concat(F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string"))
     xml = F.concat(
         F.lit("<talk><turn"),
@@ -1031,7 +1031,7 @@ def _job(spark: SparkSession, *configs: CollectionConfig) -> Job:
 
 def _labelled_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with their quality as one more attribute, where it is known."""
-    rows = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    rows = spread(table(spark, sf_dir, "documents")).join(table(spark, sf_dir, "labels"), "doc_id", "left")
     quality = F.when(F.col("quality").isNotNull(), attribute("quality", F.col("quality").cast("string")))
     return document_xml(spark, sf_dir, F.coalesce(quality, F.lit("")), rows=rows)
 

@@ -40,8 +40,9 @@ SHRED_COLUMNS = (
 # Rows and text held before a batch is handed to the JVM.
 _BATCH_ROWS = 4096
 _BATCH_CHARS = 8 << 20
-# Distinct element paths remembered per task before the memo is started anew.
+# Distinct element paths, and names, remembered per task before old ones are dropped.
 _MEMO_LIMIT = 200_000
+_NAME_LIMIT = 20_000
 
 _CHECKS = pa.list_(pa.list_(pa.string()))
 _VALUE = pa.struct(
@@ -67,24 +68,40 @@ def scopes_of(configs: list[CollectionConfig]) -> list[tuple[int, int, IndexConf
 
 
 class _PathState:
-    """What is wanted at one element path; children are looked up by name."""
+    """What is wanted at one element path; children are looked up by the name expat gives."""
 
     __slots__ = (
-        "path", "children", "roots", "elements", "attributes", "doc_attributes", "doc_elements",
-        "doc_texts", "wants_text", "wants_object",
+        "path", "children", "roots", "elements", "attributes", "doc_attributes", "named",
+        "doc_elements", "doc_texts", "wants_text", "wants_object", "at_start", "at_end",
     )
 
     def __init__(self, path: tuple[str, ...]):
         self.path = path
         self.children: dict[str, _PathState] = {}
-        self.roots = []  # (scope, alignments, predicates)
-        self.elements = []  # (scope, root depth, field, alternative, is object, alignments, predicates)
-        self.attributes = {}  # name -> [(scope, root depth, field, alternative, alignments, predicates)]
+        self.roots = []  # (scope, root key, alignments, predicates)
+        self.elements = []  # (root key, field, alternative, is object, alignments, predicates)
+        self.attributes = {}  # name -> [(root key, field, alternative, alignments, predicates)]
         self.doc_attributes = {}  # name -> [slot]
+        self.named = {}  # expat name -> the two entries above
         self.doc_elements = []  # slots taking the text of the element
         self.doc_texts = []  # slots taking the first text run
         self.wants_text = False
         self.wants_object = False
+        self.at_start = False  # anything to do when such an element starts, or ends
+        self.at_end = False
+
+    def attribute(self, raw: str) -> tuple:
+        """(values, document slots) an attribute is wanted for."""
+        wanted = self.named.get(raw)
+        if wanted is None:
+            name = _split_name(raw)[0]
+            wanted = self.named[raw] = (self.attributes.get(name, ()), self.doc_attributes.get(name, ()))
+        return wanted
+
+
+def _root_key(scope: int, depth: int) -> int:
+    """Only one element is open at a depth, so scope and depth name an open root."""
+    return scope << 20 | depth
 
 
 class _Matcher:
@@ -114,19 +131,19 @@ class _Matcher:
         self.known = 0
         self.start = _PathState(())
 
-    def child(self, state: _PathState, name: str) -> _PathState:
+    def child(self, state: _PathState, raw: str) -> _PathState:
         self.known += 1
-        path = (*state.path, name)
-        new = state.children[name] = _PathState(path)
+        path = (*state.path, _split_name(raw)[0])
+        new = state.children[raw] = _PathState(path)
         for scope, root in self.scopes:
-            predicates = path_predicates(root.steps)
             depths = [0] if not root.steps else range(1, len(path) + 1)
             for depth in depths:
                 found = alignments(root.steps, path[:depth]) if depth else [()]
                 if not found:
                     continue
+                key = _root_key(scope, depth)
                 if depth == len(path):
-                    new.roots.append((scope, found, predicates))
+                    new.roots.append((scope, key, found, path_predicates(root.steps)))
                 for position, alt, is_object, steps in self.members[scope]:
                     below = [tuple(depth + i for i in a) for a in alignments(steps, path[depth:])]
                     if not below:
@@ -134,10 +151,10 @@ class _Matcher:
                     wanted = path_predicates(steps)
                     if steps[-1].attribute:
                         new.attributes.setdefault(steps[-1].name, []).append(
-                            (scope, depth, position, alt, below, wanted)
+                            (key, position, alt, below, wanted)
                         )
                     else:
-                        new.elements.append((scope, depth, position, alt, is_object, below, wanted))
+                        new.elements.append((key, position, alt, is_object, below, wanted))
                         new.wants_object |= is_object
                         new.wants_text |= not is_object
         for slot, steps, is_visible_by in self.doc_paths:
@@ -150,6 +167,10 @@ class _Matcher:
             else:
                 new.doc_elements.append(slot)
                 new.wants_text = True
+        new.at_start = bool(
+            new.roots or new.attributes or new.doc_attributes or new.wants_text or new.wants_object
+        )
+        new.at_end = bool(new.roots or new.elements or new.doc_elements)
         return new
 
 
@@ -196,156 +217,162 @@ class _ObjectFrame:
         return "{" + self._pairs() + "}"
 
 
-def _checks(attributes: list[list[str]], found: list[tuple[int, ...]], predicates: list) -> list | None:
+def _checks(stack: list[tuple], found: list[tuple[int, ...]], predicates: list) -> list:
     """Per way of matching, the values of the attributes the predicates compare."""
-    if not predicates:
-        return None
     checks = []
     for positions in found:
         values = []
         for step, predicate in predicates:
-            flat = attributes[positions[step]]
+            flat = stack[positions[step] + 1][2]
             value = None
             for n in range(0, len(flat), 2):
-                if flat[n] == predicate.attribute:
+                if _split_name(flat[n])[0] == predicate.attribute:
                     value = flat[n + 1]
             values.append(value)
         checks.append(values)
     return checks
 
 
-def _split_name(raw: str) -> tuple[str, str, str]:
-    """expat's `uri local prefix` as Clark name, qualified name, local name."""
-    parts = raw.split(" ")
-    if len(parts) == 1:
-        return raw, raw, raw
-    qualified = f"{parts[2]}:{parts[1]}" if len(parts) > 2 else parts[1]
-    return f"{{{parts[0]}}}{parts[1]}", qualified, parts[1]
+_names: dict[str, tuple[str, str, str]] = {}
 
 
-def _read_document(matcher: _Matcher, names: dict[str, tuple[str, str, str]], xml: str | bytes):
+def _split_name(raw: str) -> tuple[str, str, str]:
+    """expat's `uri local prefix` as Clark name, qualified name, local name."""
+    name = _names.get(raw)
+    if name is None:
+        if len(_names) > _NAME_LIMIT:
+            _names.clear()
+        parts = raw.split(" ")
+        if len(parts) == 1:
+            name = raw, raw, raw
+        else:
+            qualified = f"{parts[2]}:{parts[1]}" if len(parts) > 2 else parts[1]
+            name = f"{{{parts[0]}}}{parts[1]}", qualified, parts[1]
+        _names[raw] = name
+    return name
+
+
+def _read_document(matcher: _Matcher, xml: str | bytes):
     """(root rows, document values) of one document; raises `expat.ExpatError` if malformed."""
     if matcher.known > _MEMO_LIMIT:
         matcher.restart()
     state = matcher.start
-    states = [state]
-    numbers: list[int] = []  # number of each open element among its siblings
+    # Open nodes as (state, node number with a final dot, flat attribute list); first the document.
+    stack: list[tuple[_PathState, str, list[str]]] = [(state, "", [])]
     counts = [0]  # children seen so far, per open node
-    attributes: list[list[str]] = []  # flat name/value list of each open element
     run: list[str] = []  # pieces of the current text run
     texts: list[str] = []  # text below the outermost element whose text is wanted
     marks: list[int] = []
     frames: list[_ObjectFrame] = []
-    open_roots: dict[tuple[int, int], list] = {}
-    rows: list[tuple] = []
+    open_roots: dict[int, list] = {}
+    rows: list[list] = []
     doc_values: list[str | None] = [None] * matcher.slots
+    width = matcher.width
     order = 0
 
-    def name_of(raw: str) -> tuple[str, str, str]:
-        name = names.get(raw)
-        if name is None:
-            if len(names) > _MEMO_LIMIT:
-                names.clear()
-            name = names[raw] = _split_name(raw)
-        return name
-
-    def open_root(scope: int, node_id: str | None, checks: list | None) -> None:
-        open_roots[scope, len(numbers)] = [scope, node_id, checks, [None] * matcher.width[scope]]
-
-    def put(hit: list | None, position: int, value: tuple) -> None:
-        if hit is not None:
-            if hit[3][position] is None:
-                hit[3][position] = [value]
-            else:
-                hit[3][position].append(value)
-
     def text_run_end() -> None:
-        if run:
-            text = "".join(run)
-            run.clear()
-            counts[-1] += 1
-            if marks:
-                texts.append(text)
-            if frames:
-                frames[-1].text(text)
-            for slot in state.doc_texts:
-                if doc_values[slot] is None:
-                    doc_values[slot] = text
+        text = run[0] if len(run) == 1 else "".join(run)
+        run.clear()
+        counts[-1] += 1
+        if marks:
+            texts.append(text)
+        if frames:
+            frames[-1].text(text)
+        for slot in state.doc_texts:
+            if doc_values[slot] is None:
+                doc_values[slot] = text
 
     def other_node(*_ignored) -> None:
-        text_run_end()
+        if run:
+            text_run_end()
         counts[-1] += 1
         if frames:
             frames[-1].texts = False
 
     def start(raw: str, flat: list[str]) -> None:
-        nonlocal state, order
+        nonlocal state
         if run:
             text_run_end()
-        counts[-1] += 1
-        numbers.append(counts[-1])
-        counts.append(len(flat) // 2)
-        name = name_of(raw)[0]
-        following = state.children.get(name)
-        state = following if following is not None else matcher.child(state, name)
-        states.append(state)
+        counts[-1] = number = counts[-1] + 1
+        counts.append(len(flat) >> 1)
+        following = state.children.get(raw)
+        state = following if following is not None else matcher.child(state, raw)
+        stack.append((state, f"{stack[-1][1]}{number}.", flat))
+        if state.at_start or frames:
+            begin(flat)
+
+    def begin(flat: list[str]) -> None:
+        nonlocal order
+        prefix = stack[-1][1]
         if state.wants_object or frames:
             frames.append(_ObjectFrame(
-                [(name_of(flat[n])[1], flat[n + 1]) for n in range(0, len(flat), 2)]
+                [(_split_name(flat[n])[1], flat[n + 1]) for n in range(0, len(flat), 2)]
             ))
-        for n in range(0, len(flat), 2):
-            flat[n] = name_of(flat[n])[0]
-        attributes.append(flat)
-        for scope, found, predicates in state.roots:
-            open_root(scope, ".".join(map(str, numbers)), _checks(attributes, found, predicates))
-        if state.attributes or state.doc_attributes:
+        for scope, key, found, predicates in state.roots:
+            checks = _checks(stack, found, predicates) if predicates else None
+            open_roots[key] = [scope, prefix[:-1], checks, [None] * width[scope]]
+        if flat and (state.attributes or state.doc_attributes):
             for n in range(0, len(flat), 2):
-                order += 1
-                for scope, depth, position, alt, found, predicates in state.attributes.get(flat[n], ()):
-                    node_id = ".".join(map(str, numbers)) + f".{n // 2 + 1}"
-                    checks = _checks(attributes, found, predicates)
-                    put(open_roots.get((scope, depth)), position,
-                        (order, False, node_id, alt, flat[n + 1], checks))
-                for slot in state.doc_attributes.get(flat[n], ()):
+                wanted, slots = state.attribute(flat[n])
+                if wanted:
+                    order += 1
+                    node_id = f"{prefix}{(n >> 1) + 1}"
+                    for key, position, alt, found, predicates in wanted:
+                        fields = open_roots[key][3]
+                        checks = _checks(stack, found, predicates) if predicates else None
+                        value = (order, False, node_id, alt, flat[n + 1], checks)
+                        if fields[position] is None:
+                            fields[position] = [value]
+                        else:
+                            fields[position].append(value)
+                for slot in slots:
                     doc_values[slot] = doc_values[slot] or flat[n + 1] or None
         if state.wants_text:
             marks.append(len(texts))
 
-    def end(_raw: str) -> None:
-        nonlocal state, order
+    def end(raw: str) -> None:
+        nonlocal state
         if run:
             text_run_end()
+        if state.at_end or frames:
+            finish(raw)
+        stack.pop()
+        counts.pop()
+        state = stack[-1][0]
+
+    def finish(raw: str) -> None:
+        nonlocal order
         text = body = None
         if state.wants_text:
-            text = "".join(texts[marks.pop():])
+            mark = marks.pop()
+            text = texts[mark] if len(texts) == mark + 1 else "".join(texts[mark:])
             if not marks:
                 texts.clear()
         if frames:
             frame = frames.pop()
             if frames:
-                frames[-1].child(name_of(_raw)[2], frame.json())
+                frames[-1].child(_split_name(raw)[2], frame.json())
             if state.wants_object:
                 body = frame.body()
         if state.elements:
             order += 1
-            node_id = ".".join(map(str, numbers))
-            for scope, depth, position, alt, is_object, found, predicates in state.elements:
-                checks = _checks(attributes, found, predicates)
-                put(open_roots.get((scope, depth)), position,
-                    (order, True, node_id, alt, body if is_object else text, checks))
+            node_id = stack[-1][1][:-1]
+            for key, position, alt, is_object, found, predicates in state.elements:
+                fields = open_roots[key][3]
+                checks = _checks(stack, found, predicates) if predicates else None
+                value = (order, True, node_id, alt, body if is_object else text, checks)
+                if fields[position] is None:
+                    fields[position] = [value]
+                else:
+                    fields[position].append(value)
         for slot in state.doc_elements:
             doc_values[slot] = doc_values[slot] or text or None
-        for scope, _found, _predicates in state.roots:
-            rows.append(tuple(open_roots.pop((scope, len(numbers)))))
-        numbers.pop()
-        counts.pop()
-        attributes.pop()
-        states.pop()
-        state = states[-1]
+        for _scope, key, _found, _predicates in state.roots:
+            rows.append(open_roots.pop(key))
 
     for scope, root in matcher.scopes:
         if not root.steps:
-            open_root(scope, None, None)
+            open_roots[_root_key(scope, 0)] = [scope, None, None, [None] * width[scope]]
     parser = expat.ParserCreate(namespace_separator=" ")
     parser.namespace_prefixes = True
     parser.ordered_attributes = True
@@ -356,7 +383,7 @@ def _read_document(matcher: _Matcher, names: dict[str, tuple[str, str, str]], xm
     parser.CommentHandler = other_node
     parser.ProcessingInstructionHandler = other_node
     parser.Parse(xml, True)
-    rows.extend(tuple(root) for root in open_roots.values())
+    rows.extend(open_roots.values())
     return rows, doc_values
 
 
@@ -375,7 +402,7 @@ class _BatchBuilder:
         self.values: list[tuple] = []
         self.chars = 0
 
-    def add(self, document: int, row: tuple | None, doc_values: list | None, error: str | None) -> None:
+    def add(self, document: int, row: list | None, doc_values: list | None, error: str | None) -> None:
         scope, node_id, checks, fields = row or (None, None, None, ())
         self.document.append(document)
         self.scopes.append(scope)
@@ -386,8 +413,7 @@ class _BatchBuilder:
         for values in fields:
             if values:
                 self.values.extend(values)
-                for value in values:
-                    self.chars += len(value[4])
+                self.chars += sum([len(value[4]) for value in values])
             self.field_offsets.append(len(self.values))
         self.row_offsets.append(len(self.field_offsets) - 1)
 
@@ -434,7 +460,6 @@ def shred_documents(
             _Matcher(config, [(s, root) for s, (n, _i, _x, root) in enumerate(scopes) if n == number])
             for number, config in enumerate(configs)
         ]
-        names: dict[str, tuple[str, str, str]] = {}
         for batch in batches:
             xmls, numbers = batch.column("xml"), batch.column("config_no")
             source = batch.select([n for n in batch.schema.names if n != "xml"])
@@ -443,7 +468,7 @@ def shred_documents(
                 if not (xmls[n].is_valid and numbers[n].is_valid):
                     continue  # no content, or no configuration covers it
                 try:
-                    rows, doc_values = _read_document(matchers[numbers[n].as_py()], names, xmls[n].as_py())
+                    rows, doc_values = _read_document(matchers[numbers[n].as_py()], xmls[n].as_py())
                 except expat.ExpatError as problem:
                     if on_malformed == "fail":
                         raise ValueError(f"document is not well-formed XML: {problem}") from problem

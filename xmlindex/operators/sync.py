@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from xmlindex.functions.paths import ancestors, in_collection_tree
 from xmlindex.operators.snapshots import dedup_last_write
 from xmlindex.operators.status import status_for
-from xmlindex.session import small_side
+from xmlindex.session import materialize, small_side
 
 TREE_KEY = ["index_name", "tree"]
 OBJECT_KEY = ["index_name", "object_id"]
@@ -39,6 +39,14 @@ def collection_trees(rows: DataFrame, trees: DataFrame) -> DataFrame:
     )
 
 
+def staged_sides(local: DataFrame, live: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The key columns of both sides, written once: a report reads them several times, and the
+    newest records of a store, or a live dump, cost more than their keys."""
+    local = valid_records(local).select("index_name", "doc_key", "object_id", "collection", "document_id")
+    live = valid_records(live).select("index_name", "object_id", "collection", "document_id")
+    return materialize(local, "local"), materialize(live, "live")
+
+
 def tree_cover(local: DataFrame, live: DataFrame, trees: DataFrame) -> DataFrame:
     """`collection_trees` of both sides, to be joined several times."""
     key = ["index_name", "collection"]
@@ -166,6 +174,7 @@ def sync_report(
     Counts per collection and the documents of a tree are tables of their own
     (`sync_counts`, `matching_documents`), since they have no bound a row could rely on.
     """
+    local, live = staged_sides(local, live)
     cover = tree_cover(local, live, trees)
     states = object_states(local, live, trees, cover)
     missing = F.col("is_local") & ~F.col("is_live")
@@ -225,12 +234,15 @@ def sync_report(
 
 def sync_counts(local: DataFrame, live: DataFrame, trees: DataFrame) -> DataFrame:
     """Records per tree, side (`local`, `live`, `wrong_path`) and collection."""
+    local, live = staged_sides(local, live)
+    cover = tree_cover(local, live, trees)
+
     def side(rows: DataFrame, name: str) -> DataFrame:
-        counted = count_by_collection(valid_records(rows), "index_name")
-        return in_trees(counted, trees).select(*TREE_KEY, F.lit(name).alias("side"), "collection", "n")
+        counted = count_by_collection(rows, "index_name")
+        return in_trees(counted, trees, cover).select(*TREE_KEY, F.lit(name).alias("side"), "collection", "n")
 
     wrong = (
-        wrong_path_groups(local, live, trees, 1)
+        wrong_path_groups(local, live, trees, 1, cover)
         .groupBy(*TREE_KEY, "collection").agg(F.sum("n").alias("n"))
         .select(*TREE_KEY, F.lit("wrong_path").alias("side"), "collection", "n")
     )

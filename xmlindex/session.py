@@ -111,6 +111,16 @@ class Staging:
             delete(spark, path)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A table scan with at least one partition per core, for work that is heavy per row.
+
+    A small file is read by one task; only then are its rows dealt out, before they are turned
+    into documents. Scans of any size have splits enough and stay as they are.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def small_side(df: DataFrame) -> DataFrame:
     """`df` marked for broadcast if a count confirms it is small, else unchanged.
 
