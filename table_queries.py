@@ -20,7 +20,7 @@ from xmlindex.plans.indexing import index_documents, remove_documents
 from xmlindex.plans.job import Job
 from xmlindex.plans.removing import remove_collections
 from xmlindex.plans.repairing import replay_batches
-from xmlindex.session import ship_package, spread, staging_path
+from xmlindex.session import materialize, ship_package, spread, staging_path
 from xmlindex.sources.documents import documents_from_table
 from xmlindex.streaming.incremental import start_incremental
 
@@ -223,7 +223,7 @@ def order_status(local: DataFrame) -> DataFrame:
 
 
 def sync_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    local, live = stored_orders(spark, sf_dir), live_orders(spark, sf_dir)
+    local, live = stored_orders(spark, sf_dir), materialize(live_orders(spark, sf_dir), "live")
     return local, live, order_trees(local, live)
 
 

@@ -39,12 +39,18 @@ def collection_trees(rows: DataFrame, trees: DataFrame) -> DataFrame:
     )
 
 
-def staged_sides(local: DataFrame, live: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The key columns of both sides, written once: a report reads them several times, and the
-    newest records of a store, or a live dump, cost more than their keys."""
+def staged_sides(
+    local: DataFrame, live: DataFrame, trees: DataFrame
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The key columns of both sides, and the distinct trees, written once.
+
+    A report reads them several times, and the newest records of a store, or a live dump, cost
+    more than their keys.
+    """
     local = valid_records(local).select("index_name", "doc_key", "object_id", "collection", "document_id")
     live = valid_records(live).select("index_name", "object_id", "collection", "document_id")
-    return materialize(local, "local"), materialize(live, "live")
+    trees = trees.select(*TREE_KEY).distinct()
+    return materialize(local, "local"), materialize(live, "live"), materialize(trees, "trees")
 
 
 def tree_cover(local: DataFrame, live: DataFrame, trees: DataFrame) -> DataFrame:
@@ -87,22 +93,10 @@ def matching_documents(local: DataFrame, trees: DataFrame) -> DataFrame:
     return in_trees(valid_records(local), trees).select(*TREE_KEY, "doc_key").distinct()
 
 
-def _sample(rows: DataFrame, limit: int, name: str) -> DataFrame:
-    """The first ids of each tree, in order; the row-number filter is applied before the shuffle."""
-    first = Window.partitionBy(*TREE_KEY).orderBy("object_id")
-    return (
-        rows.select(*TREE_KEY, "object_id")
-        .withColumn("rn", F.row_number().over(first))
-        .where(F.col("rn") <= limit)
-        .groupBy(*TREE_KEY)
-        .agg(F.sort_array(F.collect_list("object_id")).alias(name))
-    )
-
-
-def object_states(
-    local: DataFrame, live: DataFrame, trees: DataFrame, cover: DataFrame | None = None
-) -> DataFrame:
+def object_states(local: DataFrame, live: DataFrame, trees: DataFrame) -> DataFrame:
     """One row per tree and object id with `is_local` and `is_live`."""
+    cover = tree_cover(local, live, trees)
+
     def side(rows: DataFrame, is_local: bool) -> DataFrame:
         return in_trees(valid_records(rows), trees, cover).select(
             *TREE_KEY, "object_id", F.lit(is_local).alias("l"), F.lit(not is_local).alias("v")
@@ -115,34 +109,104 @@ def object_states(
     )
 
 
-def wrong_path_groups(
-    local: DataFrame, live: DataFrame, trees: DataFrame, sample_limit: int, cover: DataFrame | None = None
-) -> DataFrame:
-    """Wrong-path live records per tree and live collection: their number and first ids.
+# A report never multiplies objects by the trees they lie in. Objects are first grouped by
+# where they are (the collections that store them, the collections they are live in); the
+# groups are few, and only they are matched with trees.
 
-    Live records are reduced to one row per document and collection before they are matched
-    with the trees their document is stored in.
-    """
-    stored = (
-        in_trees(valid_records(local).where("document_id <> ''"), trees, cover)
-        .select(*TREE_KEY, "document_id").distinct()
-    )
-    key = ["index_name", "document_id", "collection"]
+
+def _first_ids(rows: DataFrame, key: list[str], limit: int) -> DataFrame:
+    """Number and first `limit` object ids per key; the row-number filter runs before the shuffle."""
     first = Window.partitionBy(*key).orderBy("object_id")
-    placed = valid_records(live).where("document_id <> ''")
-    counts = placed.groupBy(*key).agg(F.count("*").alias("n"))
-    samples = (
-        placed.withColumn("rn", F.row_number().over(first))
-        .where(F.col("rn") <= max(1, sample_limit))
+    ids = (
+        rows.select(*key, "object_id")
+        .withColumn("rn", F.row_number().over(first))
+        .where(F.col("rn") <= max(1, limit))
         .groupBy(*key)
         .agg(F.collect_list("object_id").alias("ids"))
     )
+    return rows.groupBy(*key).agg(F.count("*").alias("n")).join(ids, key)
+
+
+def _trees_of(collections: Column) -> Column:
+    return F.array_distinct(F.flatten(F.transform(collections, ancestors)))
+
+
+def _per_tree(groups: DataFrame, trees: DataFrame, stored: Column, live: Column) -> DataFrame:
+    """Groups once per tree asked for, with `in_local` and `in_live`."""
+    return (
+        groups.withColumn("lt", _trees_of(stored)).withColumn("vt", _trees_of(live))
+        .withColumn("tree", F.explode(F.array_union("lt", "vt")))
+        .withColumn("in_local", F.array_contains("lt", F.col("tree")))
+        .withColumn("in_live", F.array_contains("vt", F.col("tree")))
+        .drop("lt", "vt")
+        .join(trees, TREE_KEY)
+    )
+
+
+def _sample(groups: DataFrame, limit: int, name: str) -> DataFrame:
+    """The first ids of each tree, from the first ids of its groups."""
+    first = Window.partitionBy(*TREE_KEY).orderBy("object_id")
     return (
-        counts.join(samples, key)
-        .join(stored, ["index_name", "document_id"])
-        .where(~in_collection_tree(F.col("collection"), F.col("tree")))
-        .select(*TREE_KEY, "collection", "n", "ids")
+        groups.select(*TREE_KEY, F.explode("ids").alias("object_id"))
+        .withColumn("rn", F.row_number().over(first))
+        .where(F.col("rn") <= limit)
+        .groupBy(*TREE_KEY)
+        .agg(F.sort_array(F.collect_list("object_id")).alias(name))
+    )
+
+
+def placement_groups(local: DataFrame, live: DataFrame, sample_limit: int) -> DataFrame:
+    """Objects by the collections they are stored and live in: `n` and first `ids`."""
+    columns = [*OBJECT_KEY, "collection"]
+    rows = local.select(*columns, F.lit(True).alias("l")).unionByName(live.select(*columns, F.lit(False).alias("l")))
+    objects = rows.groupBy(*OBJECT_KEY).agg(
+        F.sort_array(F.collect_set(F.when(F.col("l"), F.col("collection")))).alias("stored"),
+        F.sort_array(F.collect_set(F.when(~F.col("l"), F.col("collection")))).alias("live"),
     )
+    return _first_ids(objects, ["index_name", "stored", "live"], sample_limit)
+
+
+def wrong_path_groups(local: DataFrame, live: DataFrame, trees: DataFrame, sample_limit: int) -> DataFrame:
+    """Wrong-path live records per tree and live collection: `n` and first `ids`.
+
+    A live record is matched with the collections that store its document, a set per document;
+    a document with very many live records makes a skewed but splittable join partition.
+    """
+    document = ["index_name", "document_id"]
+    stored = local.where("document_id <> ''").groupBy(*document).agg(
+        F.sort_array(F.collect_set("collection")).alias("stored")
+    )
+    matched = (
+        live.where("document_id <> ''").join(stored, document)
+        # A record in the only collection of its document is where it should be, in every tree.
+        .where(~((F.size("stored") == 1) & (F.element_at("stored", 1) == F.col("collection"))))
+    )
+    groups = _first_ids(matched, ["index_name", "stored", "collection"], sample_limit)
+    return _per_tree(groups, trees, F.col("stored"), F.array("collection")).where(
+        "in_local and not in_live"
+    ).select(*TREE_KEY, "collection", "n", "ids")
+
+
+def document_counts(local: DataFrame, trees: DataFrame) -> DataFrame:
+    """Stored documents, and user-specified document ids, per tree."""
+    def counted(column: str, name: str) -> DataFrame:
+        held = local.where(F.col(column) != "").groupBy("index_name", column).agg(
+            F.sort_array(F.collect_set("collection")).alias("stored")
+        )
+        groups = held.groupBy("index_name", "stored").agg(F.count("*").alias("n"))
+        nothing = F.array().cast("array<string>")
+        return _per_tree(groups, trees, F.col("stored"), nothing).groupBy(*TREE_KEY).agg(F.sum("n").alias(name))
+
+    return _merged(counted("doc_key", "document_dirs"), counted("document_id", "document_ids"))
+
+
+def _merged(*parts: DataFrame) -> DataFrame:
+    """Parts with one row per tree and columns of their own, as one table; one shuffle for all."""
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    columns = [c for c in rows.columns if c not in TREE_KEY]
+    return rows.groupBy(*TREE_KEY).agg(*[F.max(c).alias(c) for c in columns])
 
 
 def classify(report: DataFrame, with_status: bool) -> Column:
@@ -174,44 +238,40 @@ def sync_report(
     Counts per collection and the documents of a tree are tables of their own
     (`sync_counts`, `matching_documents`), since they have no bound a row could rely on.
     """
-    local, live = staged_sides(local, live)
-    cover = tree_cover(local, live, trees)
-    states = object_states(local, live, trees, cover)
-    missing = F.col("is_local") & ~F.col("is_live")
-    unexpected = F.col("is_live") & ~F.col("is_local")
-    counts = states.groupBy(*TREE_KEY).agg(
-        F.count_if("is_local").alias("local_count"),
-        F.count_if("is_live").alias("live_count"),
-        F.count_if(missing).alias("missing_count"),
-        F.count_if(unexpected).alias("unexpected_count"),
-    )
-    documents = (
-        in_trees(valid_records(local), trees, cover)
-        .select(*TREE_KEY, "doc_key", F.nullif(F.col("document_id"), F.lit("")).alias("document_id"))
-        .distinct()
-        .groupBy(*TREE_KEY)
-        .agg(
-            F.count_distinct("doc_key").alias("document_dirs"),
-            F.count_distinct("document_id").alias("document_ids"),
-        )
+    local, live, trees = staged_sides(local, live, trees)
+    # The groups are few, and read once per number or sample of the report.
+    groups = materialize(placement_groups(local, live, sample_limit), "groups")
+    objects = _per_tree(groups, trees, F.col("stored"), F.col("live"))
+    missing = F.col("in_local") & ~F.col("in_live")
+    unexpected = F.col("in_live") & ~F.col("in_local")
+
+    def number(where: Column, name: str) -> Column:
+        return F.sum(F.when(where, F.col("n")).otherwise(0)).alias(name)
+
+    counts = objects.groupBy(*TREE_KEY).agg(
+        number(F.col("in_local"), "local_count"),
+        number(F.col("in_live"), "live_count"),
+        number(missing, "missing_count"),
+        number(unexpected, "unexpected_count"),
     )
-    wrong = wrong_path_groups(local, live, trees, sample_limit, cover)
-    wrong_counts = wrong.groupBy(*TREE_KEY).agg(F.sum("n").alias("wrong_path_count"))
-    wrong_ids = wrong.select(*TREE_KEY, F.explode("ids").alias("object_id"))
-
-    report = trees.select(*TREE_KEY).distinct()
-    for part in (
+    wrong = materialize(wrong_path_groups(local, live, trees, sample_limit), "wrong")
+    parts = [
+        trees,
         counts,
-        documents,
-        wrong_counts,
-        _sample(states.where(missing), sample_limit, "sample_missing"),
-        _sample(states.where(unexpected), sample_limit, "sample_unexpected"),
-        _sample(wrong_ids, sample_limit, "sample_wrong_path"),
-    ):
-        report = report.join(part, TREE_KEY, "left")
+        document_counts(local, trees),
+        wrong.groupBy(*TREE_KEY).agg(F.sum("n").alias("wrong_path_count")),
+        _sample(objects.where(missing), sample_limit, "sample_missing"),
+        _sample(objects.where(unexpected), sample_limit, "sample_unexpected"),
+        _sample(wrong, sample_limit, "sample_wrong_path"),
+    ]
+    if status is not None:
+        keys = trees.withColumnRenamed("tree", "collection")
+        parts.append(status_for(status, keys).select(
+            "index_name", F.col("collection").alias("tree"), F.col("state").alias("status_state")
+        ))
     numbers = ["local_count", "live_count", "missing_count", "unexpected_count", "wrong_path_count",
                "document_dirs", "document_ids"]
-    report = report.fillna(0, numbers)
+    report = _merged(*parts).fillna(0, numbers)
     for name in ("sample_missing", "sample_unexpected", "sample_wrong_path"):
         report = report.withColumn(name, F.coalesce(name, F.array().cast("array<string>")))
     report = (
@@ -222,27 +282,21 @@ def sync_report(
             (F.col("missing_count") == 0) & (F.col("unexpected_count") == 0) & (F.col("wrong_path_count") == 0),
         )
     )
-    if status is not None:
-        keys = trees.select("index_name", F.col("tree").alias("collection")).distinct()
-        found = status_for(status, keys).select(
-            "index_name", F.col("collection").alias("tree"), F.col("state").alias("status_state")
-        )
-        report = report.join(found, TREE_KEY, "left")
     report = report.withColumn("classification", classify(report, status is not None))
     return report.drop("status_state")
 
 
 def sync_counts(local: DataFrame, live: DataFrame, trees: DataFrame) -> DataFrame:
     """Records per tree, side (`local`, `live`, `wrong_path`) and collection."""
-    local, live = staged_sides(local, live)
-    cover = tree_cover(local, live, trees)
+    local, live, trees = staged_sides(local, live, trees)
 
     def side(rows: DataFrame, name: str) -> DataFrame:
-        counted = count_by_collection(rows, "index_name")
-        return in_trees(counted, trees, cover).select(*TREE_KEY, F.lit(name).alias("side"), "collection", "n")
+        groups = count_by_collection(rows, "index_name").withColumn("where", F.array("collection"))
+        placed = _per_tree(groups, trees, F.col("where"), F.col("where"))
+        return placed.select(*TREE_KEY, F.lit(name).alias("side"), "collection", "n")
 
     wrong = (
-        wrong_path_groups(local, live, trees, 1, cover)
+        wrong_path_groups(local, live, trees, 1)
         .groupBy(*TREE_KEY, "collection").agg(F.sum("n").alias("n"))
         .select(*TREE_KEY, F.lit("wrong_path").alias("side"), "collection", "n")
     )

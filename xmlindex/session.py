@@ -23,6 +23,9 @@ def build_session(app_name: str = "xmlindex", master: str | None = None, **conf:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
         "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
+        # Sets of collections per object stay in a hash map; the default falls back to sorting
+        # after 128 keys.
+        "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
         "spark.sql.sources.partitionOverwriteMode": "static",
         "spark.sql.parquet.compression.codec": "zstd",
     }
