@@ -98,10 +98,9 @@ def _remember(job: Job, winners: DataFrame, changes: DataFrame, accepted: DataFr
 
 def _spare_from_removal(job: Job, processed: DataFrame) -> None:
     """Documents written while a removal of their collection is pending are not its business."""
-    requests = job.pending.requests()
-    if requests.isEmpty():
+    if not job.pending.any():
         return
-    spared = in_trees(processed, requests).select("index_name", "tree", "doc_key")
+    spared = in_trees(processed, job.pending.requests()).select("index_name", "tree", "doc_key")
     job.pending.write(job.pending.read().unionByName(spared))
 
 

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from xmlindex.config import DEFAULT_BATCH_SIZE, CollectionConfig
 from xmlindex.operators.publish import Publisher
 from xmlindex.operators.status import fold_status
-from xmlindex.session import materialize
 from xmlindex.sources.snapshots import SnapshotStore
 from xmlindex.sources.status import StatusStore
 from xmlindex.sources.versions import VersionedFolder
@@ -36,6 +35,9 @@ class PendingRemovals:
             return self.spark.createDataFrame([], self._schema)
         return self.spark.read.schema(self._schema).parquet(self._versions.folder(version))
 
+    def any(self) -> bool:
+        return self._versions.current() > 0 and not self.requests().isEmpty()
+
     def requests(self) -> DataFrame:
         return self.read().where("doc_key is null").select("index_name", "tree").distinct()
 
@@ -94,5 +96,5 @@ class Job:
         return F.coalesce(F.try_element_at(own, F.col("index_name")), F.lit(self.batch_size))
 
     def record(self, events: DataFrame) -> None:
-        """Fold status events into the status table."""
-        self.status.write(materialize(fold_status(events, self.status.read()), "status"))
+        """Fold status events into the next version of the status table."""
+        self.status.write(fold_status(events, self.status.read()))

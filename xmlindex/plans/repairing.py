@@ -70,7 +70,7 @@ def replay(job: Job, index_name: str, tree: str, live: LiveReader, commit: str)
 def refresh(job: Job, index_name: str, tree: str, live: DataFrame) -> DataFrame:
     """Mark a tree that is in step as current; raises if it is not."""
     report = materialize(report_for(job, index_name, tree, live), "report")
-    job.status.write(materialize(refresh_status(report, job.status.read(), job.now_text()), "status"))
+    job.status.write(refresh_status(report, job.status.read(), job.now_text()))
     return report
 
 

@@ -50,7 +50,7 @@ def apply_events(job: Job, events: DataFrame, commit: str, snapshot_ts: int | No
         if not removals.isEmpty():
             requests = removal_scope(removals.withColumn("reindex", F.lit(False)), job.configs)
             request_removals(job, requests)
-        if not job.pending.requests().isEmpty():
+        if job.pending.any():
             flush_removals(job, f"{commit}-collections", snapshot_ts)
         if not deletes.isEmpty():
             remove_documents(job, _index_keys(job, deletes), f"{commit}-documents", snapshot_ts + 1)
