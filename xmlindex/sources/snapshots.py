@@ -2,8 +2,8 @@
 
 Parquet, partitioned by commit, index and a hash bucket of the document key. A commit is
 written to a folder of its own, so writing it again after a failure replaces it. Looking up
-the documents of one batch reads only their buckets (dynamic partition pruning), and
-comparing or reporting reads no record text (column pruning).
+the documents of one batch reads only their buckets (partition pruning), and comparing
+or reporting reads no record text (column pruning).
 """
 
 from __future__ import annotations
@@ -86,15 +86,19 @@ class SnapshotStore:
     def latest_of(self, documents: DataFrame, without_commit: str | None = None) -> DataFrame:
         """The newest records of the given (index, document key) pairs.
 
-        A batch that is repeated leaves its own earlier commit out of account.
+        Only their partitions are read: the touched buckets, at most one row per index and
+        bucket, become a partition filter. A batch that is repeated leaves its own earlier
+        commit out of account.
         """
-        wanted = small_side(
-            documents.select(*DOCUMENT_KEY).distinct().withColumn("bucket", bucket_of("doc_key", self.buckets))
+        wanted = documents.select(*DOCUMENT_KEY).distinct().withColumn("bucket", bucket_of("doc_key", self.buckets))
+        touched = wanted.select("index_name", "bucket").distinct().collect()
+        snapshots = self.read().where(
+            F.col("index_name").isin(sorted({r.index_name for r in touched}))
+            & F.col("bucket").isin(sorted({r.bucket for r in touched}))
         )
-        snapshots = self.read()
         if without_commit is not None:
             snapshots = snapshots.where(F.col("commit") != without_commit)
-        held = snapshots.join(wanted, [*DOCUMENT_KEY, "bucket"], "left_semi")
+        held = snapshots.join(small_side(wanted), [*DOCUMENT_KEY, "bucket"], "left_semi")
         return at_timestamps(held, latest_timestamps(held)).drop("commit", "bucket")
 
     def replace(self, rows: DataFrame, note: str) -> None:
