@@ -18,7 +18,7 @@ from xmlindex.operators.snapshots import DOCUMENT_KEY, RECORD_KEY, dedup_last_wr
 from xmlindex.operators.status import BATCH_WRITE, DEGRADED, DOCUMENT_DELETE, outcome_events, status_gate
 from xmlindex.operators.sync import in_trees
 from xmlindex.plans.job import Job
-from xmlindex.session import Staging, materialize
+from xmlindex.session import Staging, materialize, restrict, small_side
 from xmlindex.sources.snapshots import snapshot_rows
 
 _GROUP = ("index_name", "doc_key")
@@ -35,16 +35,30 @@ def without_moved(changes: DataFrame) -> DataFrame:
     return changes.where("op <> 'delete'").unionByName(deletes)
 
 
-def publish_changes(job: Job, changes: DataFrame, commit: str) -> DataFrame:
-    """Plan, assemble and send changes; one outcome per document."""
-    batches = assemble_batches(plan_batches(changes, job.batch_sizes(), _GROUP), _GROUP)
-    outcomes = job.publisher.publish(batches, commit)
+def publish_changes(job: Job, changes: DataFrame, commit: str, texts: DataFrame | None = None) -> DataFrame:
+    """Plan, assemble and send changes; one outcome per document.
+
+    Batches are planned on keys alone. `texts` holds the record text of additions and updates
+    by record key; it is joined only then.
+    """
     failed = F.col("state") == DEGRADED
-    return outcomes.groupBy(*_GROUP).agg(
-        F.when(F.bool_or(failed), DEGRADED).otherwise("current").alias("state"),
-        F.sum("requests").alias("object_count"),
-        F.max(F.when(failed, F.struct("failure_class", "failure_message"))).alias("failure"),
-    ).select(*_GROUP, "state", "object_count", "failure.failure_class", "failure.failure_message")
+    no_text = F.lit(None).cast("string").alias("record_json")
+    with Staging() as staging:
+        planned = staging.write(plan_batches(changes, job.batch_sizes(), _GROUP), "planned")
+        requests = planned.where("op = 'delete'").select("*", no_text)
+        upserts = planned.where("op <> 'delete'")
+        if texts is not None:
+            requests = requests.unionByName(texts.join(small_side(upserts), RECORD_KEY))
+        outcomes = job.publisher.publish(assemble_batches(requests, _GROUP), commit)
+        per_document = outcomes.groupBy(*_GROUP).agg(
+            F.when(F.bool_or(failed), DEGRADED).otherwise("current").alias("state"),
+            F.sum("requests").alias("object_count"),
+            F.max(F.when(failed, F.struct("failure_class", "failure_message"))).alias("failure"),
+        )
+        return materialize(
+            per_document.select(*_GROUP, "state", "object_count", "failure.failure_class", "failure.failure_message"),
+            "documents",
+        )
 
 
 def index_documents(
@@ -72,27 +86,28 @@ def index_documents(
         previous = job.store.latest_of(processed, without_commit=commit)
         changes = staging.write(without_moved(diff_snapshots(previous, current)), "changes")
 
-        winners = records.join(current.select("written"), "written", "left_semi").drop("written")
+        # Repeated node keys are rare, so it is the losers that are looked up.
+        losers = slim.join(current.select("written"), "written", "left_anti").select("written")
+        winners = records.join(small_side(losers), "written", "left_anti").drop("written")
         texts = winners.select(*RECORD_KEY, "record_json")
-        upserts = changes.where("op <> 'delete'").join(texts, RECORD_KEY)
-        deletes = changes.where("op = 'delete'").withColumn("record_json", F.lit(None).cast("string"))
-        outcomes = materialize(publish_changes(job, upserts.unionByName(deletes), commit), "documents")
+        outcomes = publish_changes(job, changes, commit, texts)
 
         accepted = outcomes.where("state = 'current'").select(*DOCUMENT_KEY)
-        _remember(job, winners, changes, accepted, commit, snapshot_ts)
+        _remember(job, winners, processed, changes, accepted, commit, snapshot_ts)
         _spare_from_removal(job, processed)
         skipped = skipped_documents(shredded, job.configs)
         job.record(_indexing_events(job, processed, skipped, changes, outcomes))
     return outcomes
 
 
-def _remember(job: Job, winners: DataFrame, changes: DataFrame, accepted: DataFrame, commit: str,
-              snapshot_ts: int) -> None:
+def _remember(job: Job, winners: DataFrame, processed: DataFrame, changes: DataFrame, accepted: DataFrame,
+              commit: str, snapshot_ts: int) -> None:
     """Store the new snapshots of changed documents; an emptied document gets a marker row."""
     changed = changes.select(*DOCUMENT_KEY).distinct().join(accepted, DOCUMENT_KEY, "left_semi")
+    others = processed.select(*DOCUMENT_KEY).join(changed, DOCUMENT_KEY, "left_anti")
     held = winners.select(*DOCUMENT_KEY).distinct()
     emptied = tombstones(changed.join(held, DOCUMENT_KEY, "left_anti"), snapshot_ts)
-    rows = winners.join(changed, DOCUMENT_KEY, "left_semi").unionByName(emptied)
+    rows = restrict(winners, changed, others, DOCUMENT_KEY).unionByName(emptied)
     job.store.append(rows, commit)
 
 
@@ -136,11 +151,9 @@ def remove_documents(job: Job, documents: DataFrame, commit: str, snapshot_ts: i
     """
     snapshot_ts = job.now_millis() if snapshot_ts is None else snapshot_ts
     changes = materialize(
-        document_removals(job.store.latest_of(documents, without_commit=commit), documents)
-        .withColumn("record_json", F.lit(None).cast("string")),
-        "removals",
+        document_removals(job.store.latest_of(documents, without_commit=commit), documents), "removals"
     )
-    outcomes = materialize(publish_changes(job, changes, commit), "documents")
+    outcomes = publish_changes(job, changes, commit)
     accepted = outcomes.where("state = 'current'").select(*DOCUMENT_KEY)
     job.store.append(tombstones(accepted, snapshot_ts), commit)
     rows = outcomes.withColumn("collection", F.lit(None).cast("string"))

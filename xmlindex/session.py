@@ -7,7 +7,7 @@ import tempfile
 import uuid
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import xmlindex
 
@@ -124,17 +124,32 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
 
 
+def is_small(df: DataFrame) -> bool:
+    """Does a count confirm that `df` may be broadcast? It stops at the limit."""
+    return df.limit(BROADCAST_ROW_LIMIT + 1).count() <= BROADCAST_ROW_LIMIT
+
+
 def small_side(df: DataFrame) -> DataFrame:
     """`df` marked for broadcast if a count confirms it is small, else unchanged.
 
     Beyond the limit the join is left to the planner, which shuffles both sides and splits
     skewed partitions.
     """
-    from pyspark.sql import functions as F
-
-    within = df.limit(BROADCAST_ROW_LIMIT + 1).count() <= BROADCAST_ROW_LIMIT
-    return F.broadcast(df) if within else df
+    return F.broadcast(df) if is_small(df) else df
 
 
 def join_small(df: DataFrame, small: DataFrame, on: list[str], how: str) -> DataFrame:
     return df.join(small_side(small), on, how)
+
+
+def restrict(df: DataFrame, keep: DataFrame, drop: DataFrame, on: list[str]) -> DataFrame:
+    """Rows of `df` whose key is in `keep`, given that all others are in `drop`.
+
+    Whichever of the two is small decides without moving `df`; only if neither is, `df` is
+    shuffled.
+    """
+    if is_small(keep):
+        return df.join(F.broadcast(keep), on, "left_semi")
+    if is_small(drop):
+        return df.join(F.broadcast(drop), on, "left_anti")
+    return df.join(keep, on, "left_semi")

@@ -17,7 +17,7 @@ from xmlindex.operators.removal import covered_by_removal, removal_scope
 from xmlindex.plans.indexing import index_documents, remove_documents
 from xmlindex.plans.job import Job
 from xmlindex.plans.removing import flush_removals, request_removals
-from xmlindex.session import Staging
+from xmlindex.session import Staging, small_side
 
 UPSERT, DELETE, REMOVE_COLLECTION = "upsert", "delete", "remove_collection"
 
@@ -34,7 +34,7 @@ def surviving_events(events: DataFrame) -> DataFrame:
     key = ["collection", "document_id"]
     last = documents.groupBy(*key).agg(F.max("sequence").alias("sequence"))
     kept = covered_by_removal(last, removals).select("sequence")
-    return documents.join(kept, "sequence", "left_semi")
+    return documents.join(small_side(kept), "sequence", "left_semi")
 
 
 def apply_events(job: Job, events: DataFrame, commit: str, snapshot_ts: int | None = None) -> None:
