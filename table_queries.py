@@ -982,7 +982,7 @@ def xml_root_objects(spark, sf_dir):
 
 
 @query("""SELECT 'turns' AS index_name, '/db/talk/' || conv_id AS collection, conv_id || '-' || turn AS document_id,
-  '/talk/turn/@id' AS configured_path, 1 AS affected FROM conversations WHERE role <> 'user'""")
+  '/talk/turn/@id' AS configured_path, CAST(1 AS BIGINT) AS affected FROM conversations WHERE role <> 'user'""")
 def xml_fallback_report(spark, sf_dir):
     """Only user turns carry the configured node id."""
     root = {"path": "/talk/turn", "nodeId": "@id"}
@@ -990,7 +990,7 @@ def xml_fallback_report(spark, sf_dir):
 
 
 @query("""SELECT 'turns' AS index_name, '/db/talk/' || conv_id AS collection, conv_id || '-' || turn AS document_id,
-  CASE role WHEN 'user' THEN 1 ELSE 0 END AS root_objects FROM conversations""")
+  CAST(CASE role WHEN 'user' THEN 1 ELSE 0 END AS BIGINT) AS root_objects FROM conversations""")
 def xml_extraction_report(spark, sf_dir):
     configs = [turn_config({"path": "/talk/turn[@role eq 'user']"})]
     documents = X.resolve_config(turn_xml(spark, sf_dir), configs)
@@ -1029,7 +1029,7 @@ def _job(spark: SparkSession, *configs: CollectionConfig) -> Job:
     return Job.at(spark, path, list(configs), FilePublisher(f"{path}/requests"), buckets=8)
 
 
-def _labelled_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
+def labelled_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with their quality as one more attribute, where it is known."""
     rows = spread(table(spark, sf_dir, "documents")).join(table(spark, sf_dir, "labels"), "doc_id", "left")
     quality = F.when(F.col("quality").isNotNull(), attribute("quality", F.col("quality").cast("string")))
@@ -1040,24 +1040,24 @@ QUALITY_DOCUMENT = {"path": "/d:doc", "nodeId": "@xml:id", "fields": [
     {"name": "quality", "path": "@quality", "type": "integer"}, {"name": "line", "path": "/d:p/d:t"}]}
 
 
-@query("""SELECT CAST(doc_id AS VARCHAR) AS doc_key, 'current' AS state, 1 AS object_count
+@query("""SELECT CAST(doc_id AS VARCHAR) AS doc_key, 'current' AS state, CAST(1 AS BIGINT) AS object_count
 FROM documents JOIN labels USING (doc_id)""")
 def index_changed_documents(spark, sf_dir):
     """All documents are indexed, then once more with labels: only labelled ones are sent again."""
     job = _job(spark, document_config(QUALITY_DOCUMENT))
     index_documents(job, document_xml(spark, sf_dir), "first", 1)
-    outcomes = index_documents(job, _labelled_xml(spark, sf_dir), "second", 2)
+    outcomes = index_documents(job, labelled_xml(spark, sf_dir), "second", 2)
     return outcomes.select("doc_key", "state", "object_count")
 
 
-@query("""SELECT doc_id, lang, CASE WHEN quality IS NOT NULL THEN 2 ELSE 1 END AS snapshot_ts
+@query("""SELECT doc_id, lang, CAST(CASE WHEN quality IS NOT NULL THEN 2 ELSE 1 END AS BIGINT) AS snapshot_ts
 FROM documents LEFT JOIN labels USING (doc_id)
 WHERE lang <> 'en' AND NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = doc_id AND c_mktsegment = 'BUILDING')""")
 def stored_after_removals(spark, sf_dir):
     """Two runs, then one collection tree and some documents are removed; the rest stays stored."""
     job = _job(spark, document_config(QUALITY_DOCUMENT))
     index_documents(job, document_xml(spark, sf_dir), "first", 1)
-    index_documents(job, _labelled_xml(spark, sf_dir), "second", 2)
+    index_documents(job, labelled_xml(spark, sf_dir), "second", 2)
     tree = spark.createDataFrame([("documents", "/db/en")], "index_name string, tree string")
     remove_collections(job, tree, "third", 3)
     gone = table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'").select(
