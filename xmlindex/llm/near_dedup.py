@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,7 +17,9 @@ from xmlindex.llm.components import connected_components
 from xmlindex.llm.support import held, unused, whole_text
 from xmlindex.session import materialize
 
-_CACHED_WORDS = 1_000_000
+_CACHED_WORDS = 200_000
+# Entries that one batch of inverted lists may have.
+_ENTRIES = 100_000
 
 
 @dataclass(frozen=True)
@@ -30,14 +33,16 @@ class Sketching:
     percent: int = 80
     # Values a sketch retains.
     retained: int = 64
-    # Inverted lists a sketch is entered in, and retained values that make up the key of each.
-    lists: int = 16
+    # Retained values that make up the key of an inverted list, at first and more with each round.
     per_key: int = 2
-    # Every list gives the pairs of its first text. Where these leave it in parts, a list of up
-    # to so many texts gives its other pairs, a longer one is divided into finer lists.
-    short_list: int = 12
-    finer_lists: int = 8
-    finer_per_key: int = 3
+    more_per_key: int = 3
+    most_per_key: int = 17
+    # Chance that a pair just at the limit shares no list of a round; sets the number of lists.
+    missed: float = 1e-6
+    # Every list gives the pairs of its hub. Where these leave it in parts and all but so many of
+    # its texts are in one part, the others give their pairs; else the texts go on to lists with
+    # longer keys.
+    few: int = 16
     # Standard deviations of the sketch's estimate that a pair may fall short by and still be
     # verified.
     deviations: float = 6.0
@@ -46,6 +51,14 @@ class Sketching:
     def limit(self) -> float:
         return self.percent / 100
 
+    def lists(self, per_key: int) -> int:
+        """How many lists with keys of this length a sketch has to be entered in."""
+        # Two sketches at the limit retain this share of their values in common, less a margin as
+        # their ends differ.
+        common = 0.95 * 2 * self.limit / (1 + self.limit)
+        alike = (common / (2 - common)) ** per_key
+        return max(1, math.ceil(math.log(self.missed) / math.log(1 - alike)))
+
     @property
     def estimate_floor(self) -> float:
         return self.limit - self.margin
@@ -146,32 +159,47 @@ def sketch_texts(df: DataFrame, how: Sketching) -> DataFrame:
     )
 
 
-def _enter(rows: DataFrame, how: Sketching, lists: int, per_key: int, salt: int) -> DataFrame:
-    """key, node: the inverted lists of rows of (within, node, sketch); lists lie within `within`."""
+def _enter(rows: DataFrame, lists: int, per_key: int) -> DataFrame:
+    """key, node: the inverted lists of rows of (node, sketch)."""
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                sketches = [np.asarray(x, np.int64).view(np.uint64) for x in arrow_rows(batch.column("sketch"))]
-                keys = list_keys(sketches, lists, per_key, salt)
-                within = batch.column("within").to_numpy(zero_copy_only=False).view(np.uint64)
-                keys = _mix(keys + _mix(within)[:, None])
+        step = max(1, _ENTRIES // lists)
+        for whole in batches:
+            for start in range(0, whole.num_rows, step):
+                batch = whole.slice(start, step)
+                sketches = [x.view(np.uint64) for x in arrow_rows(batch.column("sketch"))]
+                keys = list_keys(sketches, lists, per_key, per_key).reshape(-1).view(np.int64)
+                owner = pa.array(np.repeat(np.arange(batch.num_rows), lists))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.reshape(-1).view(np.int64)), batch.column("node").take(
-                        pa.array(np.repeat(np.arange(batch.num_rows), lists)))],
-                    names=["key", "node"],
+                    [pa.array(keys), batch.column("node").take(owner)], names=["key", "node"]
                 )
 
-    return rows.select("within", "node", "sketch").mapInArrow(enter, "key long, node binary")
+    return rows.select("node", "sketch").mapInArrow(enter, "key long, node binary")
 
 
 def _members(entries: DataFrame) -> DataFrame:
-    """key, hub, node: the lists of two nodes or more, each with its first node as the hub."""
+    """key, hub, node, a, b: the lists of two nodes or more, each with a hub; a and b are hub and node
+    in order.
+
+    The hub is the node that meets most others in all its lists. In a group of copies that is one
+    close to what they were copied from, so that its pairs join most of the group.
+    """
+    several = (
+        entries.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"), F.count("*").alias("n"))
+        .where(F.col("first") < F.col("last")).select("key", "n")
+    )
+    listed = materialize(entries.join(several, "key"), "listed")
+    met = listed.groupBy("node").agg(F.sum("n").alias("met"))
     hubs = (
-        entries.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
-        .where(F.col("hub") < F.col("last")).select("key", "hub")
+        listed.join(met, "node").groupBy("key").agg(F.max(F.struct("met", "node")).alias("hub"))
+        .select("key", F.col("hub.node").alias("hub"))
+    )
+    return materialize(
+        listed.join(hubs, "key").where(F.col("node") != F.col("hub")).select(
+            "key", "hub", "node", F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")
+        ),
+        "members",
     )
-    return entries.join(hubs, "key").where(F.col("node") > F.col("hub")).select("key", "hub", "node")
 
 
 def _shingle_sets(df: DataFrame, how: Sketching, wanted: DataFrame) -> DataFrame:
@@ -259,58 +287,100 @@ class _Search:
         return materialize(exact.unionByName(far), "verdicts")
 
     def links(self) -> DataFrame:
-        how, nodes = self.how, self.nodes
-        first = nodes.where("n_shingles > 0").withColumn("within", F.lit(0).cast("long"))
-        members = materialize(_members(_enter(first, how, how.lists, how.per_key, 0)), "members")
-        pairs = members.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-        level = 0
+        how, nodes = self.how, self.nodes.where("n_shingles > 0")
+        per_key = how.per_key
+        members = _members(_enter(nodes, how.lists(per_key), per_key))
+        pairs = members.select("a", "b").distinct()
         while True:
-            fresh = materialize(pairs if self.verdicts is None else pairs.join(self.verdicts, ["a", "b"], "left_anti"), "pairs")
-            if level and fresh.isEmpty():
-                return roots
-            found = self.verify(fresh)
+            fresh = pairs if self.verdicts is None else pairs.join(self.verdicts, ["a", "b"], "left_anti")
+            found = self.verify(materialize(fresh, "pairs"))
             self.verdicts = found if self.verdicts is None else self.verdicts.unionByName(found)
-            level += 1
             roots = connected_components(self.verdicts.where("linked"))
             open_ = self.still_open(members, roots)
             if open_.isEmpty():
                 return roots
-            short = open_.where(F.col("n") <= how.short_list)
-            two = short.alias("x").join(short.alias("y"), "key").where(
-                (F.col("x.node") < F.col("y.node")) & (F.col("x.root") != F.col("y.root"))
-            ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-            long_ = open_.where((F.col("n") > how.short_list) & F.col("undecided"))
-            finer = long_.select(F.col("key").alias("within"), "node").join(nodes.select("node", "sketch"), "node")
-            members = materialize(_members(_enter(finer, how, how.finer_lists, how.finer_per_key + level - 1, level)), "members")
-            pairs = two.union(members.select(F.col("hub").alias("a"), F.col("node").alias("b"))).distinct()
+            few, many = open_.where(F.col("strays") <= how.few), open_.where(F.col("strays") > how.few)
+            left = self.after_peeling(many.where("undecided"))
+            pairs = self.of_strays(few).unionByName(self.of_strays(left.where(F.col("strays") <= how.few)))
+            long_ = left.where(F.col("strays") > how.few)
+            if per_key < how.most_per_key:
+                per_key += how.more_per_key
+                again = nodes.join(long_.select("node").distinct(), "node", "left_semi")
+                entries = _enter(again, how.lists(per_key), per_key)
+            else:
+                # The same lists without the hubs, all of whose pairs are known by now.
+                entries = long_.select("key", "node")
+            members = _members(entries)
+            pairs = pairs.unionByName(self.apart(members.select("a", "b"), roots)).distinct()
+
+    def apart(self, pairs: DataFrame, roots: DataFrame) -> DataFrame:
+        """The pairs that lie in different parts; the others are connected already."""
+        root = lambda name: roots.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}"))
+        return (
+            pairs.join(root("a"), "a", "left").join(root("b"), "b", "left")
+            .where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+        )
+
+    def of_strays(self, lists: DataFrame) -> DataFrame:
+        """a, b: each stray of a list with its nodes of other parts; at most `few` pairs per node."""
+        stray = lists.where(F.col("root") != F.col("main"))
+        return stray.alias("x").join(lists.alias("y"), "key").where(
+            (F.col("x.root") != F.col("y.root"))
+            & ((F.col("y.root") == F.col("y.main")) | (F.col("x.node") < F.col("y.node")))
+        ).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+
+    def with_parts(self, lists: DataFrame) -> DataFrame:
+        """`lists` in several parts, with the root of the largest part and how many nodes lie outside it."""
+        sizes = lists.groupBy("key", "root").agg(F.count("*").alias("size"))
+        parts = sizes.groupBy("key").agg(
+            F.max(F.struct("size", "root")).alias("largest"), F.sum("size").alias("n")
+        ).select("key", F.col("largest.root").alias("main"), (F.col("n") - F.col("largest.size")).alias("strays"))
+        return lists.join(parts.where("strays > 0"), "key")
 
     def still_open(self, members: DataFrame, roots: DataFrame) -> DataFrame:
-        """key, node, root, n, undecided: the nodes but the hub of lists that lie in several parts.
+        """key, node, root, undecided, main, strays: the nodes but the hub of lists in several parts.
 
         A node linked with the hub needs no further pair if every node outside the hub's part is
         farther from the hub than it by more than a link may span (Jaccard distance is a metric).
         """
         root = lambda name, as_: roots.select(F.col("node").alias(name), F.col("root").alias(as_))
-        verdicts = self.verdicts.select(F.col("a").alias("hub"), F.col("b").alias("node"), "linked", "low", "high")
         rows = (
-            members.join(verdicts, ["hub", "node"])
+            members.join(self.verdicts.select("a", "b", "low", "high"), ["a", "b"], "left")
             .join(root("node", "node_root"), "node", "left").join(root("hub", "hub_root"), "hub", "left")
             .select(
                 "key", "node", F.coalesce("node_root", "node").alias("root"),
-                (F.coalesce("node_root", "node") != F.coalesce("hub_root", "hub")).alias("outside"), "low", "high",
+                (F.coalesce("node_root", "node") != F.coalesce("hub_root", "hub")).alias("outside"),
+                F.coalesce("low", F.lit(0.0)).alias("low"), F.coalesce("high", F.lit(1.0)).alias("high"),
             )
         )
-        outside = rows.groupBy("key").agg(
-            F.count("*").alias("n"), F.min(F.when(F.col("outside"), F.col("low"))).alias("nearest"),
-        ).where(F.col("nearest").isNotNull() & (F.col("n") > 1))
+        outside = rows.groupBy("key").agg(F.min(F.when(F.col("outside"), F.col("low"))).alias("nearest")).where(
+            F.col("nearest").isNotNull()
+        )
         reach = 1 - self.how.limit
-        return materialize(
-            rows.join(outside, "key").select(
-                "key", "node", "root", "n",
-                (F.col("outside") | (F.col("high") >= F.col("nearest") - reach - 1e-9)).alias("undecided"),
-            ),
-            "open",
+        undecided = F.col("outside") | (F.col("high") >= F.col("nearest") - reach - 1e-9)
+        lists = rows.join(outside, "key").select("key", "node", "root", undecided.alias("undecided"))
+        return materialize(self.with_parts(materialize(lists, "lists")), "open")
+
+    def after_peeling(self, lists: DataFrame) -> DataFrame:
+        """key, node, root, main, strays: the lists without nodes that can have no link in them.
+
+        If so many of a node's shingles are in no other node of any of these lists that the rest
+        cannot reach the limit, it has no link there. Lists that then lie in one part are done.
+        """
+        pool = lists.select("node").distinct()
+        wanted = materialize(pool.join(self.nodes, "node").select("node", "doc_id", "n_shingles"), "pool")
+        own = (
+            _shingle_sets(self.df, self.how, wanted.select("node", "doc_id"))
+            .select("node", F.explode("shingles").alias("shingle"))
+            .groupBy("shingle").agg(F.min("node").alias("node"), F.count("*").alias("holders"))
+            .where("holders = 1").groupBy("node").agg(F.count("*").alias("own"))
         )
+        shared = F.col("n_shingles") - F.coalesce("own", F.lit(0))
+        alive = wanted.join(own, "node", "left").where(
+            100 * shared >= self.how.percent * F.col("n_shingles")
+        ).select("node")
+        rest = materialize(lists.select("key", "node", "root").join(alive, "node", "left_semi"), "alive")
+        return materialize(self.with_parts(rest), "left")
 
 
 def near_duplicates(
@@ -325,9 +395,10 @@ def near_duplicates(
 
     Each document's shingles are hashed with one function and the smallest values retained. Equal
     sets are one node from then on. Every sketch is entered in inverted lists under keys of
-    retained values. A list gives the pairs of its first node, so a group of near copies costs a
-    pair per node; if these pairs leave a list in several parts, its other pairs follow, for long
-    lists over finer lists. Pairs are estimated on the sketch of their union, and those that may
+    retained values. A list gives the pairs of its hub, so a group of near copies costs a
+    pair per node. If these pairs leave a list in several parts, the few texts outside its largest
+    part give their other pairs. Where they are many, those that are too unlike all others to be
+    linked are left out, and what is still open goes on to lists with longer keys. Pairs are estimated on the sketch of their union, and those that may
     reach the limit are decided on the full sets.
 
     Null text, empty text and text without words: no shingles, linked with nothing, kept.

@@ -23,7 +23,7 @@ IDENTITY_TERMS = (
     "hombres", "mujeres", "negros", "musulmanes", "judíos", "cristianos", "discapacitados",
 )
 _WORD = re.compile(r"[^\W_]+")
-_CACHED_WORDS = 500_000
+_CACHED_WORDS = 100_000
 
 
 @dataclass(frozen=True)
