@@ -10,7 +10,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from xmlindex.llm.bpe import arrow_rows
 from xmlindex.llm.components import connected_components
@@ -33,15 +33,12 @@ class Sketching:
     percent: int = 80
     # Values a sketch retains.
     retained: int = 64
-    # Retained values that make up the key of an inverted list, at first and more with each round.
+    # Retained values that make up the key of an inverted list.
     per_key: int = 2
-    more_per_key: int = 3
-    most_per_key: int = 17
-    # Chance that a pair just at the limit shares no list of a round; sets the number of lists.
+    # Chance that a pair just at the limit shares no list; sets the number of lists.
     missed: float = 1e-6
     # Every list gives the pairs of its hub. Where these leave it in parts and all but so many of
-    # its texts are in one part, the others give their pairs; else the texts go on to lists with
-    # longer keys.
+    # its texts are in one part, the others give their pairs; else rare shingles decide on pairs.
     few: int = 16
     # Standard deviations of the sketch's estimate that a pair may fall short by and still be
     # verified.
@@ -51,12 +48,13 @@ class Sketching:
     def limit(self) -> float:
         return self.percent / 100
 
-    def lists(self, per_key: int) -> int:
-        """How many lists with keys of this length a sketch has to be entered in."""
+    @property
+    def lists(self) -> int:
+        """How many lists a sketch has to be entered in."""
         # Two sketches at the limit retain this share of their values in common, less a margin as
         # their ends differ.
         common = 0.95 * 2 * self.limit / (1 + self.limit)
-        alike = (common / (2 - common)) ** per_key
+        alike = (common / (2 - common)) ** self.per_key
         return max(1, math.ceil(math.log(self.missed) / math.log(1 - alike)))
 
     @property
@@ -106,7 +104,7 @@ def _permuted(values: np.ndarray, seed: int) -> np.ndarray:
     return _mix(values ^ _mix(np.array([seed + 1], np.uint64) * np.uint64(0x9E3779B97F4A7C15))[0])
 
 
-def list_keys(sketches: list[np.ndarray], lists: int, per_key: int, salt: int) -> np.ndarray:
+def list_keys(sketches: list[np.ndarray], lists: int, per_key: int) -> np.ndarray:
     """The inverted lists that each sketch is entered in, one row per sketch.
 
     A list's key is made of the `per_key` retained values that come first in the list's own order
@@ -120,7 +118,7 @@ def list_keys(sketches: list[np.ndarray], lists: int, per_key: int, salt: int) -
     missing = values == filler
     keys = np.empty((len(sketches), lists), np.uint64)
     for j in range(lists):
-        order = _permuted(values, salt * 1000 + j)
+        order = _permuted(values, j)
         order[missing] = filler
         first = np.sort(np.partition(order, per_key - 1, axis=1)[:, :per_key], axis=1)
         key = np.full(len(sketches), j + 1, np.uint64)
@@ -168,7 +166,7 @@ def _enter(rows: DataFrame, lists: int, per_key: int) -> DataFrame:
             for start in range(0, whole.num_rows, step):
                 batch = whole.slice(start, step)
                 sketches = [x.view(np.uint64) for x in arrow_rows(batch.column("sketch"))]
-                keys = list_keys(sketches, lists, per_key, per_key).reshape(-1).view(np.int64)
+                keys = list_keys(sketches, lists, per_key).reshape(-1).view(np.int64)
                 owner = pa.array(np.repeat(np.arange(batch.num_rows), lists))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys), batch.column("node").take(owner)], names=["key", "node"]
@@ -236,7 +234,7 @@ def _estimate(retained: int):
 
 
 class _Search:
-    """The links between distinct shingle sets, found round by round; every round is written."""
+    """The links between distinct shingle sets; every step is written."""
 
     def __init__(self, df: DataFrame, nodes: DataFrame, how: Sketching):
         self.df, self.nodes, self.how = df, nodes, how
@@ -288,38 +286,18 @@ class _Search:
 
     def links(self) -> DataFrame:
         how, nodes = self.how, self.nodes.where("n_shingles > 0")
-        per_key = how.per_key
-        members = _members(_enter(nodes, how.lists(per_key), per_key))
-        pairs = members.select("a", "b").distinct()
-        while True:
-            fresh = pairs if self.verdicts is None else pairs.join(self.verdicts, ["a", "b"], "left_anti")
-            found = self.verify(materialize(fresh, "pairs"))
-            self.verdicts = found if self.verdicts is None else self.verdicts.unionByName(found)
-            roots = connected_components(self.verdicts.where("linked"))
-            open_ = self.still_open(members, roots)
-            if open_.isEmpty():
-                return roots
-            few, many = open_.where(F.col("strays") <= how.few), open_.where(F.col("strays") > how.few)
-            left = self.after_peeling(many.where("undecided"))
-            pairs = self.of_strays(few).unionByName(self.of_strays(left.where(F.col("strays") <= how.few)))
-            long_ = left.where(F.col("strays") > how.few)
-            if per_key < how.most_per_key:
-                per_key += how.more_per_key
-                again = nodes.join(long_.select("node").distinct(), "node", "left_semi")
-                entries = _enter(again, how.lists(per_key), per_key)
-            else:
-                # The same lists without the hubs, all of whose pairs are known by now.
-                entries = long_.select("key", "node")
-            members = _members(entries)
-            pairs = pairs.unionByName(self.apart(members.select("a", "b"), roots)).distinct()
-
-    def apart(self, pairs: DataFrame, roots: DataFrame) -> DataFrame:
-        """The pairs that lie in different parts; the others are connected already."""
-        root = lambda name: roots.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}"))
-        return (
-            pairs.join(root("a"), "a", "left").join(root("b"), "b", "left")
-            .where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+        members = _members(_enter(nodes, how.lists, how.per_key))
+        self.verdicts = self.verify(materialize(members.select("a", "b").distinct(), "pairs"))
+        roots = connected_components(self.verdicts.where("linked"))
+        open_ = self.still_open(members, roots)
+        pairs = self.of_strays(open_.where(F.col("strays") <= how.few)).unionByName(
+            self.of_rare_shingles(open_.where((F.col("strays") > how.few) & F.col("undecided")))
         )
+        fresh = materialize(pairs.distinct().join(self.verdicts, ["a", "b"], "left_anti"), "pairs")
+        if fresh.isEmpty():
+            return roots
+        found = self.verify(fresh)
+        return connected_components(self.verdicts.unionByName(found).where("linked"))
 
     def of_strays(self, lists: DataFrame) -> DataFrame:
         """a, b: each stray of a list with its nodes of other parts; at most `few` pairs per node."""
@@ -361,26 +339,42 @@ class _Search:
         lists = rows.join(outside, "key").select("key", "node", "root", undecided.alias("undecided"))
         return materialize(self.with_parts(materialize(lists, "lists")), "open")
 
-    def after_peeling(self, lists: DataFrame) -> DataFrame:
-        """key, node, root, main, strays: the lists without nodes that can have no link in them.
+    def of_rare_shingles(self, lists: DataFrame) -> DataFrame:
+        """a, b: the pairs of strays that may be linked at all, from lists with many strays.
 
-        If so many of a node's shingles are in no other node of any of these lists that the rest
-        cannot reach the limit, it has no link there. Lists that then lie in one part are done.
+        Shingles are put in order of how few nodes of the lists hold them. Two linked sets share
+        one of the first n - ceil(limit * n) + 1 shingles of each, so only those are looked up, and
+        have room for enough common ones beside those that no other node holds. A stray differs
+        from the rest of its list, mostly in shingles that hardly any other has.
         """
-        pool = lists.select("node").distinct()
-        wanted = materialize(pool.join(self.nodes, "node").select("node", "doc_id", "n_shingles"), "pool")
-        own = (
-            _shingle_sets(self.df, self.how, wanted.select("node", "doc_id"))
-            .select("node", F.explode("shingles").alias("shingle"))
-            .groupBy("shingle").agg(F.min("node").alias("node"), F.count("*").alias("holders"))
-            .where("holders = 1").groupBy("node").agg(F.count("*").alias("own"))
+        pool = materialize(
+            lists.groupBy("node").agg(F.min("root").alias("root"), F.max(F.col("root") != F.col("main")).alias("stray"))
+            .join(self.nodes.select("node", "doc_id", "n_shingles"), "node"),
+            "pool",
+        )
+        held = materialize(
+            _shingle_sets(self.df, self.how, pool.select("node", "doc_id")).select("node", F.explode("shingles").alias("shingle")),
+            "shingles",
         )
-        shared = F.col("n_shingles") - F.coalesce("own", F.lit(0))
-        alive = wanted.join(own, "node", "left").where(
-            100 * shared >= self.how.percent * F.col("n_shingles")
-        ).select("node")
-        rest = materialize(lists.select("key", "node", "root").join(alive, "node", "left_semi"), "alive")
-        return materialize(self.with_parts(rest), "left")
+        common = held.groupBy("shingle").agg(F.count("*").alias("holders")).where("holders > 1")
+        of_node = Window.partitionBy("node")
+        n = F.col("n_shingles")
+        least = F.ceil(n * self.how.percent / 100)
+        # Shingles that one node alone holds come first and lead nowhere.
+        alone = n - F.count("*").over(of_node)
+        place = alone + F.row_number().over(of_node.orderBy("holders", "shingle"))
+        first = materialize(
+            held.join(common, "shingle").join(pool, "node")
+            .select("shingle", "node", "root", "stray", "n_shingles", (n - alone).alias("shared"), (place <= n - least + 1).alias("early"))
+            .where("early").drop("early"),
+            "rare",
+        )
+        # At most the shingles that each shares with any other node can be common to both.
+        most = F.least("x.shared", "y.shared")
+        possible = 100 * most >= self.how.percent * (F.col("x.n_shingles") + F.col("y.n_shingles") - most)
+        return first.where("stray").alias("x").join(first.alias("y"), "shingle").where(
+            (F.col("x.node") != F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & possible
+        ).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
 
 
 def near_duplicates(
@@ -397,8 +391,7 @@ def near_duplicates(
     sets are one node from then on. Every sketch is entered in inverted lists under keys of
     retained values. A list gives the pairs of its hub, so a group of near copies costs a
     pair per node. If these pairs leave a list in several parts, the few texts outside its largest
-    part give their other pairs. Where they are many, those that are too unlike all others to be
-    linked are left out, and what is still open goes on to lists with longer keys. Pairs are estimated on the sketch of their union, and those that may
+    part give their other pairs; where they are many, only pairs that share a rare shingle. Pairs are estimated on the sketch of their union, and those that may
     reach the limit are decided on the full sets.
 
     Null text, empty text and text without words: no shingles, linked with nothing, kept.
