@@ -24,7 +24,7 @@ import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from xmlindex.llm.bpe import arrow_rows, encode_texts
 from xmlindex.llm.support import whole_text
@@ -211,7 +211,7 @@ def read_document(spark: SparkSession, path: str, doc_id: int) -> list[list[int]
     return [np.frombuffer(reader.decompress(bytes(r["frame"])), f"<u{width}").tolist() for r in found]
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def ids_crc32(ids: pd.Series) -> pd.Series:
     """CRC-32 of the ids as little-endian unsigned 32-bit integers."""
     return ids.map(lambda row: zlib.crc32(np.asarray(row, "<u4").tobytes()))
