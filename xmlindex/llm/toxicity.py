@@ -153,7 +153,7 @@ def fit(
         if pairs:
             # Score differences of the pairs, and their gradient.
             d = np.bincount(ar, weights=w[ac], minlength=len(pairs)) - np.bincount(tr, weights=w[tc], minlength=len(pairs))
-            d *= 2 * how.fairness / len(pairs)
+            d = d * (2 * how.fairness / len(pairs))
             g += np.bincount(ac, weights=d[ar], minlength=len(columns)) - np.bincount(tc, weights=d[tr], minlength=len(columns))
         gb = gap.sum()
         seen_w += g * g
