@@ -301,3 +301,48 @@ def test_file_publisher_writes_request_lines(spark, tmp_path):
     lines = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "out")).collect()]
     assert sorted(len(line["requests"]) for line in lines) == [1, 2]
     assert all(q["action"] == "addObject" for line in lines for q in line["requests"])
+
+
+def test_files_of_one_name_in_two_folders(spark, tmp_path):
+    from xmlindex.sources.documents import read_documents, stream_documents
+
+    for folder in ("", "east/", "west/east/"):
+        (tmp_path / folder).mkdir(parents=True, exist_ok=True)
+        (tmp_path / folder / "same.xml").write_text(f"<r>{folder}</r>")
+    expected = {
+        ("/db", "same.xml", "<r></r>"), ("/db/east", "east/same.xml", "<r>east/</r>"),
+        ("/db/west/east", "west/east/same.xml", "<r>west/east/</r>"),
+    }
+    rows = read_documents(spark, str(tmp_path)).collect()
+    assert {(r["collection"], r["document_id"], bytes(r["xml"]).decode()) for r in rows} == expected
+    stream = stream_documents(spark, str(tmp_path)).writeStream.format("memory").queryName("found_files").start()
+    stream.processAllAvailable()
+    stream.stop()
+    assert spark.table("found_files").count() == 3
+
+
+def test_odd_rows_do_not_end_a_run(spark):
+    from xmlindex.functions.paths import ancestors
+    from xmlindex.operators.shred import malformed_documents
+
+    paths = spark.createDataFrame([("stray",), ("/a/b",), ("a/b",), ("",), ("/",)], "c string")
+    assert [r[0] for r in paths.select(ancestors("c")).collect()] == [
+        ["stray"], ["/a/b", "/a"], ["a/b", "a"], [""], ["/"]]
+    odd = [(1, b"<r/>"), (2, b"<r>"), (3, b'<?xml version="1.0" encoding="Shift_JIS"?><r/>'),
+           (4, b'<?xml version="1.0" encoding="none-such"?><r/>'), (5, None)]
+    found = malformed_documents(spark.createDataFrame(odd, "document_id int, xml binary"))
+    assert {r["document_id"] for r in found.collect()} == {2, 3, 4, 5}
+
+
+def test_removals_without_a_configuration_cover_nothing(spark):
+    from xmlindex.config import load_config
+    from xmlindex.streaming.incremental import surviving_events
+
+    config = load_config({"collection": "/db/kept", "indexes": [{"name": "i", "roots": [{"path": "/", "fields": []}]}]})
+    events = spark.createDataFrame(
+        [(1, "upsert", "/db/kept", 1), (2, "upsert", "/db/kept", 2), (2, "upsert", "/db/kept", 1),
+         (3, "remove_collection", "/db", None), (4, "upsert", "/db/kept/low", 3), (5, "remove_collection", "/db/kept/low", None)],
+        "sequence long, op string, collection string, document_id int",
+    )
+    kept = surviving_events(events, [config]).collect()
+    assert sorted((r["sequence"], r["document_id"]) for r in kept) == [(2, 1), (2, 2)]

@@ -29,9 +29,9 @@ def changes(spark, adds, updates, deletes, document="1"):
 
 
 def test_chunks_hold_additions_then_updates_then_deletions(spark):
-    plan = B.chunk_plan(B.plan_batches(changes(spark, 5, 2, 1), 3)).orderBy("chunk").collect()
+    plan = B.chunk_plan(B.plan_batches(changes(spark, 3, 6, 4), 5)).orderBy("chunk").collect()
     assert [(r.chunk, r.total_chunks, r.additions, r.updates, r.deletions) for r in plan] == [
-        (1, 3, 3, 0, 0), (2, 3, 2, 1, 0), (3, 3, 0, 1, 1)]
+        (1, 3, 3, 2, 0), (2, 3, 0, 4, 1), (3, 3, 0, 0, 3)]
     assert B.plan_batches(changes(spark, 0, 0, 0), 3).count() == 0
     single = B.plan_batches(changes(spark, 2, 0, 0), 0).select(F.max("total_chunks")).first()[0]
     assert single == 2  # a batch holds at least one operation

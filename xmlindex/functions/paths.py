@@ -21,11 +21,14 @@ def ancestors(collection: Column | str) -> Column:
 
     Turns the prefix test of `in_collection_tree` into an equi-join key.
     """
-    parts = F.split(_column(collection), "/")
-    return F.transform(
-        F.sequence(F.size(parts), F.lit(2), F.lit(-1)),
+    collection = _column(collection)
+    parts = F.split(collection, "/")
+    # An absolute path has an empty part in front, which is no collection.
+    first = F.when(F.startswith(collection, F.lit("/")), F.lit(2)).otherwise(F.lit(1))
+    return F.when(F.size(parts) >= first, F.transform(
+        F.sequence(F.size(parts), F.least(first, F.size(parts)), F.lit(-1)),
         lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"),
-    )
+    ))
 
 
 def path_starts_with(path: Column | str, other: Column | str) -> Column:

@@ -465,11 +465,15 @@ def shred_documents(
             source = batch.select([n for n in batch.schema.names if n != "xml"])
             builder = _BatchBuilder()
             for n in range(batch.num_rows):
-                if not (xmls[n].is_valid and numbers[n].is_valid):
-                    continue  # no content, or no configuration covers it
+                if not numbers[n].is_valid:
+                    continue  # no configuration covers it
+                if not xmls[n].is_valid:
+                    if on_malformed == "skip":
+                        builder.add(n, None, None, "no content")
+                    continue
                 try:
                     rows, doc_values = _read_document(matchers[numbers[n].as_py()], xmls[n].as_py())
-                except expat.ExpatError as problem:
+                except (expat.ExpatError, ValueError, LookupError) as problem:
                     if on_malformed == "fail":
                         raise ValueError(f"document is not well-formed XML: {problem}") from problem
                     builder.add(n, None, None, str(problem))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import time
 from dataclasses import dataclass, field
-from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -81,8 +80,7 @@ class Job:
         return int(self.clock() * 1000)
 
     def now_text(self) -> str:
-        moment = datetime.fromtimestamp(self.clock(), timezone.utc).replace(microsecond=0)
-        return moment.isoformat().replace("+00:00", "Z")
+        return time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime(self.clock()))
 
     def batch_sizes(self) -> Column:
         """Batch size of a row's index: its own if configured, else the job's."""

@@ -2,23 +2,27 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 # What Spark's binaryFile source yields; streams need it spelled out.
 _FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
+_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+
+
 def _from_files(files: DataFrame, root: str, collection: str) -> DataFrame:
-    prefix = F.concat(F.lit(root.rstrip("/")), F.lit("/"))
     # Paths come back with a scheme (`file:/a`), the root may be given without.
-    inside = F.substring_index(F.col("path"), prefix, -1)
-    name = F.substring_index(inside, "/", -1)
+    below = len(re.sub(_SCHEME, "", root).rstrip("/")) + 2
+    inside = F.regexp_replace("path", _SCHEME, "").substr(F.lit(below), F.length("path"))
     folder = F.regexp_replace(inside, "/?[^/]*$", "")
     where = F.when(folder == "", F.lit(collection)).otherwise(F.concat_ws("/", F.lit(collection), folder))
     return files.select(
         where.alias("collection"),
         F.regexp_replace(where, "^/", "").alias("collection_id"),
-        name.alias("document_id"),
+        inside.alias("document_id"),
         F.unix_millis("modificationTime").alias("modified"),
         F.col("content").alias("xml"),
     )
@@ -27,7 +31,8 @@ def _from_files(files: DataFrame, root: str, collection: str) -> DataFrame:
 def read_documents(spark: SparkSession, path: str, collection: str = "/db", pattern: str = "*.xml") -> DataFrame:
     """Documents below a folder: sub-folders become collections below `collection`.
 
-    Files carry no numeric ids, so the collection path and the file name identify them.
+    Files carry no numeric ids: the path below `path` identifies a file, so equal names in two
+    folders are two documents.
     """
     files = (
         spark.read.format("binaryFile").option("pathGlobFilter", pattern)

@@ -8,33 +8,39 @@ that is repeated replaces what it wrote.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from xmlindex.config import CollectionConfig
 from xmlindex.functions.records import doc_key
 from xmlindex.operators.extract import index_table, resolve_config
 from xmlindex.operators.removal import covered_by_removal, removal_scope
 from xmlindex.plans.indexing import index_documents, remove_documents
 from xmlindex.plans.job import Job
 from xmlindex.plans.removing import flush_removals, request_removals
-from xmlindex.session import Staging, small_side
+from xmlindex.session import Staging
 
 UPSERT, DELETE, REMOVE_COLLECTION = "upsert", "delete", "remove_collection"
 
 
-def surviving_events(events: DataFrame) -> DataFrame:
+def surviving_events(events: DataFrame, configs: list[CollectionConfig] | None = None) -> DataFrame:
     """The last event of each document, without those a later collection removal covers.
 
-    Deciding needs no document text: only (document, sequence) is aggregated.
+    With `configs`, only removals that will be acted on cover events. Deciding needs no document
+    text: only (document, sequence) is aggregated, and both tell the survivor.
     """
-    removals = events.where(F.col("op") == REMOVE_COLLECTION).select(
-        F.col("collection").alias("tree"), "sequence"
-    )
+    removals = events.where(F.col("op") == REMOVE_COLLECTION).select("collection", "sequence")
+    if configs is not None:
+        removals = removal_scope(removals.withColumn("reindex", F.lit(False)), configs).select("tree", "sequence")
+    else:
+        removals = removals.withColumnRenamed("collection", "tree")
     documents = events.where(F.col("op") != REMOVE_COLLECTION)
     key = ["collection", "document_id"]
     last = documents.groupBy(*key).agg(F.max("sequence").alias("sequence"))
-    kept = covered_by_removal(last, removals).select("sequence")
-    return documents.join(small_side(kept), "sequence", "left_semi")
+    kept = covered_by_removal(last, removals).select(*key, "sequence")
+    return documents.join(kept, [*key, "sequence"], "left_semi")
 
 
 def apply_events(job: Job, events: DataFrame, commit: str, snapshot_ts: int | None = None) -> None:
@@ -42,7 +48,7 @@ def apply_events(job: Job, events: DataFrame, commit: str, snapshot_ts: int | No
     snapshot_ts = job.now_millis() if snapshot_ts is None else snapshot_ts
     with Staging() as staging:
         events = staging.write(events, "events")
-        kept = surviving_events(events)
+        kept = surviving_events(events, job.configs)
         upserts = kept.where(F.col("op") == UPSERT)
         deletes = kept.where(F.col("op") == DELETE)
 
@@ -70,9 +76,15 @@ def _index_keys(job: Job, deletes: DataFrame) -> DataFrame:
 
 
 def start_incremental(job: Job, events: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
-    """Apply a stream of events; `trigger` as for `DataStreamWriter.trigger`."""
+    """Apply a stream of events; `trigger` as for `DataStreamWriter.trigger`.
+
+    Commits are named after the checkpoint, so two streams, or one that starts anew with another
+    checkpoint, never replace each other's.
+    """
+    stream = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+
     def each(batch: DataFrame, number: int) -> None:
-        apply_events(job, batch, f"b{number}")
+        apply_events(job, batch, f"{stream}-b{number}")
 
     writer: DataStreamWriter = events.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     if trigger:
