@@ -21,6 +21,13 @@ def arrow_ids(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in smaller ones, so that what is made of one at a time stays small."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def arrow_rows(lists: pa.ListArray) -> Iterator[np.ndarray]:
     """The arrays of a list column without nulls, without building Python lists."""
     values, offsets = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
@@ -51,7 +58,7 @@ def encode_texts(
 
     def encode_short(batches):
         encode = encoder(tokenizer).encode
-        for batch in batches:
+        for batch in slices(batches):
             ids = [encode(t, leaf_chars) for t in batch.column("whole").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("kept"), arrow_ids(ids)], names=["kept", "ids"])
 
@@ -69,7 +76,7 @@ def encode_texts(
 
     def encode_leaves(batches):
         encode = encoder(tokenizer).encode_leaf
-        for batch in batches:
+        for batch in slices(batches):
             pieces = zip(batch.column("kind").to_pylist(), batch.column("piece").to_pylist())
             ids = arrow_ids([encode(kind, piece) for kind, piece in pieces])
             names = ["number", "leaf", "kept", "kind"]

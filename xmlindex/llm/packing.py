@@ -21,7 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from xmlindex.llm.bpe import arrow_rows, encode_texts
+from xmlindex.llm.bpe import arrow_rows, encode_texts, slices
 from xmlindex.session import materialize
 
 # A pattern: pieces as (length, how many), longest first.
@@ -335,7 +335,7 @@ def cut_pieces(encoded: DataFrame, capacity: int, *, ids: str = "ids", with_ids:
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             owner, numbers, starts, lengths, sums, parts = [], [], [], [], [], []
             for row, values in enumerate(arrow_rows(batch.column("ids"))):
                 n = len(values)

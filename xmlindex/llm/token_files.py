@@ -5,7 +5,7 @@ A token data set is a folder with two Parquet tables.
 `dictionary`: one row of `hash` (SHA-256, hex) and `data`, the dictionary trained on serialised
 id arrays (empty if there was nothing to train on), and `width`, the bytes of an id.
 
-`blocks`: rows of about a megabyte, each with `shard` and `block` (numbers in document order),
+`blocks`: rows of about 256 kB, each with `shard` and `block` (numbers in document order),
 `dictionary` (the hash that the frames need), `payload` (zstandard frames, one per document, one
 after the other) and the offset index, arrays with one entry per document: `doc_ids`, `ends` (of
 the frame in the payload), `starts` (ids of the shard before the document) and `lengths` (ids).
@@ -26,12 +26,12 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from xmlindex.llm.bpe import arrow_rows, encode_texts
+from xmlindex.llm.bpe import arrow_rows, encode_texts, slices
 from xmlindex.llm.support import whole_text
 from xmlindex.llm.tokenizer import encoder
 from xmlindex.session import materialize
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 LEVEL = 3
 
 _BLOCKS = (
@@ -95,7 +95,7 @@ def write_tokens(
 
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frame = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(data)).compress
-        for batch in batches:
+        for batch in slices(batches):
             arrays = list(arrow_rows(batch.column("ids")))
             frames = pa.array([frame(a.astype(f"<u{width}").tobytes()) for a in arrays], pa.binary())
             lengths = pa.array([len(a) for a in arrays], pa.int64())
@@ -126,7 +126,7 @@ def write_tokens(
             ("dictionary", pa.string()), ("payload", pa.binary()), ("doc_ids", longs), ("ends", longs),
             ("starts", longs), ("lengths", longs),
         ])
-        for batch in batches:
+        for batch in slices(batches):
             for row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "length", "frame"))):
                 held.append(row)
                 held_bytes += len(row[2]) + 64
@@ -175,7 +175,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = zstandard.ZstdDecompressor(dict_data=_dictionary(bytes(data)))
-        for batch in batches:
+        for batch in slices(batches, 1):
             for block in batch.to_pylist():
                 if block["dictionary"] != hashed:
                     raise ValueError(f"block {block['shard']}/{block['block']} needs dictionary {block['dictionary']}")
