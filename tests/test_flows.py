@@ -239,6 +239,41 @@ def test_vacuum_keeps_newest(spark, job):
     assert sorted(r.snapshot_ts for r in job.store.read().collect()) == [102, 103]
 
 
+def test_vacuum_frees_what_was_replaced(spark, job, tmp_path):
+    for n in range(3):
+        index_documents(job, documents(spark, ("/db/dict/a", 5, 1, book("one", ("x1", n, "hello")))), f"c{n}", 100 + n)
+    folder = tmp_path / "store" / "snapshots"
+    job.store.vacuum(keep=1)
+    assert len([p for p in folder.iterdir() if p.name != "_versions"]) == 2
+    job.store.vacuum(keep=1, grace=0.0)
+    assert len([p for p in folder.iterdir() if p.name != "_versions"]) == 1
+    assert [r.snapshot_ts for r in job.store.read().collect()] == [102]
+
+
+def test_second_writer_of_a_version_changes_nothing(spark, tmp_path):
+    from xmlindex.sources.versions import VersionedFolder
+
+    versions = VersionedFolder(spark, str(tmp_path / "t"))
+    folders = [versions.new_folder() for _ in range(2)]
+    for n, folder in enumerate(folders):
+        spark.range(n + 1).write.parquet(folder)
+    versions.publish(1, folders[0])
+    with pytest.raises(Exception, match="exists"):
+        versions.publish(1, folders[1])
+    assert spark.read.parquet(versions.folder(versions.current())).count() == 1
+
+
+def test_failed_replay_phase_is_the_last(spark, job, index):
+    index_documents(job, documents(spark, ONE, TWO), "c1", 100)
+    os.remove(os.path.join(index.path, "x2.json"))
+    json.dump({"objectID": "stray", "collection": "/db/dict/a", "documentID": 7},
+              open(os.path.join(index.path, "stray.json"), "w"))
+    job.publisher.transport.failing = "deleteObject"
+    outcomes, after = replay(job, "words", "/db/dict", live_reader(spark, index), "r1")
+    assert {r.state for r in outcomes.collect()} == {"degraded"}
+    assert not after.first().synced and "x2" not in index.ids()
+
+
 def test_replay_batches_are_ordered_and_bounded(spark):
     plan = spark.range(7).select(
         F.lit("i").alias("index_name"), F.format_string("d%02d", "id").alias("object_id"),
@@ -283,6 +318,17 @@ def test_events_apply_in_order(spark, job, index):
     assert index.ids() == ["x1", "x2", "x3"]
 
 
+def test_deletes_without_the_users_id(spark, job, index):
+    # The user's id of this document is the internal id of the first one.
+    namesake = ("/db/dict/b", 6, 3, book("1", ("z1", 1, "nu")))
+    apply_events(job, spark.createDataFrame([event(1, "upsert", ONE), event(2, "upsert", namesake)], EVENTS), "b0", 100)
+    batch = [event(3, "delete", ONE), event(4, "delete", ("/db/dict/a", 5, 99, None))]
+    for _ in range(2):
+        apply_events(job, spark.createDataFrame(batch, EVENTS), "b1", 200)
+        assert index.ids() == ["z1"]
+    assert [r.doc_key for r in job.store.latest().collect()] == ["1"]
+
+
 def test_stream_equals_batch(spark, job, index, tmp_path):
     source = str(tmp_path / "events")
     spark.createDataFrame([event(1, "upsert", ONE), event(2, "upsert", TWO)], EVENTS).write.parquet(source)

@@ -45,10 +45,10 @@ class PendingRemovals:
 
     def write(self, rows: DataFrame) -> None:
         version = self._versions.current() + 1
-        rows.select("index_name", "tree", "doc_key").distinct().write.mode("overwrite").parquet(
-            self._versions.folder(version)
-        )
-        self._versions.publish(version)
+        folder = self._versions.new_folder()
+        rows.select("index_name", "tree", "doc_key").distinct().write.mode("errorifexists").parquet(folder)
+        self._versions.publish(version, folder)
+        self._versions.drop_superseded()
 
     def add(self, requests: DataFrame) -> None:
         rows = requests.select("index_name", "tree", F.lit(None).cast("string").alias("doc_key"))

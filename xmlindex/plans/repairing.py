@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from xmlindex.operators.batches import assemble_batches
 from xmlindex.operators.publish import REPLAY_BATCH_SIZE
 from xmlindex.operators.ranking import with_positions
-from xmlindex.operators.status import refresh_status
+from xmlindex.operators.status import DEGRADED, refresh_status
 from xmlindex.operators.sync import matching_documents, replay_plan, sync_report
 from xmlindex.plans.indexing import reindex_collection
 from xmlindex.plans.job import Job
@@ -42,7 +42,7 @@ def replay_batches(plan: DataFrame, size: int = REPLAY_BATCH_SIZE) -> DataFrame:
     )
     chunk = F.floor((F.col("position") - F.col("first")) / size).cast("long") + 1
     chunked = (
-        placed.join(first, "index_name")
+        placed.join(F.broadcast(first), "index_name")
         .withColumn("chunk", chunk)
         .withColumn("total_chunks", F.floor((F.col("operations") - 1) / size).cast("long") + 1)
     )
@@ -55,7 +55,10 @@ def replay_batches(plan: DataFrame, size: int = REPLAY_BATCH_SIZE) -> DataFrame:
 
 
 def replay(job: Job, index_name: str, tree: str, live: LiveReader, commit: str) -> tuple[DataFrame, DataFrame]:
-    """Rebuild one tree of the index from the store; returns outcomes and the report afterwards."""
+    """Rebuild one tree of the index from the store; returns outcomes and the report afterwards.
+
+    A phase with a refused batch is the last one, so nothing is added on top of what was not deleted.
+    """
     local = job.store.latest().where(F.col("index_name") == index_name).drop("document_id")
     local = local.withColumnRenamed("user_document_id", "document_id")
     plan = replay_plan(local, live().where(F.col("index_name") == index_name), tree)
@@ -64,6 +67,8 @@ def replay(job: Job, index_name: str, tree: str, live: LiveReader, commit: str)
     for phase in (1, 2, 3):
         sent = job.publisher.publish(batches.where(F.col("phase") == phase), f"{commit}-{phase}")
         outcomes = sent if outcomes is None else outcomes.unionByName(sent)
+        if not sent.where(F.col("state") == DEGRADED).isEmpty():
+            break
     return outcomes, report_for(job, index_name, tree, live(), with_status=False)
 
 

@@ -41,6 +41,11 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
+def modified(spark: SparkSession, path: str) -> float:
+    """When a file was last written, in seconds since 1970."""
+    return _system(spark, path).getFileStatus(_path(spark, path)).getModificationTime() / 1000
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a folder this package wrote."""
     _system(spark, path).delete(_path(spark, path), True)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from xmlindex.operators.snapshots import DOCUMENT_KEY, at_timestamps, latest_timestamps
 from xmlindex.session import materialize, small_side
 from xmlindex.sources import files
-from xmlindex.sources.versions import VersionedFolder
+from xmlindex.sources.versions import GRACE, VersionedFolder
 
 SNAPSHOT_COLUMNS = (
     "index_name string, doc_key string, snapshot_ts bigint, node_key string, object_id string, "
@@ -49,11 +49,7 @@ class SnapshotStore:
         self.buckets = int(files.read_text(spark, settings))
 
     def _folder(self) -> str:
-        version = self._versions.current()
-        if version == 0:
-            self._versions.publish(1)
-            version = 1
-        return self._versions.folder(version)
+        return self._versions.folder(self._versions.current())
 
     def read(self) -> DataFrame:
         """All snapshots, with `commit` and `bucket`."""
@@ -103,12 +99,17 @@ class SnapshotStore:
 
     def replace(self, rows: DataFrame, note: str) -> None:
         """Make `rows` the whole content, as a new version."""
-        version = max(1, self._versions.current()) + 1
-        self._write(rows, f"{self._versions.folder(version)}/commit={note}")
-        self._versions.publish(version, note)
+        version = self._versions.current() + 1
+        folder = self._versions.new_folder()
+        self._write(rows, f"{folder}/commit={note}")
+        self._versions.publish(version, folder)
+        self._versions.drop_superseded()
 
-    def vacuum(self, keep: int = 2) -> None:
-        """Keep the newest snapshots of every document and drop older ones."""
+    def vacuum(self, keep: int = 2, grace: float = GRACE) -> None:
+        """Keep the newest snapshots of every document and drop older ones.
+
+        What the store held before is deleted once it was replaced `grace` seconds ago.
+        """
         from pyspark.sql import Window
 
         snapshots = self.read()
@@ -120,6 +121,7 @@ class SnapshotStore:
             .drop("rn")
         )
         self.replace(snapshots.join(kept, [*DOCUMENT_KEY, "snapshot_ts"], "left_semi"), "vacuum")
+        self._versions.drop_superseded(grace)
 
     def drop_index(self, index_name: str) -> None:
         """Forget everything about an index."""

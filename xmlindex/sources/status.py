@@ -29,9 +29,10 @@ class StatusStore:
 
     def write(self, status: DataFrame) -> None:
         version = self._versions.current() + 1
-        columns = self._schema.names
-        status.select(*columns).write.mode("overwrite").parquet(self._versions.folder(version))
-        self._versions.publish(version)
+        folder = self._versions.new_folder()
+        status.select(*self._schema.names).write.mode("errorifexists").parquet(folder)
+        self._versions.publish(version, folder)
+        self._versions.drop_superseded()
 
 
 def read_status_document(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from xmlindex.config import CollectionConfig
-from xmlindex.functions.records import doc_key
 from xmlindex.operators.extract import index_table, resolve_config
 from xmlindex.operators.removal import covered_by_removal, removal_scope
 from xmlindex.plans.indexing import index_documents, remove_documents
@@ -59,20 +58,33 @@ def apply_events(job: Job, events: DataFrame, commit: str, snapshot_ts: int | No
         if job.pending.any():
             flush_removals(job, f"{commit}-collections", snapshot_ts)
         if not deletes.isEmpty():
-            remove_documents(job, _index_keys(job, deletes), f"{commit}-documents", snapshot_ts + 1)
+            remove_documents(job, _index_keys(job, deletes, f"{commit}-documents"), f"{commit}-documents", snapshot_ts + 1)
         if not upserts.isEmpty():
             documents = upserts.select("collection", "collection_id", "document_id", "xml")
             index_documents(job, documents, f"{commit}-upserts", snapshot_ts + 2, on_malformed="skip")
 
 
-def _index_keys(job: Job, deletes: DataFrame) -> DataFrame:
-    """(index, document key) of deleted documents, for every index of their collection."""
+def _index_keys(job: Job, deletes: DataFrame, commit: str) -> DataFrame:
+    """(index, document key) of deleted documents, for every index of their collection.
+
+    An event without the user's id is looked up by collection and internal id among the keys of
+    the store, since the internal id of one document may be the user's id of another.
+    """
     names = index_table(job.spark, job.configs)
-    return (
+    asked = (
         resolve_config(deletes.drop("xml"), job.configs)
         .join(F.broadcast(names), "config_no")
-        .select("index_name", doc_key("user_document_id", "document_id").alias("doc_key"))
+        .select("index_name", "collection", F.col("document_id").cast("string").alias("document_id"), "user_document_id")
     )
+    known = asked.where("user_document_id is not null").select("index_name", F.col("user_document_id").alias("doc_key"))
+    unknown = asked.where("user_document_id is null").drop("user_document_id")
+    if unknown.isEmpty():
+        return known
+    internal = ["index_name", "collection", "document_id"]
+    ever = job.store.read().join(unknown, internal, "left_semi").select("index_name", "doc_key").distinct()
+    # A key may have passed to another document since; only what it stands for now counts.
+    held = job.store.latest_of(ever, without_commit=commit).join(unknown, internal, "left_semi")
+    return known.unionByName(held.select("index_name", "doc_key")).distinct()
 
 
 def start_incremental(job: Job, events: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
