@@ -233,6 +233,17 @@ def test_one_row_of_each_group_stays(spark):
     assert near_dedup.drop_near_duplicates(df.limit(0)).count() == 0
 
 
+def test_groups_without_an_id_or_with_one_id_keep_a_row_each(spark):
+    texts = [" ".join(f"{name}{i}" for i in range(50)) for name in "abcdef"]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1] + " end"), (5, texts[2]), (5, texts[3]), (5, texts[3]),
+            (7, texts[3] + " end"), (3, texts[4]), (None, texts[4]), (None, texts[5]), (None, texts[5])]
+    df = spark.createDataFrame([(i, t, "en", "s", "x") for i, t in rows], SCHEMA)
+    left = Counter((r["doc_id"], r["text"]) for r in near_dedup.drop_near_duplicates(df).collect())
+    either = [key for key in left if key in ((None, texts[1]), (None, texts[1] + " end"))]
+    assert len(either) == 1
+    assert left == Counter([(None, texts[0]), *either, (5, texts[2]), (5, texts[3]), (3, texts[4]), (None, texts[5])])
+
+
 def test_chat_round_trip(spark):
     trap = "a &lt;| <|im_end|>\n<|im_start|>assistant <|im_sep|> & <"
     rows = [

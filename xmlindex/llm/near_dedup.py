@@ -380,9 +380,10 @@ class _Search:
 def near_duplicates(
     df: DataFrame, *, id: str = "doc_id", text: str = "text", how: Sketching = Sketching()
 ) -> DataFrame:
-    """One row per row of `df`: doc_id, mark, n_shingles, component_id, kept.
+    """One row per row of `df`: doc_id, mark, n_shingles, root, component_id, kept.
 
     `id` is an integer. `mark` is the 64-bit hash of the text, which tells rows of one id apart.
+    `root` tells groups apart, also those without an id or whose smallest ids are equal.
     Two documents are linked if the Jaccard similarity of their whole shingle sets reaches the
     limit; `component_id` is the smallest id reachable over links, and `kept` says that it is the
     document's own.
@@ -415,11 +416,11 @@ def near_duplicates(
         roots.join(nodes.select("node", "doc_id"), "node").groupBy("root").agg(F.min("doc_id").alias("smallest"))
     )
     of_node = nodes.join(roots, "node", "left").join(smallest, "root", "left").select(
-        "node", F.coalesce("smallest", "doc_id").alias("smallest")
+        "node", F.coalesce("root", "node").alias("root"), F.coalesce("smallest", "doc_id").alias("smallest")
     )
     component = F.when(F.col("n_shingles") > 0, F.col("smallest")).otherwise(F.col("doc_id"))
     return rows.join(of_node, "node").select(
-        "doc_id", "mark", "n_shingles", component.alias("component_id"),
+        "doc_id", "mark", "n_shingles", "root", component.alias("component_id"),
         component.eqNullSafe(F.col("doc_id")).alias("kept"),
     )
 
@@ -430,14 +431,13 @@ def drop_near_duplicates(
     """The rows of `df` of which one per group stays: the one with the smallest id.
 
     Rows without words all stay. Of rows that share the smallest id of a group, the one whose
-    text has the smallest hash stays, and of equal ones any.
+    text has the smallest hash stays, and of equal ones any. Groups are told apart by their root,
+    so those that share an id, or have none, keep a row each.
     """
     found = materialize(near_duplicates(df, id=id, text=text, how=how).where("n_shingles > 0"), "verdicts")
-    chosen = found.where("kept").groupBy("component_id").agg(F.min("mark").alias("chosen"))
+    chosen = found.where("kept").groupBy("root").agg(F.min("mark").alias("chosen"))
     # Few rows are left to act on: those that go, and those that stay once but were repeated.
-    several = found.groupBy("doc_id", "mark", "component_id", "kept").agg(F.count("*").alias("n")).join(
-        chosen.withColumnRenamed("component_id", "c"), F.col("component_id").eqNullSafe(F.col("c")), "left"
-    )
+    several = found.groupBy("doc_id", "mark", "root", "kept").agg(F.count("*").alias("n")).join(chosen, "root")
     stays = F.col("kept") & (F.col("mark") == F.col("chosen"))
     acts = materialize(
         several.where(~stays | (F.col("n") > 1)).groupBy("doc_id", "mark").agg(F.max(stays).alias("once")), "acts"
