@@ -311,6 +311,39 @@ def test_license_scan(spark):
     assert licenses.scan_licenses(documents(spark, [])).count() == 0
 
 
+def test_similar_licenses_are_told_apart(spark):
+    free = "This {} is free software; you can redistribute it and/or modify it under the terms of the {} as published by the Free Software Foundation"
+    work = "This work is licensed under a Creative Commons {} License"
+    cases = [
+        ("Licensed under CC BY 4.0", "cc-by"), ("Licensed under CC BY-SA 4.0", "cc-by"),
+        ("Licensed under CC BY-NC 4.0", "cc-by,cc-by-nc"), ("licensed under CC BY-NC 3.0", "cc-by,cc-by-nc"),
+        (free.format("program", "GNU General Public License"), "gpl"),
+        (free.format("library", "GNU General Public License"), "gpl"),
+        (free.format("library", "GNU Lesser General Public License"), "lgpl"),
+        (free.format("program", "GNU Lesser General Public License"), "lgpl"),
+        (free.format("library", "GNU Library General Public License"), "lgpl"),
+        (free.format("program", "GNU Affero General Public License"), ""),
+        (free.format("program", "GNU General Public Licence").replace("you can ", "you may "), "gpl"),
+        (free.format("program", "GNU General Public License") + ". " + free.format("library", "GNU Lesser General Public License"), "gpl,lgpl"),
+        ("This work is licensed under the GNU Lesser General Public License version 3", "lgpl"),
+        (work.format("Attribution 4.0 International"), "cc-by"), (work.format("Attribution-ShareAlike 4.0 International"), "cc-by-sa"),
+        (work.format("Attribution 3.0 Unported"), "cc-by"), (work.format("Attribution-Share Alike 3.0 Unported"), "cc-by-sa"),
+        (work.format("Attribution"), "cc-by"), (work.format("Attribution-NonCommercial 4.0 International"), ""),
+        (work.format("Attribution-NonCommercial-ShareAlike 3.0 Unported"), ""),
+        ("Licensed under the Apache Licence, Version 2.0", "apache"), ("Licensed under the Mozilla Public License, Version 2.0", ""),
+    ]
+    # Each notice against all others; a base phrase within it gives its label as well.
+    cases += [
+        (notice, ",".join(sorted({label, *(known for phrase, known in licenses.PHRASES.items() if phrase in notice)})))
+        for notice, label in licenses.NOTICES.items()
+    ]
+    got = {r["doc_id"]: r["labels"] for r in licenses.scan_licenses(documents(spark, [text for text, _ in cases])).collect()}
+    assert [(text, got[i]) for i, (text, _) in enumerate(cases)] == cases
+    notices = {"you may use red things under this": "a", "you may use red things under this and those": "b"}
+    rows = licenses.scan_licenses(documents(spark, list(notices)), notices=notices).collect()
+    assert {r["doc_id"]: r["labels"] for r in rows} == {0: "a", 1: "b"}
+
+
 def test_pipeline_stages_keep_the_columns(spark, tmp_path):
     import corpus_pipeline
 

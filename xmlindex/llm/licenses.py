@@ -34,15 +34,34 @@ NOTICES = {
     "lesser general public license as published by the free software foundation": "lgpl",
     "redistribution and use in source and binary forms with or without modification are permitted provided "
     "that the following conditions are met": "bsd",
+    "this library is free software you can redistribute it and or modify it under the terms of the gnu "
+    "library general public license as published by the free software foundation": "lgpl",
+    "this work is licensed under the gnu lesser general public license version 3": "lgpl",
     "this source code form is subject to the terms of the mozilla public license v 2 0": "mpl",
     "licensed under cc by nc 4 0": "cc-by-nc",
-    "this work is licensed under a creative commons attribution 4 0 international license": "cc-by",
-    "this work is licensed under a creative commons attribution sharealike 4 0 international license": "cc-by-sa",
+    **{
+        f"this work is licensed under a creative commons {kind}{version} license": label
+        for kind, label in (
+            ("attribution", "cc-by"), ("attribution sharealike", "cc-by-sa"), ("attribution share alike", "cc-by-sa"),
+        )
+        for version in (" 4 0 international", " 3 0 unported", " 2 5 generic", " 2 0 generic", " 1 0 generic", "")
+    },
     "permission to use copy modify and or distribute this software for any purpose with or without fee is "
     "hereby granted": "isc",
     "this is free and unencumbered software released into the public domain": "unlicense",
 }
 
+# The words by which a license is known. A span of a notice that has some must hold one.
+NAMES = {
+    "mit": ("mit",),
+    "apache": ("apache",),
+    "gpl": ("gnu general",),
+    "lgpl": ("lesser", "gnu library", "library general"),
+    "mpl": ("mozilla",),
+    "cc-by-nc": ("nc",),
+    "cc-by-sa": ("attribution sharealike", "attribution share"),
+}
+
 
 @dataclass(frozen=True)
 class Voting:
@@ -70,6 +89,30 @@ def _templates(how: Voting, notices: dict[str, str]) -> list[tuple[int, str, str
     return rows
 
 
+def _needed(rows: list[tuple[int, str, str, bool, int, int]], how: Voting) -> list[tuple[int, list[list[int]]]]:
+    """template, sets of places: a span of the notice must hold a gram of each set.
+
+    One set are the grams with the license's name. The others are the grams that a notice of
+    another license lacks, if that has so many of the rest that it might pass for this one.
+    """
+    grams: dict[int, list[str]] = {}
+    labels = {}
+    for number, gram, label, base, _, _ in rows:
+        if not base:
+            grams.setdefault(number, []).append(gram)
+            labels[number] = label
+    needed = []
+    for number, own in grams.items():
+        names = [f" {name} " for name in NAMES.get(labels[number], ())]
+        sets = [[at for at, gram in enumerate(own) if any(name in f" {gram} " for name in names)]]
+        for other, theirs in grams.items():
+            lacks = [at for at, gram in enumerate(own) if gram not in theirs]
+            if labels[other] != labels[number] and 1 - len(lacks) / len(own) >= how.min_score:
+                sets.append(lacks)
+        needed.append((number, [places for places in sets if places]))
+    return needed
+
+
 def scan_licenses(
     df: DataFrame, *, id: str = "doc_id", text: str = "text", how: Voting = Voting(), notices: dict[str, str] | None = None
 ) -> DataFrame:
@@ -80,7 +123,11 @@ def scan_licenses(
     lie (place in the document less place in the template). A base phrase stands where one
     diagonal has the votes of all its grams. For the longer notices, neighbouring diagonals are
     merged, so words left out or added in between do not break a span, and a span is verified: its
-    grams must be distinct, enough of the notice's, and lie within the notice's length.
+    grams must be distinct, enough of the notice's, lie within the notice's length, and have some of
+    those that tell the license from others: its name, and what each similar notice lacks. A
+    span all whose grams also belong to a span of another license goes if that one has more of
+    them or the better score. A license that is not among the notices has no label of its own,
+    and one that a notice offers as a second choice, farther on than `slack` words, only by a base phrase.
 
     n_base: places of base phrases; first_word and last_word: their smallest and largest start,
     null without any; base_labels and labels: distinct, sorted, joined by commas, empty without
@@ -99,6 +146,7 @@ def scan_licenses(
     grams = grams.withColumn("t_words", F.split("t_gram", " ")).withColumn(
         "t_hash", F.xxhash64(*(F.get("t_words", F.lit(j)) for j in range(k)))
     ).drop("t_words")
+    needed = spark.createDataFrame(_needed(rows, how), "template int, needed array<array<int>>")
     hashes = [r[0] for r in grams.select("t_hash").distinct().collect()]
 
     def found(words: Column) -> Column:
@@ -130,7 +178,8 @@ def scan_licenses(
     by_diagonal = votes.groupBy("row", "template", "diagonal").agg(
         F.first("id").alias("id"), F.first("n_words").alias("n_words"), F.first("label").alias("label"),
         F.first("base").alias("base"), F.first("n_grams").alias("n_grams"), F.count("t_at").alias("votes"),
-        F.collect_set("t_at").alias("places"), F.min("at").alias("low"), F.max("at").alias("high"),
+        F.collect_set("t_at").alias("places"), F.collect_set(F.when(~F.col("base"), F.col("at"))).alias("hits"),
+        F.min("at").alias("low"), F.max("at").alias("high"),
     )
 
     # Diagonals of a notice that follow each other closely belong to one span.
@@ -146,18 +195,35 @@ def scan_licenses(
             F.first("id").alias("id"), F.first("n_words").alias("n_words"), F.first("label").alias("label"),
             F.first("base").alias("base"), F.first("n_grams").alias("n_grams"),
             F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"),
+            F.array_distinct(F.flatten(F.collect_list("hits"))).alias("hits"),
             F.min("low").alias("low"), F.max("high").alias("high"), F.min("diagonal").alias("start"),
         )
         .withColumn("score", F.size("places") / F.col("n_grams"))
         .withColumn("long", F.col("high") - F.col("low") + 1)
+        .join(F.broadcast(needed), "template", "left")
     )
     is_base = F.coalesce(F.col("base"), F.lit(False)) & (F.size("places") == F.col("n_grams"))
-    is_notice = ~F.coalesce(F.col("base"), F.lit(True)) & (F.col("score") >= how.min_score) & (
+    verified = ~F.coalesce(F.col("base"), F.lit(True)) & (F.col("score") >= how.min_score) & (
         F.col("long") <= F.col("n_grams") + how.slack * 3
+    ) & F.forall("needed", lambda some: F.arrays_overlap(some, F.col("places")))
+    # Only a span that starts at most a notice's length before can hold all grams of another.
+    reach = max([n for *_, n in rows], default=0) + how.slack * 3
+    before = Window.partitionBy("row").orderBy("low").rangeBetween(-reach, 0)
+    judged = (
+        spans.select(
+            "row", "id", "n_words", "label", "score", "start", is_base.alias("is_base"),
+            F.coalesce(verified, F.lit(False)).alias("verified"), "low", F.when(verified, F.col("hits")).alias("hits"),
+        )
+        .withColumn("near", F.collect_list(F.when(F.col("verified"), F.struct("label", "score", "hits"))).over(before))
     )
+    is_base = F.col("is_base")
+    is_notice = F.col("verified") & ~F.exists("near", lambda other: (
+        (other["label"] != F.col("label")) & (F.size(F.array_except("hits", other["hits"])) == 0)
+        & ((F.size(other["hits"]) > F.size("hits")) | (other["score"] > F.col("score")))
+    ))
     place = F.when(is_base, F.col("start")).cast("long")
     labels = lambda column: F.array_join(F.array_sort(column), ",")
-    return spans.groupBy("row").agg(
+    return judged.groupBy("row").agg(
         F.first("id").alias(id), F.first("n_words").cast("long").alias("n_words"),
         F.count(place).alias("n_base"), F.min(place).alias("first_word"), F.max(place).alias("last_word"),
         labels(F.collect_set(F.when(is_base, F.col("label")))).alias("base_labels"),
