@@ -244,6 +244,21 @@ def test_groups_without_an_id_or_with_one_id_keep_a_row_each(spark):
     assert left == Counter([(None, texts[0]), *either, (5, texts[2]), (5, texts[3]), (3, texts[4]), (None, texts[5])])
 
 
+def test_lists_find_contained_pairs_at_the_limit():
+    rng = np.random.default_rng(4)
+    for words, percent in ((3, 85), (5, 80)):
+        how = near_dedup.Sketching(words=words, percent=percent)
+        assert how.loss(how.lists) <= how.missed < how.loss(how.lists - 1)
+        # Against drawn sets: the smaller one is `percent` of the larger.
+        lost, few = 0, 5
+        for _ in range(1000):
+            whole = rng.integers(0, 1 << 63, 1000, np.uint64)
+            sketches = [np.sort(s)[: how.retained] for s in (whole, whole[: 10 * percent])]
+            a, b = near_dedup.list_keys(sketches, few, how.per_key)
+            lost += not (a == b).any()
+        assert abs(lost / 1000 - how.loss(few)) < 0.03
+
+
 def test_chat_round_trip(spark):
     trap = "a &lt;| <|im_end|>\n<|im_start|>assistant <|im_sep|> & <"
     rows = [

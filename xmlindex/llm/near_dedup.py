@@ -35,7 +35,7 @@ class Sketching:
     retained: int = 64
     # Retained values that make up the key of an inverted list.
     per_key: int = 2
-    # Chance that a pair just at the limit shares no list; sets the number of lists.
+    # Chance that a pair just at the limit shares no list, at most; sets the number of lists.
     missed: float = 1e-6
     # Every list gives the pairs of its hub. Where these leave it in parts and all but so many of
     # its texts are in one part, the others give their pairs; else rare shingles decide on pairs.
@@ -50,12 +50,23 @@ class Sketching:
 
     @property
     def lists(self) -> int:
-        """How many lists a sketch has to be entered in."""
-        # Two sketches at the limit retain this share of their values in common, less a margin as
-        # their ends differ.
-        common = 0.95 * 2 * self.limit / (1 + self.limit)
-        alike = (common / (2 - common)) ** self.per_key
-        return max(1, math.ceil(math.log(self.missed) / math.log(1 - alike)))
+        """The fewest lists a sketch has to be entered in for `missed` to hold."""
+        if self.loss(10_000) > self.missed:
+            raise ValueError("sketches retain too few values for so small a chance of missing a pair")
+        return next(n for n in range(1, 10_001) if self.loss(n) <= self.missed)
+
+    def loss(self, lists: int) -> float:
+        """The chance that a pair at the limit shares none of so many lists, where one contains the other.
+
+        Of the larger set's sketch, each value is in the smaller set with a chance of `limit`, and then
+        in its sketch too. All lists of a pair depend on how many are. Sets of equal size share more.
+        """
+        r, loss = self.retained, 0.0
+        for common in range(r + 1):
+            chance = math.comb(r, common) * self.limit**common * (1 - self.limit) ** (r - common)
+            alike = math.prod(max(0, common - i) / (2 * r - common - i) for i in range(self.per_key))
+            loss += chance * (1 - alike) ** lists
+        return loss
 
     @property
     def estimate_floor(self) -> float:
