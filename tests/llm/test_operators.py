@@ -188,6 +188,20 @@ def test_quality_counts_and_host_verdicts(spark):
     assert quality.judge_quality(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_toxicity_learns_from_one_row_of_each_labelled_id_of_the_table(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda rows, pairs, labels, *more: seen.append(sorted(labels.tolist())))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
+    free = [r[0] for r in labels.where(~toxicity.held_out(F.col("doc_id"))).select("doc_id").orderBy("doc_id").collect()]
+    here = [i for i in free if i >= 380]
+    repeats = [(here[0], f"text {n}", "en", "s", "x") for n in range(9)]
+    df = spark.createDataFrame([(i, "some words", "en", "s", "x") for i in here] + repeats, SCHEMA)
+    for most in (3, 100):
+        toxicity.train(df, labels, how=toxicity.Training(rows_per_label=most))
+    counts = [sum(i % 2 == value for i in here) for value in (0, 1)]
+    assert min(counts) > 3 and seen == [[0] * 3 + [1] * 3, [0] * counts[0] + [1] * counts[1]]
+
+
 def brute_components(texts, words, percent):
     sets = []
     for t in texts:

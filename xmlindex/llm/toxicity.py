@@ -9,7 +9,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from xmlindex.llm.support import held, whole_text
 
@@ -174,7 +174,8 @@ def train(
     """A model from the labelled rows of `df` that are not held out.
 
     The sample is bounded by `how.rows_per_label`: of each label the rows with the smallest hash
-    of their id. Rows without a label, with another than 0 or 1, or whose id has two different
+    of their id, among the ids that `df` has. An id is one row: of several, the text with the smallest
+    hash teaches. Rows without a label, with another than 0 or 1, or whose id has two different
     labels teach nothing.
     """
     known = (
@@ -184,13 +185,14 @@ def train(
         .where(F.col("label") == F.col("other")).select("id", "label")
     )
     totals = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    order = F.xxhash64("id")
-    picked = None
-    for value in (0, 1):
-        some = known.where(F.col("label") == value).orderBy(order, "id").limit(how.rows_per_label)
-        picked = some if picked is None else picked.union(some)
-    sample = df.select(F.col(f"`{id}`").alias("id"), whole_text(f"`{text}`").alias("text")).join(
-        F.broadcast(picked), "id"  # bounded by rows_per_label
+    rows = df.select(F.col(f"`{id}`").alias("id"), whole_text(f"`{text}`").alias("text"))
+    present = known.join(rows.select("id").distinct(), "id", "left_semi")
+    order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
+    picked = present.withColumn("place", F.row_number().over(order)).where(F.col("place") <= how.rows_per_label)
+    sample = (
+        rows.join(F.broadcast(picked.select("id", "label")), "id")  # bounded by rows_per_label
+        .groupBy("id", "label").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("least"))
+        .select("id", "label", F.col("least.text").alias("text"))
     )
 
     schema = "id string, label int, own array<long>, added array<array<long>>, taken array<array<long>>"
