@@ -315,6 +315,16 @@ def test_token_files_round_trip(spark):
     assert token_files.read_tokens(spark, empty).count() == 0
 
 
+def test_dictionary_sample_takes_distinct_texts_and_any_part(spark):
+    texts = [" ".join(f"{name}{i}" for i in range(200)) for name in "abcdefghijklmnopqrst"]
+    df = documents(spark, texts + ["copy"] * 1500 + [None, ""])
+    sample = [r["text"] for r in token_files.sample_texts(df, text="text", rows=1000, chars=100).collect()]
+    assert len(sample) == len(texts) + 2 and {"copy", ""} < set(sample)
+    windows = {next(t for t in texts if w in t): w for w in sample if w not in ("copy", "")}
+    assert set(windows) == set(texts) and all(len(w) == 100 for w in windows.values())
+    assert any(not t.startswith(w) for t, w in windows.items())
+
+
 def test_license_scan(spark):
     texts = [
         "Released under the MIT License. Also the mit-license!", None, "", "cc", "CC BY-NC 4.0 and GNU General Public License",

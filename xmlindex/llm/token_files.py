@@ -55,14 +55,20 @@ def train_dictionary(encoded: DataFrame, vocabulary: int, *, ids: str = "ids", s
 
 
 def sample_texts(df: DataFrame, *, text: str, rows: int, chars: int) -> DataFrame:
-    """At most `rows` beginnings of texts of at most `chars` characters, spread over the table by a hash.
+    """Windows of at most `chars` characters of at most `rows` distinct texts, spread over the table by a hash.
 
-    Only the dictionary's training sees them: it shapes the compression, not what is written.
+    Texts are told apart by their hash; another hash places the window. Only the dictionary's
+    training sees them: it shapes the compression, not what is written.
     """
-    total = max(1, df.count())
-    spread = F.pmod(F.xxhash64(F.col(f"`{text}`")), F.lit(1 << 20))
+    whole = whole_text(f"`{text}`")
+    mark = F.xxhash64(whole)
+    total = max(1, df.select(F.approx_count_distinct(mark)).first()[0])
     share = min(1 << 20, max(1, (rows << 20) * 3 // (total * 4) + 1))
-    return df.where(spread < share).select(F.substring(whole_text(f"`{text}`"), 1, chars).alias("text")).limit(rows)
+    begin = F.pmod(F.xxhash64(whole, F.lit("window")), F.greatest(F.length(whole) - chars, F.lit(0)) + 1) + 1
+    picked = df.where(F.pmod(mark, F.lit(1 << 20)) < share).select(
+        mark.alias("mark"), whole.substr(begin.cast("int"), F.lit(chars)).alias("text")
+    )
+    return picked.dropDuplicates(["mark"]).select("text").limit(rows)
 
 
 def _dictionary(data: bytes) -> zstandard.ZstdCompressionDict | None:
