@@ -1,4 +1,4 @@
-"""Exact top-k search by inner product over integer vectors (MaxScore)."""
+"""Exact top-k search by inner product over integer vectors, rows pruned by MaxScore's bounds."""
 
 from __future__ import annotations
 
@@ -19,11 +19,12 @@ def quantise(vector: Column, scale: int = 1024) -> Column:
 
 
 class Postings:
-    """The inverted lists of a shard: one term per component and sign of its weight.
+    """The vectors of a shard by component, as one dense matrix.
 
-    A component's positive and negative weights are two terms, so every posting of a term pulls a
-    score the same way. `weights[d]` holds the weights of component d for all rows; the largest
-    and smallest of them bound what the component can add to a score.
+    `weights[d]` holds the weights of component d for all rows; the largest and smallest of them
+    bound what the component can add to a score. Dense vectors have a weight in every component,
+    so there are no lists that a query could skip, and of MaxScore the pruning of rows by these
+    bounds is left.
     """
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
@@ -36,11 +37,10 @@ class Postings:
     def search(self, query_id: int, query: np.ndarray, k: int, threshold: int | None) -> tuple[np.ndarray, np.ndarray]:
         """The places and scores of the best k rows but the query's own; ties to smaller ids.
 
-        `threshold` is a score that k rows of this shard are known to reach, or None. Terms are
-        taken from the largest bound down. As long as what the terms not yet traversed could add
-        may lift an unseen row over the threshold, they are essential, and their lists are
-        traversed for all rows. The rest is non-essential: only rows that are still competitive
-        are probed in them, and rows that their bounds can no longer lift are left behind.
+        `threshold` is a score that k rows of this shard are known to reach, or None; it rises with
+        what is known of the rows. Components are taken from the largest bound down, a quarter at
+        a time. After each, rows that the bounds of the rest can no longer lift to the threshold
+        are left behind, if they are many enough to be worth it.
         """
         bounds = np.maximum(query * self.highest, query * self.lowest)
         terms = np.argsort(-bounds, kind="stable")
@@ -87,7 +87,7 @@ def top_k(
 
     Both sides have an id and an integer array. Candidates are dealt by a hash into shards,
     queries into blocks; each pair of a shard and a block is one group of bounded size, searched
-    with MaxScore over the shard's postings, and the best k of the shards are merged. So a query
+    with rows pruned by the shard's bounds, and the best k of the shards are merged. So a query
     meets every candidate, and no table is broadcast or brought into one task.
 
     Rows whose id or vector is null, or whose vector differs in length from the query's, take no
