@@ -9,7 +9,7 @@ from xmlindex.config import load_config
 from xmlindex.functions import records as R
 from xmlindex.operators.extract import (
     duplicate_object_ids, extract_records, extraction_report, fallback_report, processed_documents,
-    resolve_config, unconfigured_documents,
+    resolve_config, skipped_documents, unconfigured_documents,
 )
 from xmlindex.operators.shred import malformed_documents, shred_documents, shred_xml
 
@@ -172,3 +172,13 @@ def test_nearest_configuration_with_many(spark):
     few = configs[7:8] + configs[300:]
     found = {r.collection: r.config_no for r in resolve_config(frame, few).collect()}
     assert found == {"/db/c7/deep/x": 2, "/db/c7/other": 0, "/db/zzz": 1, "/else": None}
+
+
+def test_documents_without_content_are_reported_in_both_modes(spark):
+    config = load_config({"collection": "/db", "indexes": [{"name": "i", "roots": [{"path": "/x"}]}]})
+    documents = spark.createDataFrame([("/db", 1, 1, "<x/>"), ("/db", 1, 2, None)], DOCUMENTS)
+    for mode in ("fail", "skip"):
+        shredded = shred_documents(resolve_config(documents, [config]), [config], mode)
+        markers = {r["document_id"]: r["error"] for r in shredded.where("scope is null").collect()}
+        assert markers == {1: None, 2: "no content"}
+        assert [r["document_id"] for r in skipped_documents(shredded, [config]).collect()] == [2]

@@ -450,6 +450,8 @@ def shred_documents(
     `documents` has `xml` (string or binary) and `config_no` (see `resolve_config`); its other
     columns are passed through. The marker row lists the document as processed; with
     `on_malformed="skip"` its `error` says why a document that is not well-formed gave nothing.
+    A document whose `xml` is null has nothing to parse and ends no run: in both modes its `error`
+    is "no content".
     """
     if on_malformed not in ("fail", "skip"):
         raise ValueError("on_malformed is 'fail' or 'skip'")
@@ -468,8 +470,7 @@ def shred_documents(
                 if not numbers[n].is_valid:
                     continue  # no configuration covers it
                 if not xmls[n].is_valid:
-                    if on_malformed == "skip":
-                        builder.add(n, None, None, "no content")
+                    builder.add(n, None, None, "no content")
                     continue
                 try:
                     rows, doc_values = _read_document(matchers[numbers[n].as_py()], xmls[n].as_py())

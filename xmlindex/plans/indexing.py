@@ -67,7 +67,8 @@ def index_documents(
     """Bring the index up to date with `documents`; returns one outcome per changed document.
 
     Documents that are not well-formed keep their stored records; with `on_malformed="skip"`
-    they degrade the status of their collection instead of ending the run.
+    they degrade the status of their collection instead of ending the run. Those whose `xml` is
+    null do so in both modes.
     """
     snapshot_ts = job.now_millis() if snapshot_ts is None else snapshot_ts
     with Staging() as staging:
