@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from xmlindex.llm import bpe, chat, licenses, near_dedup, packing, quality, token_counts, token_files, topk, toxicity
+from xmlindex.llm import (
+    bpe, chat, licenses, near_dedup, packing, quality, resampling, sharding, token_counts, token_files, topk, toxicity,
+    whitening,
+)
 from xmlindex.llm.support import table
 from xmlindex.session import ship_package, staging_path
 
@@ -18,11 +21,25 @@ END_ID = 2
 SEQUENCE = 1024
 LIMIT = 1024
 TOXIC_FROM = 0.3
+SHARDS = 8
 SHINGLES = near_dedup.Sketching(words=3, percent=85)
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
+# CRC-32 from its polynomial, for text: a table of the bytes, then one step a byte.
+_CRC32_SQL = """
+crc_table AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(
+    range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, n)) AS crc_of
+)"""
+
+
+def _crc32_sql(text: str) -> str:
+    codes = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: CAST('0x' || x AS BIGINT))"
+    step = "lambda c, b: xor(c >> 8, crc_of[(xor(c, b) & 255) + 1])"
+    return f"xor(4294967295, list_reduce({codes}, {step}, 4294967295))"
+
 
 def query(sql: str | None = None):
     def register(function: Query) -> Query:
@@ -213,3 +230,123 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query()
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings")
+    vectors = embeddings.select("vec_id", whitening.quantise_shifted(F.col("embedding")).alias("vector"))
+    model = whitening.fit_whitening(vectors)
+    explained = F.array(*(F.lit(float(v / model.trace)) for v in model.eigenvalues)).cast("array<double>")
+    return whitening.whiten(vectors, model).select(
+        "vec_id", F.expr("try_cast(whitening.deviation AS bigint)").alias("deviation"), F.posexplode("whitening.whitened")
+    ).select(
+        "vec_id",
+        (F.col("pos") + 1).alias("component"),
+        F.lit(model.n).cast("long").alias("n"),
+        "deviation",
+        F.col("col").alias("whitened"),
+        F.get(explained, F.col("pos")).alias("explained"),
+        F.lit(model.identity_error).alias("identity_error"),
+    )
+
+
+_WORDS_SQL = r"""
+regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+
+@query(f"""
+WITH {_CRC32_SQL},
+words AS (SELECT doc_id, unnest({_WORDS_SQL}) AS w FROM documents),
+wanted AS (SELECT unnest({_WORDS_SQL}) AS w FROM benchmark),
+buckets AS (
+  SELECT w, {_crc32_sql("w")} % 10000 AS bucket FROM (SELECT w FROM words UNION SELECT w FROM wanted), crc_table
+),
+source AS (SELECT bucket, count(*) AS s FROM words JOIN buckets USING (w) GROUP BY bucket),
+target AS (SELECT bucket, count(*) AS t FROM wanted JOIN buckets USING (w) GROUP BY bucket),
+totals AS (SELECT (SELECT count(*) FROM words) AS all_s, (SELECT count(*) FROM wanted) AS all_t),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(
+           CAST(coalesce(t, 0) + 1 AS DOUBLE) * CAST(all_s + 10000 AS DOUBLE)
+           / (CAST(s + 1 AS DOUBLE) * CAST(all_t + 10000 AS DOUBLE)))) AS BIGINT) AS gain
+  FROM source LEFT JOIN target USING (bucket), totals
+),
+sums AS (
+  SELECT doc_id, count(*) AS n, CAST(sum(gain) AS BIGINT) AS total
+  FROM words JOIN buckets USING (w) JOIN gains USING (bucket) GROUP BY doc_id
+),
+weighed AS (
+  SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_features,
+         CAST(coalesce(CASE WHEN total < 0 THEN -((-total + n - 1) // n) ELSE total // n END, 0) AS BIGINT) AS weight,
+         CAST('0x' || substr(sha256('2024:' || d.doc_id), 1, 8) AS BIGINT) AS h
+  FROM documents d LEFT JOIN sums USING (doc_id)
+),
+scored AS (
+  SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM weighed
+),
+ranked AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, 10 * count(*) OVER () // 100 AS drawn
+  FROM scored WHERE n_features >= 20
+)
+SELECT s.doc_id, n_features, weight, score, place AS rank
+FROM scored s LEFT JOIN ranked r ON r.doc_id = s.doc_id AND place <= drawn
+""")
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    drawn = resampling.resample(documents, table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", *(f"resampling.{c}" for c in ("n_features", "weight", "score", "rank")))
+
+
+def _step_sql(value: str) -> str:
+    """The step of a value: how many of the 63 quantiles are less."""
+    return f"""(SELECT list_transform(range(1, 64), lambda n: v[CAST(ceil(n / 64.0 * len(v)) AS BIGINT)])
+               FROM (SELECT list_sort(list({value})) AS v FROM coded WHERE {value} IS NOT NULL))"""
+
+
+def _code_sql(column: str) -> str:
+    """The six bytes after those that all values begin with, as a number."""
+    shared = f"""(SELECT coalesce(list_max(list_filter(range(1, least(len(a), len(b)) + 1), lambda n: a[:n] = b[:n])), 0)
+                  FROM (SELECT min({column}) AS a, max({column}) AS b FROM documents))"""
+    return f"CAST('0x' || rpad(hex(encode({column}[{shared} + 1:]))[:12], 12, '0') AS BIGINT)"
+
+
+_CURVE_DIGITS, _CURVE_STATES = sharding.curve_tables(3)
+
+
+@query(f"""
+WITH {_CRC32_SQL},
+coded AS (
+  SELECT doc_id, coalesce(text, '') AS t, {_code_sql("lang")} AS x, {_code_sql("source")} AS y, n_chars AS z FROM documents
+),
+bounds AS (SELECT {_step_sql("x")} AS xs, {_step_sql("y")} AS ys, {_step_sql("z")} AS zs),
+cells AS (
+  SELECT doc_id, t, coalesce(len(list_filter(xs, lambda b: b < x)), 0) AS i, coalesce(len(list_filter(ys, lambda b: b < y)), 0) AS j,
+         coalesce(len(list_filter(zs, lambda b: b < z)), 0) AS k
+  FROM coded, bounds
+),
+indexed AS (
+  SELECT doc_id, octet_length(encode(t)) + 1 AS size, {_crc32_sql("t")} AS text_crc32, list_reduce(
+    list_transform([5, 4, 3, 2, 1, 0], lambda l: ((i >> l) & 1) + 2 * ((j >> l) & 1) + 4 * ((k >> l) & 1)),
+    lambda a, c: (a // 24 * 8 + {_CURVE_DIGITS}[a % 24 * 8 + c + 1]) * 24 + {_CURVE_STATES}[a % 24 * 8 + c + 1],
+    CAST(0 AS BIGINT)) // 24 AS curve
+  FROM cells, crc_table
+),
+placed AS (
+  SELECT *, row_number() OVER (ORDER BY curve, text_crc32, doc_id NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM indexed
+),
+cut AS (SELECT *, place * {SHARDS} // n AS shard FROM placed)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'rows' AS law, CAST(shard AS INTEGER) AS shard,
+       CAST(row_number() OVER (PARTITION BY shard ORDER BY place) - 1 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM cut
+""")
+def op13_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
+    documents = table(spark, sf_dir, "documents").select(
+        "doc_id", *sharding.DIMENSIONS, (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
+    )
+    sharded = sharding.shard_rows(documents, SHARDS, ties=["text_crc32", "doc_id"])
+    return sharded.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "sharding.shard", "sharding.slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
