@@ -8,6 +8,8 @@ a filter on any of the columns leaves most files unread. Expressions only, from
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from xmlindex.operators.ranking import with_positions
@@ -62,6 +64,11 @@ def curve_tables(width: int) -> tuple[list[int], list[int]]:
     return digits, following
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with the value computed once a row, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def hilbert_index(axes: list[Column], bits: int) -> Column:
     """The place of a cell on the Hilbert curve through a cube of 2^bits steps a side.
 
@@ -72,11 +79,14 @@ def hilbert_index(axes: list[Column], bits: int) -> Column:
         raise ValueError(f"{width} axes of {bits} bits do not fit into a long")
     digits, following = (F.array(*(F.lit(v) for v in table)) for table in curve_tables(width))
 
-    def corner(level: Column) -> Column:
-        parts = [((F.call_function("shiftright", axis.cast("int"), level)).bitwiseAND(1)) * F.lit(1 << n) for n, axis in enumerate(axes)]
-        return sum(parts[1:], parts[0])
+    def corners(point: Column) -> Column:
+        def corner(level: Column) -> Column:
+            parts = [
+                F.call_function("shiftright", F.get(point, F.lit(n)), level).bitwiseAND(1) * F.lit(1 << n) for n in range(width)
+            ]
+            return sum(parts[1:], parts[0])
 
-    corners = F.transform(F.sequence(F.lit(bits - 1), F.lit(0)), corner)
+        return F.transform(F.sequence(F.lit(bits - 1), F.lit(0)), corner)
 
     def step(seen: Column, at: Column) -> Column:
         where = seen["state"] * F.lit(1 << width) + at
@@ -86,7 +96,8 @@ def hilbert_index(axes: list[Column], bits: int) -> Column:
         )
 
     start = F.struct(F.lit(0).cast("long").alias("index"), F.lit(0).alias("state"))
-    return F.aggregate(corners, start, step, lambda seen: seen["index"])
+    point = F.array(*(axis.cast("int") for axis in axes))
+    return _bound(point, lambda p: F.aggregate(corners(p), start, step, lambda seen: seen["index"]))
 
 
 def _code(value: Column, shared: int) -> Column:
@@ -95,6 +106,20 @@ def _code(value: Column, shared: int) -> Column:
     return F.conv(F.rpad(rest, 2 * _CODED, "0"), 16, 10).cast("long")
 
 
+def _step(value: Column, bounds: list[float], below: int = 0) -> Column:
+    """How many sorted bounds are less than the value, by halving; 0 for null."""
+    if not bounds:
+        return F.lit(below)
+    middle = len(bounds) // 2
+    return F.when(F.lit(bounds[middle]) < value, _step(value, bounds[middle + 1:], below + middle + 1)).otherwise(
+        _step(value, bounds[:middle], below)
+    )
+
+
+def _stepped(value: Column, bounds: list[float]) -> Column:
+    return _bound(value, lambda one: _step(one, bounds))
+
+
 def quantised(rows: DataFrame, columns: list[str], bits: int = BITS, accuracy: int = 10_000) -> list[Column]:
     """A step from 0 to 2^bits - 1 for each column, such that steps are about equally filled.
 
@@ -129,9 +154,7 @@ def quantised(rows: DataFrame, columns: list[str], bits: int = BITS, accuracy: i
     result = []
     for n, c in enumerate(columns):
         bounds = [float(b) for b in found[f"b{n}"] or []]
-        below = F.array(*(F.lit(b) for b in bounds)) if bounds else F.array().cast("array<double>")
-        value = values[c].cast("double")
-        result.append(F.coalesce(F.size(F.filter(below, lambda bound: bound < value)), F.lit(0)))
+        result.append(_stepped(values[c].cast("double"), bounds))
     return result
 
 
@@ -145,21 +168,23 @@ def shard_rows(
     the staged table, so a cell or a row that a third of the table shares is still split over
     tasks. The runs differ by one row at most (fewer rows than shards leave some empty). Nulls
     come first. Without rows the result is empty. A column named like `output` is replaced;
-    others stay as they are, whatever their names. All columns given are sorted and written along
-    with the row, so give only those that are wanted.
+    others stay as they are, whatever their names. The dimensions are read once beforehand, for
+    their quantiles. All columns given are sorted and written along with the row, so give only
+    those that are wanted.
     """
     if shards < 1:
         raise ValueError("at least one shard")
     kept = rows.drop(output)
+    curve = hilbert_index(quantised(kept, list(dimensions), bits), bits)
     # Written with a number of its own, a row keeps its place when a task is repeated.
     staged = materialize(
-        kept.select(F.struct(*(F.col(f"`{c}`") for c in kept.columns)).alias("kept"), F.monotonically_increasing_id().alias("row")),
+        kept.select(
+            F.struct(*(F.col(f"`{c}`") for c in kept.columns)).alias("kept"), curve.alias("curve"),
+            F.monotonically_increasing_id().alias("row"),
+        ),
         "shard-rows",
     )
-    fields = staged.select("kept.*")
-    axes = quantised(fields, list(dimensions), bits)
-    named = staged.select("kept", "row", *(F.col(f"kept.`{c}`").alias(c) for c in dict.fromkeys([*dimensions, *ties])))
-    ordered = named.select("kept", "row", hilbert_index(axes, bits).alias("curve"), *(F.col(f"`{c}`").alias(f"tie{n}") for n, c in enumerate(ties)))
+    ordered = staged.select("*", *(F.col(f"kept.`{c}`").alias(f"tie{n}") for n, c in enumerate(ties)))
     placed = with_positions(ordered, "curve", *(f"tie{n}" for n in range(len(ties))), "row")
     n_rows = staged.count()
     place = F.col("position") - 1
