@@ -1026,7 +1026,7 @@ def xml_malformed_documents(spark, sf_dir):
 
 def _job(spark: SparkSession, *configs: CollectionConfig) -> Job:
     path = staging_path(spark, "job")
-    return Job.at(spark, path, list(configs), FilePublisher(f"{path}/requests"), buckets=8)
+    return Job.at(spark, path, list(configs), FilePublisher(f"{path}/requests"))
 
 
 def labelled_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -1095,7 +1095,7 @@ WHERE lang <> 'de'""")
 def stream_incremental(spark, sf_dir):
     """Documents arrive as a stream of events; then one collection tree is removed."""
     path = staging_path(spark, "stream")
-    job = Job.at(spark, path, [document_config(QUALITY_DOCUMENT)], FilePublisher(f"{path}/requests"), buckets=8)
+    job = Job.at(spark, path, [document_config(QUALITY_DOCUMENT)], FilePublisher(f"{path}/requests"))
     arriving = (
         spark.readStream.schema(table(spark, sf_dir, "documents").schema)
         .option("pathGlobFilter", "documents.parquet").parquet(sf_dir)

@@ -65,7 +65,7 @@ def index(tmp_path):
 
 @pytest.fixture
 def job(spark, tmp_path, index):
-    return Job.at(spark, str(tmp_path / "store"), [CONFIG], CallPublisher(index, first_delay=0.0, lanes=2), buckets=4)
+    return Job.at(spark, str(tmp_path / "store"), [CONFIG], CallPublisher(index, first_delay=0.0, lanes=2), capacity=3)
 
 
 def documents(spark, *rows):
@@ -244,9 +244,11 @@ def test_vacuum_frees_what_was_replaced(spark, job, tmp_path):
         index_documents(job, documents(spark, ("/db/dict/a", 5, 1, book("one", ("x1", n, "hello")))), f"c{n}", 100 + n)
     folder = tmp_path / "store" / "snapshots"
     job.store.vacuum(keep=1)
-    assert len([p for p in folder.iterdir() if p.name != "_versions"]) == 2
+    assert len(list((folder / "data").iterdir())) > 2
     job.store.vacuum(keep=1, grace=0.0)
-    assert len([p for p in folder.iterdir() if p.name != "_versions"]) == 1
+    # One run of history, one of current rows, and one listing.
+    assert len(list((folder / "data").iterdir())) == 2 and len(list((folder / "trees").iterdir())) == 1
+    assert len([p for p in (folder / "log").iterdir() if p.name.isdigit()]) == 1
     assert [r.snapshot_ts for r in job.store.read().collect()] == [102]
 
 
@@ -342,7 +344,7 @@ def test_stream_equals_batch(spark, job, index, tmp_path):
 
 
 def test_file_publisher_writes_request_lines(spark, tmp_path):
-    job = Job.at(spark, str(tmp_path / "s"), [CONFIG], FilePublisher(str(tmp_path / "out")), buckets=2)
+    job = Job.at(spark, str(tmp_path / "s"), [CONFIG], FilePublisher(str(tmp_path / "out")))
     index_documents(job, documents(spark, ONE), "c1", 100)
     lines = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "out")).collect()]
     assert sorted(len(line["requests"]) for line in lines) == [1, 2]
@@ -392,3 +394,93 @@ def test_removals_without_a_configuration_cover_nothing(spark):
     )
     kept = surviving_events(events, [config]).collect()
     assert sorted((r["sequence"], r["document_id"]) for r in kept) == [(2, 1), (2, 2)]
+
+
+def test_an_append_beside_a_vacuum_is_kept(spark, job, index, monkeypatch):
+    for n in range(2):
+        index_documents(job, documents(spark, ("/db/dict/a", 5, 1, book("one", ("x1", n, "hello")))), f"c{n}", 100 + n)
+    written = job.store._compacted
+
+    def beside(state):
+        monkeypatch.setattr(job.store, "_compacted", written)
+        result = written(state)
+        index_documents(job, documents(spark, TWO), "beside", 300)
+        return result
+
+    monkeypatch.setattr(job.store, "_compacted", beside)
+    job.store.vacuum(keep=1)
+    assert {(r.doc_key, r.snapshot_ts) for r in job.store.read().collect()} == {("one", 101), ("two", 300)}
+    assert {(r.doc_key, r.snapshot_ts) for r in job.store.latest().collect()} == {("one", 101), ("two", 300)}
+    assert {r.object_id for r in job.store.listing("/db/dict").collect()} == {"x1", "y1"}
+
+
+def test_a_repeated_commit_replaces_only_its_own_rows(spark, job, index):
+    index_documents(job, documents(spark, ONE, TWO), "c1", 100)
+    other = (*ONE[:3], book("one", ("x9", 9, "other")))
+    emptied = (*TWO[:3], book("two"))
+    index_documents(job, documents(spark, other, emptied), "c2", 200)
+    assert {r.object_id for r in job.store.latest().collect()} == {"x9"}
+    # Repeated with other input: the first document is as it was before the commit.
+    index_documents(job, documents(spark, emptied), "c2", 200)
+    assert {r.object_id for r in job.store.latest().collect()} == {"x1", "x2", "x3"}
+    assert {r.object_id for r in job.store.listing("/db/dict").collect()} == {"x1", "x2", "x3"}
+    assert job.store.read().where("commit = 'c1'").count() == 4
+
+
+def test_late_snapshots_take_their_place_in_the_history(spark, job, index):
+    index_documents(job, documents(spark, ONE), "c1", 100)
+    rows = job.store.latest().withColumn("snapshot_ts", F.lit(50).cast("bigint"))
+    job.store.append(rows.where("object_id = 'x1'"), "late")
+    assert {r.snapshot_ts for r in job.store.latest().collect()} == {100} and job.store.latest().count() == 3
+    assert {r.object_id for r in job.store.latest(F.lit(100)).collect()} == {"x1"}
+    assert job.store.listing().count() == 3
+
+
+def test_reading_the_newest_leaves_the_history_alone(spark, job, index):
+    for n in range(8):
+        index_documents(job, documents(spark, ONE[:3] + (book("one", ("x1", n, "hello"), ("x2", n, "w")),)), f"c{n}", 100 + n)
+    assert job.store.read().select("snapshot_ts").distinct().count() == 8
+    wanted = spark.createDataFrame([("words", "one")], "index_name string, doc_key string")
+    runs = {run.id for run in job.store.log.state().runs if run.current}
+    read = {part[4:] for path in job.store.latest_of(wanted).inputFiles() for part in path.split("/") if part.startswith("run=")}
+    assert len(runs) < 8
+    files_of_rows = {part[4:] for path in job.store.latest_of(wanted).inputFiles() if "/data/" in path
+                     for part in path.split("/") if part.startswith("run=")}
+    assert files_of_rows <= runs and read
+    assert [r.snapshot_ts for r in job.store.latest().collect()] == [107, 107]
+
+
+def test_one_tree_is_read_from_its_own_files(spark, tmp_path):
+    from xmlindex.sources.snapshots import SnapshotStore
+
+    store = SnapshotStore(spark, str(tmp_path / "s"), capacity=50)
+    rows = spark.range(400).select(
+        F.lit("i").alias("index_name"), F.col("id").cast("string").alias("doc_key"), F.lit(1).cast("bigint").alias("snapshot_ts"),
+        F.lit("0").alias("node_key"), F.col("id").cast("string").alias("object_id"),
+        F.concat(F.lit("/db/c"), (F.col("id") % 8).cast("string")).alias("collection"),
+        F.lit("1").alias("document_id"), F.lit(None).cast("string").alias("user_document_id"),
+        F.lit("{}").alias("record_json"), F.md5(F.lit("{}")).alias("md5"))
+    store.append(rows, "c1")
+    assert len({b for b in store._directory(store.log.state().directory).slots}) >= 8
+    held = store.listing("/db/c3")
+    plan = held._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(place" in plan and "LessThan(place" in plan and "record_json" not in plan
+    assert {r.collection for r in held.collect()} == {"/db/c3"} and held.count() == 50
+    # Siblings that begin alike are outside, what lies below is inside.
+    more = rows.withColumn("doc_key", F.concat(F.lit("n"), "doc_key")).withColumn("collection", F.concat("collection", F.lit("/low")))
+    store.append(more.withColumn("object_id", F.col("doc_key")), "c2")
+    store.append(rows.where("id < 8").withColumn("collection", F.concat("collection", F.lit("x"))).withColumn("snapshot_ts", F.lit(2).cast("bigint")), "c3")
+    assert store.listing("/db/c3").count() == 99 and store.listing("/db/c3x").count() == 1
+    store.drop_index("i")
+    assert store.listing().count() == store.latest().count() == store.read().count() == 0
+    store.append(rows, "c4")
+    assert store.latest().count() == store.read().count() == 400
+
+
+def test_buckets_split_as_they_fill():
+    from xmlindex.sources.directory import Directory
+
+    directory = Directory().split({0: (90, 9), 1: (5, 5), 2: (4, 1), 3: (60, 1)}, 2, 20)
+    assert directory == Directory(2, (0, 2, 1, 3))
+    deeper = directory.split({n: (30, 3) if n in (0, 1) else (1, 1) for n in range(8)}, 3, 20)
+    assert deeper.depth == 3 and deeper.slots[0] != deeper.slots[1] and deeper.slots[2] == deeper.slots[3] == 2

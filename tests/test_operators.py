@@ -208,7 +208,7 @@ def test_extraction_does_not_shuffle(spark):
 
 
 def test_lookup_reads_only_the_buckets_and_columns_it_needs(spark, tmp_path):
-    store = SnapshotStore(spark, str(tmp_path / "s"), buckets=4)
+    store = SnapshotStore(spark, str(tmp_path / "s"), capacity=10)
     rows = spark.range(40).select(
         F.lit("i").alias("index_name"), F.col("id").cast("string").alias("doc_key"), F.lit(1).cast("bigint").alias("snapshot_ts"),
         F.lit("0").alias("node_key"), F.col("id").cast("string").alias("object_id"), F.lit("/db").alias("collection"),

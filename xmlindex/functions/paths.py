@@ -31,6 +31,17 @@ def ancestors(collection: Column | str) -> Column:
     ))
 
 
+def place(collection: Column | str) -> Column:
+    """A sort key that puts every collection tree into one range: its root first, then what is below."""
+    return F.concat(F.translate(_column(collection), "/", "\x01"), F.lit("\x01"))
+
+
+def tree_places(tree: Column) -> tuple[Column, Column]:
+    """The range of places of a tree: from the first, up to but without the second."""
+    first = place(tree)
+    return first, F.concat(F.translate(tree, "/", "\x01"), F.lit("\x02"))
+
+
 def path_starts_with(path: Column | str, other: Column | str) -> Column:
     """Component-wise prefix test of `/`-separated paths; the empty path is a prefix of all."""
     def parts(value: Column) -> Column:

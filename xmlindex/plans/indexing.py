@@ -14,7 +14,7 @@ from xmlindex.operators.batches import assemble_batches, plan_batches
 from xmlindex.operators.extract import build_records, processed_documents, resolve_config, skipped_documents
 from xmlindex.operators.removal import document_removals, tombstones
 from xmlindex.operators.shred import shred_documents
-from xmlindex.operators.snapshots import DOCUMENT_KEY, RECORD_KEY, dedup_last_write, diff_snapshots
+from xmlindex.operators.snapshots import DOCUMENT_KEY, RECORD_KEY, diff_snapshots
 from xmlindex.operators.status import BATCH_WRITE, DEGRADED, DOCUMENT_DELETE, outcome_events, status_gate
 from xmlindex.operators.sync import in_trees
 from xmlindex.plans.job import Job
@@ -48,7 +48,7 @@ def publish_changes(job: Job, changes: DataFrame, commit: str, texts: DataFrame
         requests = planned.where("op = 'delete'").select("*", no_text)
         upserts = planned.where("op <> 'delete'")
         if texts is not None:
-            requests = requests.unionByName(texts.join(small_side(upserts), RECORD_KEY))
+            requests = requests.unionByName(texts.join(upserts, RECORD_KEY))
         outcomes = job.publisher.publish(assemble_batches(requests, _GROUP), commit)
         per_document = outcomes.groupBy(*_GROUP).agg(
             F.when(F.bool_or(failed), DEGRADED).otherwise("current").alias("state"),
@@ -83,13 +83,21 @@ def index_documents(
         )
         # Deciding what changed moves keys and checksums only; record text is joined afterwards.
         slim = records.drop("record_json", "snapshot_ts", "user_document_id")
-        current = staging.write(dedup_last_write(slim, RECORD_KEY, "written"), "current")
+        times = slim.groupBy(*RECORD_KEY).agg(
+            F.max_by(F.struct(*(c for c in slim.columns if c not in RECORD_KEY)), "written").alias("last"),
+            F.count("*").alias("times"),
+        )
+        current = staging.write(times.select(*RECORD_KEY, "last.*", "times"), "current")
         previous = job.store.latest_of(processed, without_commit=commit)
         changes = staging.write(without_moved(diff_snapshots(previous, current)), "changes")
 
-        # Repeated node keys are rare, so it is the losers that are looked up.
-        losers = slim.join(current.select("written"), "written", "left_anti").select("written")
-        winners = records.join(small_side(losers), "written", "left_anti").drop("written")
+        winners = records
+        if not current.where("times > 1").isEmpty():
+            # Repeated node keys are rare, so it is the losers that are looked up.
+            last = current.where("times > 1").select(*RECORD_KEY, F.col("written").alias("last"))
+            losers = slim.join(last, RECORD_KEY).where("written <> last").select("written")
+            winners = records.join(small_side(losers), "written", "left_anti")
+        winners = winners.drop("written")
         texts = winners.select(*RECORD_KEY, "record_json")
         outcomes = publish_changes(job, changes, commit, texts)
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from xmlindex.config import DEFAULT_BATCH_SIZE, CollectionConfig
 from xmlindex.operators.publish import Publisher
 from xmlindex.operators.status import fold_status
-from xmlindex.sources.snapshots import SnapshotStore
+from xmlindex.sources.snapshots import CAPACITY, SnapshotStore
 from xmlindex.sources.status import StatusStore
 from xmlindex.sources.versions import VersionedFolder
 
@@ -68,11 +68,11 @@ class Job:
 
     @classmethod
     def at(cls, spark: SparkSession, path: str, configs: list[CollectionConfig], publisher: Publisher,
-           buckets: int = 64, batch_size: int = DEFAULT_BATCH_SIZE) -> Job:
-        """A job whose stores live below `path`."""
+           capacity: int = CAPACITY, batch_size: int = DEFAULT_BATCH_SIZE) -> Job:
+        """A job whose stores live below `path`; a bucket of the snapshot store takes `capacity` rows."""
         path = path.rstrip("/")
         return cls(
-            spark, configs, SnapshotStore(spark, path, buckets), StatusStore(spark, f"{path}/status"),
+            spark, configs, SnapshotStore(spark, path, capacity), StatusStore(spark, f"{path}/status"),
             publisher, PendingRemovals(spark, f"{path}/pending"), batch_size,
         )
 

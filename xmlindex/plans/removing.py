@@ -21,7 +21,7 @@ def request_removals(job: Job, requests: DataFrame) -> DataFrame:
     The latter are marked stale: without stored records there is no telling what to delete.
     """
     asked = materialize(requests.select(*TREE_KEY).distinct(), "requests")
-    stale = materialize(stale_removals(job.store.latest(), asked), "stale")
+    stale = materialize(stale_removals(job.store.listing_of(asked), asked), "stale")
     job.pending.add(asked)
     if not stale.isEmpty():
         job.record(stale_events(stale, job.now_text(), job.now_millis()))
@@ -37,7 +37,7 @@ def flush_removals(job: Job, commit: str, snapshot_ts: int | None = None) -> Dat
     snapshot_ts = job.now_millis() if snapshot_ts is None else snapshot_ts
     requests = materialize(job.pending.requests(), "requests")
     touched = materialize(job.pending.touched(), "touched")
-    latest = job.store.latest()
+    latest = job.store.listing_of(requests, without_commit=commit)
     deletes = materialize(
         removal_candidates(latest, requests, touched).select(
             *TREE_KEY, "object_id", F.lit("delete").alias("op"),

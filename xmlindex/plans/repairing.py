@@ -21,7 +21,7 @@ LiveReader = Callable[[], DataFrame]
 
 def report_for(job: Job, index_name: str, tree: str, live: DataFrame, with_status: bool = True) -> DataFrame:
     """Sync report of one tree of one index."""
-    local = job.store.latest().where(F.col("index_name") == index_name).drop("document_id")
+    local = job.store.listing(tree).where(F.col("index_name") == index_name).drop("document_id")
     trees = job.spark.createDataFrame([(index_name, tree)], "index_name string, tree string")
     status = job.status.read() if with_status else None
     return sync_report(
@@ -92,7 +92,7 @@ def reconcile(
     report = materialize(report_for(job, index_name, tree, live()), "report")
     if report.select("synced").first()[0] and not force:
         return report
-    local = job.store.latest().where(F.col("index_name") == index_name)
+    local = job.store.listing(tree).where(F.col("index_name") == index_name)
     trees = job.spark.createDataFrame([(index_name, tree)], "index_name string, tree string")
     job.store.quarantine(matching_documents(local, trees).drop("tree"), quarantine_name)
     reindex_collection(job, documents, tree, commit)

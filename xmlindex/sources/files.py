@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -41,11 +45,33 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
+def publish_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Put a finished file at `path`; False if there is one already. Nobody sees half a file."""
+    system = _system(spark, path)
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.getUri(), spark._jsc.hadoopConfiguration())
+    draft = f"{path}.{uuid.uuid4().hex}.draft"
+    write_text(spark, draft, text)
+    no_options = spark._sc._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(_path(spark, draft), _path(spark, path), no_options)
+        return True
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" not in error.java_exception.getClass().getName():
+            raise
+        delete(spark, draft)
+        return False
+
+
 def modified(spark: SparkSession, path: str) -> float:
     """When a file was last written, in seconds since 1970."""
     return _system(spark, path).getFileStatus(_path(spark, path)).getModificationTime() / 1000
 
 
+def age(spark: SparkSession, path: str) -> float:
+    """Seconds since a file was last written."""
+    return time.time() - modified(spark, path)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a folder this package wrote."""
     _system(spark, path).delete(_path(spark, path), True)

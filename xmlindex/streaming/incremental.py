@@ -81,9 +81,8 @@ def _index_keys(job: Job, deletes: DataFrame, commit: str) -> DataFrame:
     if unknown.isEmpty():
         return known
     internal = ["index_name", "collection", "document_id"]
-    ever = job.store.read().join(unknown, internal, "left_semi").select("index_name", "doc_key").distinct()
-    # A key may have passed to another document since; only what it stands for now counts.
-    held = job.store.latest_of(ever, without_commit=commit).join(unknown, internal, "left_semi")
+    trees = unknown.select(F.col("collection").alias("tree"))
+    held = job.store.listing_of(trees, without_commit=commit).join(unknown, internal, "left_semi")
     return known.unionByName(held.select("index_name", "doc_key")).distinct()
 
 
