@@ -484,3 +484,47 @@ def test_buckets_split_as_they_fill():
     assert directory == Directory(2, (0, 2, 1, 3))
     deeper = directory.split({n: (30, 3) if n in (0, 1) else (1, 1) for n in range(8)}, 3, 20)
     assert deeper.depth == 3 and deeper.slots[0] != deeper.slots[1] and deeper.slots[2] == deeper.slots[3] == 2
+
+
+def test_roots_in_any_spelling(spark, tmp_path, monkeypatch):
+    from xmlindex.sources.documents import read_documents
+
+    (tmp_path / "books" / "sub").mkdir(parents=True)
+    for name in ("a.xml", "sub/a.xml"):
+        (tmp_path / "books" / name).write_text("<r/>")
+    for root in (f"file:{tmp_path}/./books", f"{tmp_path}/books/", f"file://{tmp_path}/books/sub/..", f"{tmp_path}//books"):
+        rows = read_documents(spark, root, "/db/b").collect()
+        assert {(r["collection"], r["document_id"]) for r in rows} == {("/db/b", "a.xml"), ("/db/b/sub", "sub/a.xml")}
+
+
+def test_a_new_checkpoint_at_the_same_path_keeps_earlier_commits(spark, job, index, tmp_path):
+    import shutil
+
+    for n, document in enumerate((ONE, TWO)):
+        source, checkpoint = str(tmp_path / f"events{n}"), str(tmp_path / "checkpoint")
+        spark.createDataFrame([event(1, "upsert", document)], EVENTS).write.parquet(source)
+        start_incremental(job, spark.readStream.schema(EVENTS).parquet(source), checkpoint, availableNow=True).awaitTermination()
+        shutil.rmtree(checkpoint)
+    assert {r.doc_key for r in job.store.latest().collect()} == {"one", "two"}
+
+
+TIMED = EVENTS + ", event_ts bigint"
+
+
+def test_events_that_come_late_send_nothing(spark, job, index):
+    old, new = (*ONE[:3], book("one", ("x1", 1, "old"), ("x5", 1, "old"))), (*ONE[:3], book("one", ("x1", 2, "new")))
+    versions = [(100, ONE), (300, new), (200, old)]
+    for n, (at, document) in enumerate(versions):
+        batch = spark.createDataFrame([(*event(n, "upsert", document), at)], TIMED)
+        apply_events(job, batch, f"b{n}")
+    assert index.ids() == ["x1"] and {r.snapshot_ts for r in job.store.latest().collect()} == {300}
+    assert {r.object_id for r in job.store.latest(F.lit(250)).collect()} == {"x1", "x5"}
+    assert {r.object_id for r in job.store.latest(F.lit(150)).collect()} == {"x1", "x2", "x3"}
+    # A late deletion marks the history, a later one deletes.
+    apply_events(job, spark.createDataFrame([(*event(3, "delete", ONE, user="one"), 250)], TIMED), "b3")
+    assert index.ids() == ["x1"] and job.store.latest(F.lit(260)).count() == 0
+    apply_events(job, spark.createDataFrame([(*event(4, "delete", ONE), 400), (*event(5, "upsert", old), 350)], TIMED), "b4")
+    assert index.ids() == []
+    # What was deleted stays so, if only an older version comes.
+    apply_events(job, spark.createDataFrame([(*event(6, "upsert", old), 360)], TIMED), "b5")
+    assert index.ids() == [] and job.store.latest().count() == 0

@@ -251,13 +251,16 @@ def skipped_documents(shredded: DataFrame, configs: list[CollectionConfig]) -> D
     )
 
 
-def processed_documents(shredded: DataFrame, configs: list[CollectionConfig]) -> DataFrame:
-    """(index, document) pairs seen, with their document key, whether or not they gave a record."""
+def processed_documents(shredded: DataFrame, configs: list[CollectionConfig], *carried: str) -> DataFrame:
+    """(index, document) pairs seen, with their document key, whether or not they gave a record.
+
+    `carried` names further columns of the documents to keep.
+    """
     return (
         shredded.where("scope is null and error is null")
         .join(F.broadcast(index_table(shredded.sparkSession, configs)), "config_no")
         .select(
-            "index_name", "collection", "collection_id", "document_id",
+            "index_name", "collection", "collection_id", "document_id", *carried,
             R.doc_key(
                 F.try_element_at("doc_values", F.col("document_id_slot")), "document_id"
             ).alias("doc_key"),

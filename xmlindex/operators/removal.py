@@ -76,12 +76,17 @@ def document_removals(latest: DataFrame, documents: DataFrame) -> DataFrame:
     )
 
 
-def tombstones(documents: DataFrame, snapshot_ts: int) -> DataFrame:
-    """Snapshot rows saying that a document now has no records."""
+def tombstones(documents: DataFrame, snapshot_ts: int | None = None) -> DataFrame:
+    """Snapshot rows saying that a document now has no records.
+
+    Without `snapshot_ts` every document brings its own time in that column.
+    """
     text = F.lit(None).cast("string")
-    return documents.select(*DOCUMENT_KEY).distinct().select(
+    if snapshot_ts is not None:
+        documents = documents.withColumn("snapshot_ts", F.lit(snapshot_ts).cast("bigint"))
+    return documents.select(*DOCUMENT_KEY, "snapshot_ts").distinct().select(
         *DOCUMENT_KEY,
-        F.lit(snapshot_ts).cast("bigint").alias("snapshot_ts"),
+        "snapshot_ts",
         *[text.alias(c) for c in ("node_key", "object_id", "collection", "document_id",
                                   "user_document_id", "record_json", "md5")],
     )

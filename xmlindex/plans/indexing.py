@@ -61,11 +61,22 @@ def publish_changes(job: Job, changes: DataFrame, commit: str, texts: DataFrame
         )
 
 
+def late_documents(job: Job, times: DataFrame, commit: str) -> DataFrame:
+    """Those documents of which the store has a newer snapshot than the one that comes now."""
+    held = job.store.times_of(times, without_commit=commit)
+    return times.join(held, DOCUMENT_KEY).where("snapshot_ts < held_ts").drop("held_ts")
+
+
 def index_documents(
-    job: Job, documents: DataFrame, commit: str, snapshot_ts: int | None = None, on_malformed: str = "fail"
+    job: Job, documents: DataFrame, commit: str, snapshot_ts: int | None = None, on_malformed: str = "fail",
+    event_time: str | None = None,
 ) -> DataFrame:
     """Bring the index up to date with `documents`; returns one outcome per changed document.
 
+    `event_time` names a column with the time each document was as it is here (a number, one
+    version of a document a run). A version older than the newest one stored takes its place in
+    the history, if it differs from the one before it, and nothing of it is sent.
+
     Documents that are not well-formed keep their stored records; with `on_malformed="skip"`
     they degrade the status of their collection instead of ending the run. Those whose `xml` is
     null do so in both modes.
@@ -77,7 +88,7 @@ def index_documents(
         )
         processed = processed_documents(shredded, job.configs)
         records = staging.write(
-            snapshot_rows(build_records(shredded, job.configs), snapshot_ts)
+            snapshot_rows(build_records(shredded, job.configs), F.col(event_time) if event_time else snapshot_ts)
             .withColumn("written", F.monotonically_increasing_id()),
             "records",
         )
@@ -89,6 +100,17 @@ def index_documents(
         )
         current = staging.write(times.select(*RECORD_KEY, "last.*", "times"), "current")
         previous = job.store.latest_of(processed, without_commit=commit)
+        times = late = None
+        if event_time:
+            seen = processed_documents(shredded, job.configs, event_time)
+            times = seen.groupBy(*DOCUMENT_KEY).agg(F.max(event_time).cast("bigint").alias("snapshot_ts"))
+            times = staging.write(times, "times")
+            late = staging.write(late_documents(job, times, commit), "late")
+            if late.isEmpty():
+                late = None
+            else:
+                newer = previous.join(late, DOCUMENT_KEY, "left_anti")
+                previous = newer.unionByName(job.store.before(late, without_commit=commit))
         changes = staging.write(without_moved(diff_snapshots(previous, current)), "changes")
 
         winners = records
@@ -99,23 +121,30 @@ def index_documents(
             winners = records.join(small_side(losers), "written", "left_anti")
         winners = winners.drop("written")
         texts = winners.select(*RECORD_KEY, "record_json")
-        outcomes = publish_changes(job, changes, commit, texts)
+        sent = changes if late is None else changes.join(late, DOCUMENT_KEY, "left_anti")
+        outcomes = publish_changes(job, sent, commit, texts)
 
         accepted = outcomes.where("state = 'current'").select(*DOCUMENT_KEY)
-        _remember(job, winners, processed, changes, accepted, commit, snapshot_ts)
+        if late is not None:
+            accepted = accepted.unionByName(late.select(*DOCUMENT_KEY))
+        _remember(job, winners, processed, changes, accepted, commit, snapshot_ts, times)
         _spare_from_removal(job, processed)
         skipped = skipped_documents(shredded, job.configs)
-        job.record(_indexing_events(job, processed, skipped, changes, outcomes))
+        job.record(_indexing_events(job, processed, skipped, sent, outcomes))
     return outcomes
 
 
 def _remember(job: Job, winners: DataFrame, processed: DataFrame, changes: DataFrame, accepted: DataFrame,
-              commit: str, snapshot_ts: int) -> None:
-    """Store the new snapshots of changed documents; an emptied document gets a marker row."""
+              commit: str, snapshot_ts: int, times: DataFrame | None) -> None:
+    """Store the new snapshots of changed documents; an emptied document gets a marker row.
+
+    `times` has the event time of each document, if they have their own.
+    """
     changed = changes.select(*DOCUMENT_KEY).distinct().join(accepted, DOCUMENT_KEY, "left_semi")
     others = processed.select(*DOCUMENT_KEY).join(changed, DOCUMENT_KEY, "left_anti")
     held = winners.select(*DOCUMENT_KEY).distinct()
-    emptied = tombstones(changed.join(held, DOCUMENT_KEY, "left_anti"), snapshot_ts)
+    emptied = changed.join(held, DOCUMENT_KEY, "left_anti")
+    emptied = tombstones(emptied, snapshot_ts) if times is None else tombstones(emptied.join(times, DOCUMENT_KEY))
     rows = restrict(winners, changed, others, DOCUMENT_KEY).unionByName(emptied)
     job.store.append(rows, commit)
 
@@ -156,15 +185,26 @@ def _indexing_events(job: Job, processed: DataFrame, skipped: DataFrame, changes
 def remove_documents(job: Job, documents: DataFrame, commit: str, snapshot_ts: int | None = None) -> DataFrame:
     """Delete the records of documents (`index_name, doc_key`) and forget their snapshots.
 
-    Documents without stored records are left alone.
+    Documents without stored records are left alone. With a column `snapshot_ts`, the time each was
+    deleted, one that the store has newer than that is only marked in the history.
     """
+    timed = "snapshot_ts" in documents.columns
     snapshot_ts = job.now_millis() if snapshot_ts is None else snapshot_ts
+    gone, late = documents, None
+    if timed:
+        documents = materialize(documents, "deleted")
+        late = late_documents(job, documents.select(*DOCUMENT_KEY, "snapshot_ts"), commit)
+        gone = documents.join(late, DOCUMENT_KEY, "left_anti")
     changes = materialize(
-        document_removals(job.store.latest_of(documents, without_commit=commit), documents), "removals"
+        document_removals(job.store.latest_of(gone, without_commit=commit), gone), "removals"
     )
     outcomes = publish_changes(job, changes, commit)
     accepted = outcomes.where("state = 'current'").select(*DOCUMENT_KEY)
-    job.store.append(tombstones(accepted, snapshot_ts), commit)
+    if timed:
+        marked = accepted.join(documents.select(*DOCUMENT_KEY, "snapshot_ts"), DOCUMENT_KEY).unionByName(late)
+        job.store.append(tombstones(marked), commit)
+    else:
+        job.store.append(tombstones(accepted, snapshot_ts), commit)
     rows = outcomes.withColumn("collection", F.lit(None).cast("string"))
     job.record(outcome_events(rows, DOCUMENT_DELETE, job.now_text(), job.now_millis()))
     return outcomes

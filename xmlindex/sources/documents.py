@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from xmlindex.sources.files import qualified
+
 # What Spark's binaryFile source yields; streams need it spelled out.
 _FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -14,7 +19,8 @@ _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
 
 
 def _from_files(files: DataFrame, root: str, collection: str) -> DataFrame:
-    # Paths come back with a scheme (`file:/a`), the root may be given without.
+    # The root as the file system names it, however it was given: the files' paths begin with it.
+    root = qualified(files.sparkSession, root)
     below = len(re.sub(_SCHEME, "", root).rstrip("/")) + 2
     inside = F.regexp_replace("path", _SCHEME, "").substr(F.lit(below), F.length("path"))
     folder = F.regexp_replace(inside, "/?[^/]*$", "")
@@ -52,6 +58,44 @@ def stream_documents(spark: SparkSession, path: str, collection: str = "/db", pa
     return _from_files(files, path, collection)
 
 
+def upserts(documents: DataFrame) -> DataFrame:
+    """Documents from files as events for `streaming.incremental`.
+
+    The order is that of the files' times; a file that is written again is a newer version, and
+    one that arrives late is as old as its time says.
+    """
+    return documents.select(
+        F.col("modified").alias("sequence"), F.lit("upsert").alias("op"), "collection", "collection_id",
+        "document_id", F.lit(None).cast("string").alias("user_document_id"), "xml",
+        F.col("modified").alias("event_ts"),
+    )
+
+
+def write_documents(documents: DataFrame, path: str) -> DataFrame:
+    """Write `content` (text or bytes) of every row to the file `name` below `path`; returns names and sizes.
+
+    Files are written by the tasks, one for each row, through the file system of `path`; a task
+    that is repeated writes the same files again. Names may contain folders and should differ.
+    """
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, root = fs.FileSystem.from_uri(path)
+        made = set()
+        for batch in batches:
+            sizes = []
+            for name, content in zip(batch.column("name").to_pylist(), batch.column("content").to_pylist()):
+                target = f"{root}/{name}"
+                folder = target.rsplit("/", 1)[0]
+                if folder not in made:
+                    system.create_dir(folder, recursive=True)
+                    made.add(folder)
+                with system.open_output_stream(target) as out:
+                    out.write(content or b"")
+                sizes.append(len(content or b""))
+            yield pa.RecordBatch.from_arrays([batch.column("name"), pa.array(sizes, pa.int64())], names=["name", "size"])
+
+    return documents.select("name", F.col("content").cast("binary").alias("content")).mapInArrow(write, "name string, size long")
+
+
 def documents_from_table(table: DataFrame, collection: Column | str, collection_id: Column | str,
                          document_id: Column | str, xml: Column | str) -> DataFrame:
     """Documents from any table with XML in a column."""

@@ -21,6 +21,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return _system(spark, path).exists(_path(spark, path))
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The full path of an existing file or folder, as the file system names it."""
+    return _system(spark, path).getFileStatus(_path(spark, path)).getPath().toString()
+
+
 def list_names(spark: SparkSession, path: str) -> list[str]:
     if not exists(spark, path):
         return []

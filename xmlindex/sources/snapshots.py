@@ -93,6 +93,26 @@ class SnapshotStore:
         held = self._current(state, self._touched(state, wanted))
         return self._records(held.join(wanted, DOCUMENT_KEY, "left_semi"))
 
+    def times_of(self, documents: DataFrame, without_commit: str | None = None) -> DataFrame:
+        """`held_ts`, the time of the newest snapshot, of those documents that have one."""
+        state = self.log.state()
+        wanted = documents.select(*DOCUMENT_KEY).distinct()
+        if without_commit is not None and _knows(state, without_commit):
+            held = self._history(_without(state, without_commit))
+        else:
+            held = self._current(state, self._touched(state, wanted))
+        held = held.join(wanted, DOCUMENT_KEY, "left_semi")
+        return latest_timestamps(held).withColumnRenamed("snapshot_ts", "held_ts")
+
+    def before(self, documents: DataFrame, without_commit: str | None = None) -> DataFrame:
+        """The records of each document just before a time of its own, `snapshot_ts`."""
+        state = self.log.state()
+        if without_commit is not None:
+            state = _without(state, without_commit)
+        until = documents.select(*DOCUMENT_KEY, F.col("snapshot_ts").alias("until"))
+        older = self._history(state).join(until, DOCUMENT_KEY).where("snapshot_ts < until").drop("until")
+        return self._records(at_timestamps(older, latest_timestamps(older)))
+
     def listing(self, tree: str | None = None) -> DataFrame:
         """The current records without their text: all, or those of one collection tree."""
         if tree is None:
