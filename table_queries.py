@@ -7,6 +7,7 @@ rendered as XML and extracted again.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -14,15 +15,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from xmlindex.config import CollectionConfig, load_config
 from xmlindex.functions import paths as P, records as R
 from xmlindex.operators import batches as B, extract as X, removal as M, snapshots as S, status as T, sync as Y
-from xmlindex.operators.publish import FilePublisher
+from xmlindex.operators.publish import CallPublisher, FilePublisher, TransportError, batch_digest
 from xmlindex.operators.shred import malformed_documents, select_nodes, shred_documents, shred_xml
-from xmlindex.plans.indexing import index_documents, remove_documents
+from xmlindex.plans.indexing import index_documents, reindex_collection, remove_documents
 from xmlindex.plans.job import Job
-from xmlindex.plans.removing import remove_collections
-from xmlindex.plans.repairing import replay_batches
+from xmlindex.plans.removing import drop_index, remove_collections
+from xmlindex.plans.repairing import reconcile, replay_batches, report_for
 from xmlindex.session import materialize, ship_package, spread, staging_path
-from xmlindex.sources.documents import documents_from_table
-from xmlindex.streaming.incremental import start_incremental
+from xmlindex.sources.documents import documents_from_table, read_documents, stream_documents, upserts, write_documents
+from xmlindex.sources.snapshots import import_snapshot_files
+from xmlindex.streaming.incremental import apply_events, start_incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1109,3 +1111,207 @@ def stream_incremental(spark, sf_dir):
     remove_collections(job, tree, "removal", job.now_millis() + 10)
     return job.store.latest().select("object_id", "collection")
 
+
+# --- Files, publishing, repair: whole flows ---------------------------------------------------
+
+# Documents as files in two folders with equal names.
+FILE_SQL = """
+files AS (SELECT *, CASE WHEN doc_id % 2 = 0 THEN 'even' ELSE 'odd' END AS folder, CAST(doc_id // 2 AS VARCHAR) || '.xml' AS name
+          FROM documents)
+"""
+
+
+def document_files(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with every document as an XML file."""
+    path = staging_path(spark, "files")
+    number = F.regexp_extract(F.col("xml"), 'xml:id="d([0-9]+)"', 1).cast("bigint")
+    folder = F.when(number % 2 == 0, "even/").otherwise("odd/")
+    name = F.concat(folder, F.floor(number / 2).cast("string"), F.lit(".xml"))
+    materialize(write_documents(document_xml(spark, sf_dir).select(name.alias("name"), F.col("xml").alias("content")), path), "written")
+    return path
+
+
+@query("WITH " + FILE_SQL + """SELECT folder || '/' || name AS document_id, '/db/' || folder AS collection,
+  'd' || doc_id AS object_id, md5('{"objectID":"d' || doc_id || '","collection":"/db/' || folder || '","documentID":"' || folder
+    || '/' || name || '","line":' || CASE WHEN contains(text, chr(10)) THEN CAST(to_json(string_split(text, chr(10))) AS VARCHAR)
+    ELSE CAST(to_json(text) AS VARCHAR) END || '}') AS md5
+FROM files""")
+def records_from_files(spark, sf_dir):
+    """Documents are written as files, read back by folder and extracted."""
+    documents = read_documents(spark, document_files(spark, sf_dir), "/db")
+    records = X.extract_records(documents, [document_config(QUALITY_DOCUMENT)])
+    return records.select(F.col("document_id").cast("string").alias("document_id"), "collection", "object_id", "md5")
+
+
+@query("WITH " + FILE_SQL + """SELECT 'd' || doc_id AS object_id, '/db/' || folder AS collection,
+  folder || '/' || name AS document_id FROM files WHERE folder <> 'odd'""")
+def index_from_file_stream(spark, sf_dir):
+    """Files arrive as a stream of events and are indexed; then one of the two folders is removed."""
+    job = _job(spark, document_config(QUALITY_DOCUMENT))
+    path = document_files(spark, sf_dir)
+    events = upserts(stream_documents(spark, path, "/db"))
+    start_incremental(job, events, f"{job.store.path}/checkpoint", availableNow=True).awaitTermination()
+    tree = spark.createDataFrame([("documents", "/db/odd")], "index_name string, tree string")
+    remove_collections(job, tree, "removal", job.now_millis() + 10)
+    return job.store.listing().select("object_id", "collection", "document_id")
+
+
+@query("""SELECT doc_id, 'now' AS seen, CAST(CASE WHEN quality IS NULL THEN 100 ELSE 200 END AS BIGINT) AS snapshot_ts
+FROM documents LEFT JOIN labels USING (doc_id)
+UNION ALL SELECT doc_id, 'then', 100 FROM documents
+UNION ALL SELECT doc_id, 'sent late', 100 FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)""")
+def late_documents(spark, sf_dir):
+    """The later version comes first, where there is one: the earlier one only joins the history."""
+    job = _job(spark, document_config(QUALITY_DOCUMENT))
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("document_id"))
+    later = labelled_xml(spark, sf_dir).join(labels, "document_id", "left_semi").withColumn("at", F.lit(200))
+    index_documents(job, later, "first", event_time="at")
+    sent = index_documents(job, document_xml(spark, sf_dir).withColumn("at", F.lit(100)), "second", event_time="at")
+
+    def rows(df: DataFrame, seen: str, ts: Column) -> DataFrame:
+        return df.select(F.col("doc_key").cast("bigint").alias("doc_id"), F.lit(seen).alias("seen"), ts.cast("bigint").alias("snapshot_ts"))
+
+    return (
+        rows(job.store.latest(), "now", F.col("snapshot_ts"))
+        .unionByName(rows(job.store.latest(F.lit(150)), "then", F.col("snapshot_ts")))
+        .unionByName(rows(sent, "sent late", F.lit(100)))
+    )
+
+
+@query("WITH " + LINES_SQL + """SELECT 'lines' AS index_name, doc_id, count(*) AS n, 'listed' AS seen FROM lines GROUP BY doc_id
+UNION ALL SELECT 'lines', doc_id, count(*), 'stored' FROM lines GROUP BY doc_id""")
+def drop_one_of_two_indexes(spark, sf_dir):
+    """Every document feeds two indexes; one of them is dropped, the other is left whole."""
+    job = _job(spark, load_config({
+        "collection": "/db", "namespaces": {"d": DOC_NAMESPACE},
+        "indexes": [{"name": "documents", "roots": [QUALITY_DOCUMENT]}, {"name": "lines", "roots": [LINES]}],
+    }))
+    index_documents(job, document_xml(spark, sf_dir), "first", 1)
+    drop_index(job, "documents")
+
+    def counts(rows: DataFrame, seen: str) -> DataFrame:
+        found = rows.groupBy("index_name", F.col("doc_key").cast("bigint").alias("doc_id")).agg(F.count("*").alias("n"))
+        return found.withColumn("seen", F.lit(seen))
+
+    return counts(job.store.listing(), "listed").unionByName(counts(job.store.latest(), "stored"))
+
+
+@query("WITH " + EVENT_WRITES_SQL + """, batches AS (
+  SELECT doc_key, (row_number() OVER (PARTITION BY doc_key ORDER BY list_position(['add', 'update', 'delete'], op),
+                   md5(object_id), object_id) - 1) // 2 + 1 AS chunk FROM changes)
+SELECT doc_key, CAST(chunk AS BIGINT) AS chunk, CASE WHEN CAST(doc_key AS INT) % 3 = 0 THEN 'degraded' ELSE 'current' END AS first_state,
+  CASE WHEN CAST(doc_key AS INT) % 3 = 0 THEN 3 WHEN CAST(doc_key AS INT) % 3 = 1 THEN 2 ELSE 1 END AS first_attempts,
+  'current' AS second_state, CASE WHEN CAST(doc_key AS INT) % 3 = 1 THEN 2 ELSE 1 END AS second_attempts,
+  CAST(1 AS BIGINT) AS acknowledgements, CASE WHEN CAST(doc_key AS INT) % 3 = 0 THEN 2 ELSE 1 END AS run
+FROM (SELECT DISTINCT doc_key, chunk FROM batches)""")
+def publish_acknowledged(spark, sf_dir):
+    """A transport that fails by a rule, run twice: every batch is accepted once, what was is not sent again.
+
+    Keys that divide by three are refused throughout the first run; the next ones once.
+    """
+    def transport(failing: str):
+        tried = set()
+
+        def call(index_name: str, body: str) -> str:
+            user = int(re.search(r'"objectID":"(\d+)/', body).group(1))
+            if failing and (user % 3 == 0 or user % 3 == 1 and body not in tried):
+                tried.add(body)
+                raise TransportError("busy", 503)
+            return failing or "second"
+
+        return call
+
+    snapshots = event_snapshots(spark, sf_dir)
+    latest = S.latest_snapshot(snapshots)
+    changes = S.with_record_json(S.diff_snapshots(S.previous_snapshot(snapshots), latest), latest)
+    group = ("index_name", "doc_key")
+    batches = materialize(B.assemble_batches(B.plan_batches(changes, 2, group), group), "batches")
+    acks = staging_path(spark, "acks")
+    runs = [
+        CallPublisher(transport(name), first_delay=0.0, lanes=4, acks=acks).publish(batches, "c").select(
+            "doc_key", "chunk", F.col("state").alias(f"{state}_state"), F.col("attempts").alias(f"{state}_attempts"),
+            F.col("ack").alias(f"{state}_ack"))
+        for name, state in (("first", "first"), ("", "second"))
+    ]
+    kept = spark.read.json(f"{acks}/commit=c").groupBy("digest").agg(F.count("*").alias("acknowledgements"))
+    both = runs[0].join(runs[1], ["doc_key", "chunk"]).join(
+        batches.select("doc_key", "chunk", batch_digest(batches).alias("digest")), ["doc_key", "chunk"]
+    )
+    return both.join(kept, "digest").select(
+        "doc_key", F.col("chunk").cast("bigint").alias("chunk"), "first_state", "first_attempts", "second_state", "second_attempts",
+        "acknowledgements", F.when(F.col("second_ack") == "first", 1).otherwise(2).alias("run"),
+    )
+
+
+@query("""SELECT CAST(doc_id AS VARCHAR) AS doc_key, 'current' AS state FROM documents JOIN labels USING (doc_id) WHERE lang = 'en'""")
+def reindex_one_collection(spark, sf_dir):
+    """All documents are indexed; with labels only those of one tree are indexed anew."""
+    job = _job(spark, document_config(QUALITY_DOCUMENT))
+    index_documents(job, document_xml(spark, sf_dir), "first", 1)
+    outcomes, _blocking = reindex_collection(job, labelled_xml(spark, sf_dir), "/db/en", "second", 2)
+    return outcomes.select("doc_key", "state")
+
+
+@query("""SELECT doc_id, quality FROM documents LEFT JOIN labels USING (doc_id)""")
+def replaced_documents(spark, sf_dir):
+    """Two versions of every document come in one batch of events; the later one is stored."""
+    job = _job(spark, document_config(QUALITY_DOCUMENT))
+
+    def events(documents: DataFrame, sequence: int) -> DataFrame:
+        return documents.select(
+            F.lit(sequence).cast("bigint").alias("sequence"), F.lit("upsert").alias("op"), "collection", "collection_id",
+            "document_id", F.lit(None).cast("string").alias("user_document_id"), "xml",
+        )
+
+    batch = events(labelled_xml(spark, sf_dir), 2).unionByName(events(document_xml(spark, sf_dir), 1))
+    apply_events(job, batch, "b0", 1)
+    return job.store.latest().select(
+        F.col("doc_key").cast("bigint").alias("doc_id"), F.get_json_object("record_json", "$.quality").cast("int").alias("quality")
+    )
+
+
+@query("""SELECT 'before' AS seen, count(*) AS local_count, count(*) FILTER (doc_id % 5 > 0) AS live_count,
+  count(*) FILTER (doc_id % 5 = 0) AS missing_count, false AS synced FROM documents WHERE lang = 'en'
+UNION ALL SELECT 'after', count(*), count(*), 0, true FROM documents WHERE lang = 'en'""")
+def reconcile_one_tree(spark, sf_dir):
+    """The live index, folded from the requests sent, lost every fifth document; one tree is set aside and indexed anew."""
+    job = _job(spark, document_config(QUALITY_DOCUMENT))
+    documents = document_xml(spark, sf_dir)
+    index_documents(job, documents, "c1", 1)
+
+    def live() -> DataFrame:
+        sent = spark.read.option("basePath", job.publisher.path).text(job.publisher.path)
+        requests = "array<struct<action: string, body: struct<objectID: string, collection: string, documentID: string>>>"
+        rows = sent.select(F.col("commit"), F.explode(F.from_json("value", f"requests {requests}")["requests"]).alias("r"))
+        rows = rows.select(F.lit("documents").alias("index_name"), F.col("r.body.objectID").alias("object_id"),
+                           F.col("r.body.collection").alias("collection"), F.col("r.body.documentID").alias("document_id"), "r.action", "commit")
+        kept = rows.where((F.col("commit") != "c1") | (F.substring("object_id", 2, 20).cast("int") % 5 > 0))
+        last = S.dedup_last_write(kept, ["index_name", "object_id"], "commit")
+        return last.where("action <> 'deleteObject'").drop("action", "commit")
+
+    numbers = ["local_count", "live_count", "missing_count", "synced"]
+    before = materialize(report_for(job, "documents", "/db/en", live()).select(F.lit("before").alias("seen"), *numbers), "before")
+    after = reconcile(job, "documents", "/db/en", documents, live, "c2", "stamp__db_en", allow=True)
+    return before.unionByName(after.select(F.lit("after").alias("seen"), *numbers))
+
+
+@query("""SELECT 'users' AS index_name, CAST(user_id AS VARCHAR) AS doc_key, CAST(event_id AS BIGINT) AS snapshot_ts,
+  event_type AS node_key, 'e' || event_id AS object_id, '/db/' || event_type AS collection
+FROM events WHERE event_type IN ('click', 'view')""")
+def import_stored_files(spark, sf_dir):
+    """Clicks and views are written as a tree of snapshot files; other events under names that do not count."""
+    events = table(spark, sf_dir, "events")
+    user, stamp = F.col("user_id").cast("string"), F.col("event_id").cast("string")
+    kind = F.col("event_type")
+    name = (
+        F.when(kind.isin("click", "view"), F.concat_ws("/", F.lit("users"), user, stamp, F.concat(kind, F.lit(".json"))))
+        .when(F.col("event_id") % 4 == 0, F.concat_ws("/", F.lit("users"), user, stamp, F.concat(F.lit("."), kind, F.lit(".json"))))
+        .when(F.col("event_id") % 4 == 1, F.concat_ws("/", F.lit("users"), user, F.concat(F.lit("t"), stamp), F.concat(kind, F.lit(".json"))))
+        .when(F.col("event_id") % 4 == 2, F.concat_ws("/", F.lit("users"), F.concat(F.lit("."), user), stamp, F.concat(kind, F.lit(".json"))))
+        .otherwise(F.concat_ws("/", F.lit("users"), user, stamp, F.concat(kind, F.lit(".txt"))))
+    )
+    body = F.concat(F.lit('{"objectID":"e'), stamp, F.lit('","collection":"/db/'), kind, F.lit('"}'))
+    path = staging_path(spark, "stored")
+    materialize(write_documents(events.select(name.alias("name"), body.alias("content")), path), "written")
+    found = import_snapshot_files(spark, path)
+    return found.select("index_name", "doc_key", "snapshot_ts", "node_key", "object_id", "collection")
