@@ -1315,3 +1315,27 @@ def import_stored_files(spark, sf_dir):
     materialize(write_documents(events.select(name.alias("name"), body.alias("content")), path), "written")
     found = import_snapshot_files(spark, path)
     return found.select("index_name", "doc_key", "snapshot_ts", "node_key", "object_id", "collection")
+
+
+@query("WITH RECURSIVE " + EVENT_WRITES_SQL + """, ops AS (
+  SELECT collection, object_id, op, length(CASE op WHEN 'delete' THEN object_id ELSE record_json END) AS n,
+         row_number() OVER (PARTITION BY collection ORDER BY list_position(['add', 'update', 'delete'], op),
+                            md5(object_id), object_id) AS position
+  FROM changes),
+walk AS (
+  SELECT collection, position, 1 AS chunk, 1 AS held, n AS size FROM ops WHERE position = 1
+  UNION ALL
+  SELECT o.collection, o.position, CASE WHEN fits THEN w.chunk ELSE w.chunk + 1 END, CASE WHEN fits THEN w.held + 1 ELSE 1 END,
+         CASE WHEN fits THEN w.size + o.n ELSE o.n END
+  FROM (SELECT *, NULL AS x FROM walk) w JOIN ops o ON o.collection = w.collection AND o.position = w.position + 1,
+       LATERAL (SELECT w.held < 7 AND w.size + o.n <= 300 AS fits))
+SELECT collection, object_id, CAST(chunk AS BIGINT) AS chunk, CAST(max(chunk) OVER (PARTITION BY collection) AS BIGINT) AS total_chunks
+FROM walk JOIN ops USING (collection, position)""")
+def plan_sized_batches(spark, sf_dir):
+    """Batches of at most 7 operations and 300 bytes, cut as one walk through each collection would."""
+    snapshots = event_snapshots(spark, sf_dir)
+    latest = S.latest_snapshot(snapshots)
+    changes = S.with_record_json(S.diff_snapshots(S.previous_snapshot(snapshots), latest), latest)
+    size = F.length(F.when(F.col("op") == "delete", F.col("object_id")).otherwise(F.col("record_json")))
+    planned = B.plan_sized_batches(changes, size, 300, 7, ("index_name", "collection"))
+    return planned.select("collection", "object_id", "chunk", "total_chunks")

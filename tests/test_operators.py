@@ -221,3 +221,26 @@ def test_lookup_reads_only_the_buckets_and_columns_it_needs(spark, tmp_path):
     plan = plan_of(held)
     assert re.search(r"PartitionFilters: \[[^\]]*bucket#\d+", plan)
     assert "record_json" not in plan
+
+
+def test_sized_batches_equal_a_walk(spark):
+    import random
+
+    rng = random.Random(4)
+    sizes = {f"d{g}": [rng.choice([1, 2, 5, 9, 40, 130]) for _ in range(n)] for g, n in enumerate((1, 7, 90, 300))}
+    sizes["same"] = [10] * 64
+    rows = [("i", g, "add", f"{n:05d}", size) for g, many in sizes.items() for n, size in enumerate(many)]
+    frame = spark.createDataFrame(rows, "index_name string, document_id string, op string, object_id string, n int")
+    for limit, count in ((50, 6), (100, 1000), (1, 3), (10_000, 8)):
+        got = B.plan_sized_batches(frame, F.col("n"), limit, count).collect()
+        assert len(got) == len(rows)
+        for group in sizes:
+            own = sorted((r.position, r.n, r.chunk, r.total_chunks) for r in got if r.document_id == group)
+            chunk, held, total, expected = 1, 0, 0, []
+            for _position, size, _chunk, _all in own:
+                if held and (held >= count or total + size > limit):
+                    chunk, held, total = chunk + 1, 0, 0
+                held, total = held + 1, total + size
+                expected.append(chunk)
+            assert [c for _, _, c, _ in own] == expected and {t for *_, t in own} == {chunk}
+    assert B.plan_sized_batches(frame.limit(0), F.col("n"), 5).count() == 0
