@@ -24,6 +24,7 @@ from xmlindex.plans.repairing import reconcile, replay_batches, report_for
 from xmlindex.session import materialize, ship_package, spread, staging_path
 from xmlindex.sources.documents import documents_from_table, read_documents, stream_documents, upserts, write_documents
 from xmlindex.sources.snapshots import import_snapshot_files
+from xmlindex.sources.status import read_status_document, write_status_document
 from xmlindex.streaming.incremental import apply_events, start_incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -797,6 +798,18 @@ def status_fold(spark, sf_dir):
     return user_status(spark, sf_dir)
 
 
+@query("WITH " + STATUS_SQL + """SELECT 'records' AS list, * FROM status
+UNION ALL SELECT 'health', * FROM status WHERE collection IS NOT NULL""")
+def status_document(spark, sf_dir):
+    """The status table as one JSON document, written over an older one and read back."""
+    path = f"{staging_path(spark, 'status')}/status.json"
+    status = user_status(spark, sf_dir)
+    for rows in (status.limit(0), status):
+        write_status_document(rows, path)
+    records, health = read_status_document(spark, path)
+    return records.withColumn("list", F.lit("records")).unionByName(health.withColumn("list", F.lit("health")))
+
+
 @query("WITH " + STATUS_SQL + """SELECT index_name, collection, state, failure_class FROM status
 WHERE state IN ('degraded', 'stale_local_store')""")
 def status_gate(spark, sf_dir):

@@ -2,6 +2,8 @@
 
 import json
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -162,7 +164,7 @@ def test_reports_and_malformed(spark):
 
 
 def test_nearest_configuration_with_many(spark):
-    """More configurations than the literal lookup takes: the join has to agree with it."""
+    """The nearest one is found among few and many, with one plan."""
     configs = [load_config({"collection": f"/db/c{n}", "indexes": []}) for n in range(300)]
     configs += [load_config({"collection": p, "indexes": []}) for p in ("/db", "/db/c7/deep")]
     rows = [("/db/c7/deep/x",), ("/db/c7/other",), ("/db/zzz",), ("/else",)]
@@ -173,6 +175,19 @@ def test_nearest_configuration_with_many(spark):
     found = {r.collection: r.config_no for r in resolve_config(frame, few).collect()}
     assert found == {"/db/c7/deep/x": 2, "/db/c7/other": 0, "/db/zzz": 1, "/else": None}
 
+    def plan(configs):
+        text = resolve_config(frame, configs)._jdf.queryExecution().optimizedPlan().toString()
+        return re.sub(r"#\d+|_\d+", "", re.sub(r"ExternalRDD.*|LogicalRDD.*|LocalRelation.*", "", text))
+
+    many = [load_config({"collection": f"/db/m{n}/x", "indexes": []}) for n in range(3000)]
+    assert plan(few) == plan(many)
+    odd = [load_config({"collection": p, "indexes": []}) for p in ("", "/", "rel", "rel/x")]
+    paths = spark.createDataFrame([("",), ("/",), ("/a",), ("rel/y",), ("rel/x/y",), (None,)], "collection string")
+    assert [r.config_no for r in resolve_config(paths, odd).collect()] == [0, 1, None, 2, 3, None]
+    with pytest.raises(ValueError, match="two"):
+        resolve_config(frame, [few[0], few[0]])
+    assert [r.config_no for r in resolve_config(frame, []).collect()] == [None] * 4
+
 
 def test_documents_without_content_are_reported_in_both_modes(spark):
     config = load_config({"collection": "/db", "indexes": [{"name": "i", "roots": [{"path": "/x"}]}]})

@@ -528,3 +528,23 @@ def test_events_that_come_late_send_nothing(spark, job, index):
     # What was deleted stays so, if only an older version comes.
     apply_events(job, spark.createDataFrame([(*event(6, "upsert", old), 360)], TIMED), "b5")
     assert index.ids() == [] and job.store.latest().count() == 0
+
+
+def test_the_later_of_two_status_writers_folds_into_the_other(spark, job, monkeypatch):
+    from xmlindex.operators.status import outcome_events
+
+    def events(collection, seq):
+        rows = spark.createDataFrame([("i", collection, "current", 1, None, None)], "index_name string, collection string, "
+                                     "state string, object_count long, failure_class string, failure_message string")
+        return outcome_events(rows, "batch_write", f"t{seq}", seq)
+
+    claim = job.status._versions.claim
+
+    def beside(version, folder):
+        monkeypatch.setattr(job.status._versions, "claim", claim)
+        job.record(events("/db/b", 2))
+        return claim(version, folder)
+
+    monkeypatch.setattr(job.status._versions, "claim", beside)
+    job.record(events("/db/a", 1))
+    assert {r.collection for r in job.status.read().collect()} == {"/db/a", "/db/b"}

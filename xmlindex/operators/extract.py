@@ -13,12 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from xmlindex.config import CollectionConfig, path_predicates
 from xmlindex.functions import records as R
-from xmlindex.functions.paths import ancestors
 from xmlindex.operators.shred import predicates_hold, scopes_of, shred_documents
-from xmlindex.session import join_small
-
-# Configurations looked up by a literal map; with more, by a join on distinct collections.
-_LITERAL_CONFIGS = 256
 
 _PREDICATES = "array<struct<op:string,value:string>>"
 _SCOPE_SCHEMA = (
@@ -29,30 +24,51 @@ _SCOPE_SCHEMA = (
 _SHRED_ONLY = ("scope", "root_node_id", "root_checks", "fields", "doc_values", "error", "config_no")
 
 
+def _path_tree(configs: list[CollectionConfig]) -> list[tuple[int | None, dict[str, int]]]:
+    """Configured collections as a tree of path parts: (configuration, child by part) of each node."""
+    nodes: list[tuple[int | None, dict[str, int]]] = [(None, {})]
+    for number, config in enumerate(configs):
+        at = 0
+        for part in config.collection.split("/"):
+            children = nodes[at][1]
+            if part not in children:
+                children[part] = len(nodes)
+                nodes.append((None, {}))
+            at = children[part]
+        if nodes[at][0] is not None:
+            raise ValueError("two configurations for one collection")
+        nodes[at] = (number, nodes[at][1])
+    return nodes
+
+
 def resolve_config(documents: DataFrame, configs: list[CollectionConfig]) -> DataFrame:
-    """Add `config_no`: the configuration of the document's collection or of its nearest ancestor."""
-    numbers = {config.collection: number for number, config in enumerate(configs)}
-    if len(numbers) < len(configs):
-        raise ValueError("two configurations for one collection")
-    if not configs:
-        return documents.withColumn("config_no", F.lit(None).cast("int"))
-    if len(configs) <= _LITERAL_CONFIGS:
-        known = F.create_map(*[F.lit(x) for pair in numbers.items() for x in pair])
-        found = F.filter(
-            F.transform(ancestors("collection"), lambda path: F.try_element_at(known, path)),
-            lambda number: number.isNotNull(),
-        )
-        return documents.withColumn("config_no", F.try_element_at(found, F.lit(1)))
-    spark = documents.sparkSession
-    table = spark.createDataFrame(list(numbers.items()), "path string, config_no int")
-    nearest = (
-        documents.select("collection").distinct()
-        .select("collection", F.explode(ancestors("collection")).alias("path"))
-        .join(table, "path")
-        .groupBy("collection")
-        .agg(F.max_by("config_no", F.length("path")).alias("config_no"))
+    """Add `config_no`: the configuration of the document's collection or of its nearest ancestor.
+
+    The configured paths are one broadcast row, a tree that an expression walks along the parts
+    of the collection, so the plan is the same for any number of configurations. A configuration
+    for the empty path is that of the empty collection alone.
+    """
+    tree = documents.sparkSession.createDataFrame(
+        [(_path_tree(configs),)], "_tree array<struct<config_no: int, children: map<string, int>>>"
+    )
+    parts = F.split("collection", "/")
+
+    def step(seen: Column, part: Column) -> Column:
+        child = F.try_element_at(F.get(F.col("_tree"), seen["node"])["children"], part)
+        return R.let(child, lambda node: F.struct(
+            node.alias("node"), F.coalesce(F.get(F.col("_tree"), node)["config_no"], seen["found"]).alias("found")
+        ))
+
+    def walk(parts: Column, start: Column) -> Column:
+        return F.aggregate(parts, start, step, lambda seen: seen["found"])
+
+    start = F.struct(F.lit(0).alias("node"), F.lit(None).cast("int").alias("found"))
+    # The part before the first slash is empty; what is configured for it alone is no ancestor.
+    first = F.struct(
+        F.try_element_at(F.get(F.col("_tree"), F.lit(0))["children"], parts[0]).alias("node"), F.lit(None).cast("int").alias("found")
     )
-    return join_small(documents, nearest, ["collection"], "left")
+    below = F.when((F.size(parts) > 1) & (parts[0] == ""), walk(F.slice(parts, 2, F.size(parts)), first)).otherwise(walk(parts, start))
+    return documents.crossJoin(F.broadcast(tree)).withColumn("config_no", below).drop("_tree")
 
 
 def unconfigured_documents(documents: DataFrame, configs: list[CollectionConfig]) -> DataFrame:

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from xmlindex.config import DEFAULT_BATCH_SIZE, CollectionConfig
 from xmlindex.operators.publish import Publisher
-from xmlindex.operators.status import fold_status
 from xmlindex.sources.snapshots import CAPACITY, SnapshotStore
 from xmlindex.sources.status import StatusStore
 from xmlindex.sources.versions import VersionedFolder
@@ -95,4 +94,4 @@ class Job:
 
     def record(self, events: DataFrame) -> None:
         """Fold status events into the next version of the status table."""
-        self.status.write(fold_status(events, self.status.read()))
+        self.status.fold(events)

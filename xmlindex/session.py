@@ -100,10 +100,15 @@ class Staging:
     def __enter__(self) -> Staging:
         return self
 
-    def write(self, df: DataFrame, label: str) -> DataFrame:
-        spark = df.sparkSession
+    def path(self, spark: SparkSession, label: str) -> str:
+        """A fresh path that is deleted when the flow ends."""
         path = staging_path(spark, label)
         self._written.append((spark, path))
+        return path
+
+    def write(self, df: DataFrame, label: str) -> DataFrame:
+        spark = df.sparkSession
+        path = self.path(spark, label)
         df.write.mode("errorifexists").parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 

@@ -67,6 +67,39 @@ def publish_text(spark: SparkSession, path: str, text: str) -> bool:
         return False
 
 
+def replace_with_pieces(spark: SparkSession, path: str, parts: list[str], folders: set[str]) -> None:
+    """Make a file of texts and of the files of some folders, then put it at `path`, whatever is there.
+
+    The lines of a folder follow each other as they are, but for the first character of the first.
+    """
+    hadoop = spark._jvm.org.apache.hadoop
+    system = _system(spark, path)
+    draft = f"{path}.{uuid.uuid4().hex}.draft"
+    out = system.create(_path(spark, draft), False)
+    try:
+        for part in parts:
+            if part not in folders:
+                out.write(part.encode("utf-8"))
+                continue
+            first = True
+            for name in list_names(spark, part):
+                if name.startswith(("_", ".")):
+                    continue
+                stream = system.open(_path(spark, f"{part}/{name}"))
+                try:
+                    if first and stream.read() >= 0:
+                        first = False
+                    hadoop.io.IOUtils.copyBytes(stream, out, 1 << 16, False)
+                finally:
+                    stream.close()
+    finally:
+        out.close()
+    context = hadoop.fs.FileContext.getFileContext(system.getUri(), spark._jsc.hadoopConfiguration())
+    options = spark._sc._gateway.new_array(hadoop.fs.Options.Rename, 1)
+    options[0] = hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(_path(spark, draft), _path(spark, path), options)
+
+
 def modified(spark: SparkSession, path: str) -> float:
     """When a file was last written, in seconds since 1970."""
     return _system(spark, path).getFileStatus(_path(spark, path)).getModificationTime() / 1000

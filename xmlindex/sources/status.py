@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from xmlindex.operators.status import HEALTH_VERSION, STATUS_KEY, STATUS_SCHEMA
+from xmlindex.operators.status import HEALTH_VERSION, STATUS_KEY, STATUS_SCHEMA, fold_status
+from xmlindex.session import Staging
+from xmlindex.sources import files
 from xmlindex.sources.versions import VersionedFolder
 
 _ENTRY = (
@@ -28,12 +30,25 @@ class StatusStore:
         return self.spark.read.schema(self._schema).parquet(self._versions.folder(version))
 
     def write(self, status: DataFrame) -> None:
+        """Make `status` the whole table; fails if another writer has been faster."""
         version = self._versions.current() + 1
         folder = self._versions.new_folder()
         status.select(*self._schema.names).write.mode("errorifexists").parquet(folder)
         self._versions.publish(version, folder)
         self._versions.drop_superseded()
 
+    def fold(self, events: DataFrame) -> None:
+        """Fold status events into the table. Of two writers the later one folds into what the other wrote."""
+        while True:
+            version = self._versions.current()
+            folder = self._versions.new_folder()
+            folded = fold_status(events, self.read())
+            folded.select(*self._schema.names).write.mode("errorifexists").parquet(folder)
+            if self._versions.claim(version + 1, folder):
+                break
+            files.delete(self.spark, folder)
+        self._versions.drop_superseded()
+
 
 def read_status_document(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(records, collection health) of a JSON status document; rows without an index are skipped."""
@@ -54,6 +69,28 @@ def read_status_document(spark: SparkSession, path: str) -> tuple[DataFrame, Dat
     return rows("records"), rows("collectionHealth").where("collection <> ''")
 
 
+def write_status_document(status: DataFrame, path: str) -> None:
+    """The status table as the one JSON document that other tools read.
+
+    The tasks write its lines in pieces; the pieces are copied into a draft one after the other,
+    which then takes the place of the document at `path` at once, so a reader sees the old one or the
+    new one. Of equal keys none are merged: fold them before.
+    """
+    spark = status.sparkSession
+    lines = status_lines(status)
+    with Staging() as staging:
+        members = {"records": lines, "collectionHealth": lines.where("health")}
+        pieces = {}
+        for member, rows in members.items():
+            order = [F.col("index_name"), F.coalesce("collection", F.lit(""))]
+            pieces[member] = staging.path(spark, member)
+            rows.orderBy(*order).select(F.concat(F.lit(","), "entry")).write.text(pieces[member])
+        texts = [f'{{"contractVersion":{HEALTH_VERSION}']
+        for member, folder in pieces.items():
+            texts += [f',"{member}":[', folder, "]"]
+        files.replace_with_pieces(spark, path, [*texts, "}"], set(pieces.values()))
+
+
 def status_lines(status: DataFrame) -> DataFrame:
     """Status rows as JSON text in the members other tools expect, to be written one per line.
 

@@ -45,7 +45,12 @@ class VersionedFolder:
 
     def publish(self, version: int, folder: str) -> None:
         """Make `folder` this version; fails if another writer has claimed the number."""
-        files.write_text(self.spark, self._marker(version), folder.rsplit("/", 1)[1])
+        if not self.claim(version, folder):
+            raise FileExistsError(f"version {version} of {self.path} exists already")
+
+    def claim(self, version: int, folder: str) -> bool:
+        """Make `folder` this version; False if another writer has claimed the number."""
+        return files.publish_text(self.spark, self._marker(version), folder.rsplit("/", 1)[1])
 
     def drop_superseded(self, grace: float = GRACE) -> None:
         """Delete versions that were replaced more than `grace` seconds ago."""
