@@ -181,9 +181,9 @@ def test_nearest_configuration_with_many(spark):
 
     many = [load_config({"collection": f"/db/m{n}/x", "indexes": []}) for n in range(3000)]
     assert plan(few) == plan(many)
-    odd = [load_config({"collection": p, "indexes": []}) for p in ("", "/", "rel", "rel/x")]
+    odd = [load_config({"collection": p, "indexes": []}) for p in ("/", "rel", "rel/x")]
     paths = spark.createDataFrame([("",), ("/",), ("/a",), ("rel/y",), ("rel/x/y",), (None,)], "collection string")
-    assert [r.config_no for r in resolve_config(paths, odd).collect()] == [0, 1, None, 2, 3, None]
+    assert [r.config_no for r in resolve_config(paths, odd).collect()] == [None, 0, None, 1, 2, None]
     with pytest.raises(ValueError, match="two"):
         resolve_config(frame, [few[0], few[0]])
     assert [r.config_no for r in resolve_config(frame, []).collect()] == [None] * 4

@@ -45,13 +45,11 @@ def resolve_config(documents: DataFrame, configs: list[CollectionConfig]) -> Dat
     """Add `config_no`: the configuration of the document's collection or of its nearest ancestor.
 
     The configured paths are one broadcast row, a tree that an expression walks along the parts
-    of the collection, so the plan is the same for any number of configurations. A configuration
-    for the empty path is that of the empty collection alone.
+    of the collection, so the plan is the same for any number of configurations.
     """
     tree = documents.sparkSession.createDataFrame(
         [(_path_tree(configs),)], "_tree array<struct<config_no: int, children: map<string, int>>>"
     )
-    parts = F.split("collection", "/")
 
     def step(seen: Column, part: Column) -> Column:
         child = F.try_element_at(F.get(F.col("_tree"), seen["node"])["children"], part)
@@ -59,16 +57,9 @@ def resolve_config(documents: DataFrame, configs: list[CollectionConfig]) -> Dat
             node.alias("node"), F.coalesce(F.get(F.col("_tree"), node)["config_no"], seen["found"]).alias("found")
         ))
 
-    def walk(parts: Column, start: Column) -> Column:
-        return F.aggregate(parts, start, step, lambda seen: seen["found"])
-
     start = F.struct(F.lit(0).alias("node"), F.lit(None).cast("int").alias("found"))
-    # The part before the first slash is empty; what is configured for it alone is no ancestor.
-    first = F.struct(
-        F.try_element_at(F.get(F.col("_tree"), F.lit(0))["children"], parts[0]).alias("node"), F.lit(None).cast("int").alias("found")
-    )
-    below = F.when((F.size(parts) > 1) & (parts[0] == ""), walk(F.slice(parts, 2, F.size(parts)), first)).otherwise(walk(parts, start))
-    return documents.crossJoin(F.broadcast(tree)).withColumn("config_no", below).drop("_tree")
+    found = F.aggregate(F.split("collection", "/"), start, step, lambda seen: seen["found"])
+    return documents.crossJoin(F.broadcast(tree)).withColumn("config_no", found).drop("_tree")
 
 
 def unconfigured_documents(documents: DataFrame, configs: list[CollectionConfig]) -> DataFrame:
