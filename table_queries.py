@@ -1352,3 +1352,63 @@ def plan_sized_batches(spark, sf_dir):
     size = F.length(F.when(F.col("op") == "delete", F.col("object_id")).otherwise(F.col("record_json")))
     planned = B.plan_sized_batches(changes, size, 300, 7, ("index_name", "collection"))
     return planned.select("collection", "object_id", "chunk", "total_chunks")
+
+
+@query("""WITH parts AS (SELECT page_id, list_filter(string_split(url, '/'), lambda p: p <> '') AS own FROM pages),
+others AS (SELECT page_id, own, own[1:1] || [left(own[2], length(own[2]) - 1)] AS cut, own || ['more'] AS longer, own[2:] AS inner_part
+           FROM parts)
+SELECT page_id, own[1:2] = cut AS under_cut_name, false AS under_longer, own[1:len(inner_part)] = inner_part AS under_inner,
+       true AS under_itself FROM others""")
+def path_prefix_refused(spark, sf_dir):
+    """What begins alike is no prefix: a site's name without its last letter, a longer path, an inner part."""
+    pages = table(spark, sf_dir, "pages")
+    parts = F.filter(F.split("url", "/"), lambda p: p != "")
+    site = F.element_at(parts, 2)
+    return pages.select(
+        "page_id",
+        P.path_starts_with("url", F.concat_ws("/", F.element_at(parts, 1), site.substr(F.lit(1), F.length(site) - 1))).alias("under_cut_name"),
+        P.path_starts_with("url", F.concat(F.col("url"), F.lit("/more"))).alias("under_longer"),
+        P.path_starts_with("url", F.array_join(F.slice(parts, 2, 100), "/")).alias("under_inner"),
+        P.path_starts_with("url", F.concat(F.lit("//"), F.col("url"), F.lit("/"))).alias("under_itself"),
+    )
+
+
+@query("""SELECT conv_id || '-' || turn AS document_id, text AS own, role AS first, text AS second FROM conversations""")
+def xml_element_over_attribute(spark, sf_dir):
+    """A turn's role gives way to the turn's own text, but stays beside the text of another element."""
+    root = {"path": "/talk", "fields": [
+        {"name": "own", "path": "/turn/@role"}, {"name": "own", "path": "/turn"},
+        {"name": "both", "path": "/turn/@role"}, {"name": "both", "path": "/turn/text"}]}
+    records = X.extract_records(turn_xml(spark, sf_dir), [turn_config(root)])
+    return records.select(
+        "document_id", F.get_json_object("record_json", "$.own").alias("own"),
+        F.get_json_object("record_json", "$.both[0]").alias("first"), F.get_json_object("record_json", "$.both[1]").alias("second"),
+    )
+
+
+@query("""WITH o AS (SELECT o_custkey % 6 AS g, o_orderkey % 3 AS r FROM orders),
+n AS (SELECT g, count(*) AS n, count(*) FILTER (r <> 0) AS without_0, count(*) FILTER (r <> 1) AS without_1 FROM o GROUP BY g),
+numbers AS (
+  SELECT g, CASE g WHEN 2 THEN 0 WHEN 5 THEN without_1 ELSE n END AS uploads,
+         CASE WHEN g IN (4, 5) THEN without_0 ELSE n END AS deletes,
+         ['synced', 'stale_status', 'local_store_corruption', 'wrong_path_drift', 'true_live_loss', 'mismatch'][g + 1] AS classification
+  FROM n)
+SELECT '/db/g' || g AS tree, classification, CASE g WHEN 0 THEN 'none' WHEN 1 THEN 'refresh status'
+  ELSE 'inspect, then replay: deletes ' || deletes || ' live object(s), uploads ' || uploads || ' object(s)' END AS action
+FROM numbers""")
+def classify_every_kind(spark, sf_dir):
+    """Six trees of orders, each out of step in its own way."""
+    orders = stored_orders(spark, sf_dir).withColumn("g", F.col("doc_key").cast("bigint") % 6).withColumn("r", F.col("o_orderkey") % 3)
+    rows = orders.withColumn("collection", F.concat(F.lit("/db/g"), F.col("g").cast("string")))
+    local = rows.where("g <> 2 and (g <> 5 or r <> 1)").drop("g", "r")
+    live = rows.where("g < 4 or r <> 0").withColumn(
+        "collection", F.when(F.col("g") == 3, F.lit("/db/x3")).otherwise(F.col("collection"))
+    ).select("index_name", "object_id", "collection", "document_id")
+    trees = rows.select("index_name", F.col("collection").alias("tree")).distinct()
+    status = T.fold_status(trees.select(
+        "index_name", F.col("tree").alias("collection"), F.lit("batch_write").alias("operation"),
+        F.when(F.col("tree") == "/db/g1", T.DEGRADED).otherwise(T.CURRENT).alias("state"), F.lit("t").alias("ts"),
+        F.lit(1).cast("bigint").alias("seq"), F.lit(1).cast("bigint").alias("object_count"),
+        F.lit(None).cast("string").alias("failure_class"), F.lit(None).cast("string").alias("failure_message"),
+    ))
+    return Y.recommend_action(Y.sync_report(local, live, trees, status)).select("tree", "classification", "action")
