@@ -23,6 +23,8 @@ from xmlindex.plans.removing import drop_index, remove_collections
 from xmlindex.plans.repairing import reconcile, replay_batches, report_for
 from xmlindex.session import materialize, ship_package, spread, staging_path
 from xmlindex.sources.documents import documents_from_table, read_documents, stream_documents, upserts, write_documents
+from xmlindex.sources.files import replace_with_pieces
+from xmlindex.sources.live import read_live_index
 from xmlindex.sources.snapshots import import_snapshot_files
 from xmlindex.sources.status import read_status_document, write_status_document
 from xmlindex.streaming.incremental import apply_events, start_incremental
@@ -1412,3 +1414,19 @@ def classify_every_kind(spark, sf_dir):
         F.lit(None).cast("string").alias("failure_class"), F.lit(None).cast("string").alias("failure_message"),
     ))
     return Y.recommend_action(Y.sync_report(local, live, trees, status)).select("tree", "classification", "action")
+
+
+@query("WITH " + SYNC_SQL + """SELECT form, object_id, collection, document_id FROM live, (VALUES ('array'), ('object')) forms(form)""")
+def live_index_from_one_document(spark, sf_dir):
+    """The live orders as one JSON document each way, an array and an object with records, read by many tasks."""
+    live = live_orders(spark, sf_dir).select(
+        F.to_json(F.struct(F.col("object_id").alias("objectID"), "collection", F.col("document_id").alias("documentID"))).alias("record")
+    )
+    folder, path = staging_path(spark, "pieces"), staging_path(spark, "dumps")
+    live.select(F.concat(F.lit(","), "record")).write.text(folder)
+    found = []
+    for form, head, tail in (("array", "[", "]"), ("object", '{"hits":[{"objectID":"x"}],"records":[', '],"n":1}')):
+        replace_with_pieces(spark, f"{path}/{form}.json", [head, folder, tail], {folder})
+        rows = read_live_index(spark, f"{path}/{form}.json", "orders")
+        found.append(rows.select(F.lit(form).alias("form"), "object_id", "collection", "document_id"))
+    return found[0].unionByName(found[1])

@@ -244,3 +244,25 @@ def test_sized_batches_equal_a_walk(spark):
                 expected.append(chunk)
             assert [c for _, _, c, _ in own] == expected and {t for *_, t in own} == {chunk}
     assert B.plan_sized_batches(frame.limit(0), F.col("n"), 5).count() == 0
+
+
+def test_one_document_dumps_are_read_in_parts(spark, tmp_path):
+    odd = ['}', '{', '"', '\\', '\\"', '],"records":[{', 'ü\n', "{}[]", '\\}', ""]
+    records = [{"objectID": f"o{n}", "collection": "/db", "documentID": odd[n % len(odd)] + "d", "deep": [{"a": {"b": odd[-n % 10]}}, {}],
+                "records": [{"objectID": "no", "collection": "/db"}]} for n in range(60)]
+    others = {"note": 'a{b}"c', "hits": [{"objectID": "x", "collection": "/db"}], "meta": {"x": {"objectID": "y", "collection": "/db"}}}
+    expected = {(r["objectID"], r["documentID"]) for r in records}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500b")
+    try:
+        for name, content in (("array", records), ("object", {"records": records}), ("first", {**others, "records": records, "empty": []}),
+                              ("last", {"records": records, **others})):
+            for indent in (None, 1):
+                (tmp_path / f"{name}{indent}.json").write_text(json.dumps(content, indent=indent, ensure_ascii=indent is None), encoding="utf-8")
+                frame = read_live_index(spark, str(tmp_path / f"{name}{indent}.json"), "i")
+                assert {(r.object_id, r.document_id) for r in frame.collect()} == expected, (name, indent)
+        assert spark.read.option("lineSep", "}").text(str(tmp_path / "arrayNone.json")).rdd.getNumPartitions() > 3
+        for name, content in (("none", "[]"), ("nothing", '{"records": []}'), ("void", "")):
+            (tmp_path / f"{name}.json").write_text(content)
+            assert read_live_index(spark, str(tmp_path / f"{name}.json"), "i").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -2,36 +2,116 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from xmlindex.operators.snapshots import dedup_last_write
+from xmlindex.session import Staging, materialize
 
 _MEMBERS = ("objectID", "collection", "documentID")
 
 
+def _before(rows: DataFrame, value: Column, name: str) -> DataFrame:
+    """Add the sum of `value` over what comes before in the same file: within splits, splits offset."""
+    split = ["file", "split"]
+    rows = rows.withColumn("_value", value)
+    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = rows.groupBy(*split).agg(F.sum("_value").alias("_sum")).select(
+        *split, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset")
+    )
+    within = Window.partitionBy(*split).orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
+    summed = rows.withColumn("_within", F.coalesce(F.sum("_value").over(within), F.lit(0)))
+    return summed.join(offsets, split).withColumn(name, F.col("_offset") + F.col("_within")).drop("_value", "_within", "_offset")
+
+
+def split_records(spark: SparkSession, path: str, staging: Staging) -> DataFrame:
+    """The text of every record of dumps that are one JSON document each, one record a row.
+
+    A file is cut at every `}`, wherever its splits begin, so it is read by many tasks. Of each
+    piece it is known how many quotes it has and what it does to the depth, whether it begins
+    inside a string or outside; sums over the pieces before tell which of the two is true, how
+    deep the piece begins, and so which closing braces end a record. The pieces between two
+    such braces are a record and what stands before it. Records are the objects of an array, or
+    of the array `records` of an object.
+    """
+    pieces = staging.write(
+        spark.read.option("lineSep", "}").text(path).select(
+            F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+            F.monotonically_increasing_id().alias("id"), "value",
+        ), "pieces",
+    )
+    plain = F.regexp_replace("value", r"(?s)\\.", "")
+    parts = F.split(plain, '"', -1)
+
+    def depth(inside: int) -> Column:
+        outside = F.array_join(F.filter(parts, lambda _part, n: (n + inside) % 2 == 0), "")
+        opened = F.length(F.regexp_replace(outside, r"[^\[{]", "")) - F.length(F.regexp_replace(outside, r"[^\]]", ""))
+        # The brace that ends the piece closes something unless a string goes on.
+        return opened - F.when((F.size(parts) - 1 + inside) % 2 == 0, 1).otherwise(0)
+
+    marked = staging.write(
+        pieces.select("file", "split", "id", (F.size(parts) - 1).alias("quotes"), depth(0).alias("out"), depth(1).alias("in")),
+        "marked",
+    )
+    started = _before(marked, F.col("quotes"), "seen").withColumn("inside", F.col("seen") % 2)
+    started = started.withColumn("change", F.when(F.col("inside") == 1, F.col("in")).otherwise(F.col("out")))
+    started = staging.write(started.select("file", "split", "id", "quotes", "inside", "change"), "started")
+    # A file of an array has its records in depth 1, one of an object in depth 2.
+    first = pieces.groupBy("file").agg(F.min_by("value", F.struct("split", "id")).alias("value")).select(
+        "file", F.when(F.regexp_extract("value", r"^\s*(.)", 1) == "[", 1).otherwise(2).alias("level")
+    )
+    deep = _before(started, F.col("change"), "depth").join(first, "file")
+    closes = ((F.col("inside") + F.col("quotes")) % 2 == 0) & (F.col("depth") + F.col("change") == F.col("level"))
+    closed = staging.write(deep.select("file", "split", "id", "level", closes.cast("int").alias("closes")), "closed")
+    numbered = staging.write(_before(closed, F.col("closes"), "record"), "numbered")
+
+    texts = (
+        numbered.join(pieces, ["file", "split", "id"])
+        .groupBy("file", "record", "level")
+        .agg(F.max("closes").alias("closed"), F.array_sort(F.collect_list(F.struct("split", "id", "value"))).alias("pieces"))
+        .where("closed = 1")
+        .select("file", "record", "level", F.concat(F.array_join(F.col("pieces.value"), "}"), F.lit("}")).alias("text"))
+    )
+    # What comes before a record: a comma within the array, else how the array begins.
+    opening = F.when((F.col("level") == 2) & (F.col("record") == 0), F.regexp_replace("text", r"^\s*\{", "")).otherwise(F.col("text"))
+    lead = F.regexp_extract("opening", r'^((?:[^"{]++|"(?:[^"\\]++|\\.)*+")*+)\{', 1)
+    led = texts.withColumn("opening", opening).withColumn("lead", lead).select(
+        "file", "record", "level", F.regexp_replace("lead", r"^\s+|\s+$", "").alias("lead"),
+        F.expr("substring(opening, length(lead) + 1)").alias("text"),
+    )
+    led = staging.write(led, "records")
+    name = F.regexp_extract("lead", r'"((?:[^"\\]|\\.)*)"\s*:\s*\[\s*$', 1)
+    # Where an array or another member begins: as many rows as the documents have members.
+    begins = led.where("level = 2 and (record = 0 or lead <> ',')").select("file", F.col("record").alias("first"), name.alias("name"))
+    ends = F.lead("first").over(Window.partitionBy("file").orderBy("first"))
+    wanted = begins.withColumn("last", ends).where("name = 'records'").drop("name")
+    inside = (F.col("l.file") == F.col("w.file")) & (F.col("record") >= F.col("first")) & (F.col("last").isNull() | (F.col("record") < F.col("last")))
+    listed = led.alias("l").where("level = 2").join(wanted.alias("w"), inside, "left_semi")
+    return led.where("level = 1").unionByName(listed).select("file", "record", "text")
+
+
 def read_live_index(spark: SparkSession, path: str, index_name: str, lines: bool = False) -> DataFrame:
     """`index_name, object_id, collection, document_id` of every valid record of a dump.
 
-    The dump is JSON files that hold an array of records or an object with a `records` array,
-    or, with `lines`, one record per line - the form to use for an index of any size, since a
-    JSON document is read by one task. Ids that are not strings count as absent.
+    The dump is JSON files that hold an array of records or an object with a `records` array, or,
+    with `lines`, one record per line; either way a file is read by as many tasks as it has
+    splits (compressed files by one). Ids that are not strings count as absent.
     """
-    schema = "records array<variant>, " + ", ".join(f"{m} variant" for m in _MEMBERS)
-    raw = spark.read.schema(schema).option("multiLine", not lines).json(path)
-
     def text(value: Column) -> Column:
         found = F.when(F.schema_of_variant(value) == "STRING", value.cast("string"))
         return F.when(found != "", found)
 
-    single = raw.where("records is null").select(*_MEMBERS)
-    listed = raw.where("records is not null").select(F.explode("records").alias("r")).select(
-        *[F.try_variant_get("r", f"$.{m}", "variant").alias(m) for m in _MEMBERS]
-    )
-    rows = single.unionByName(listed).select(
-        F.lit(index_name).alias("index_name"),
-        text(F.col("objectID")).alias("object_id"),
-        text(F.col("collection")).alias("collection"),
-        text(F.col("documentID")).alias("document_id"),
-    ).where("object_id is not null and collection is not null")
-    # An index holds an object id once; should a dump repeat one, a fixed choice is made.
-    return dedup_last_write(rows, ["index_name", "object_id"], ["collection", "document_id"])
+    with Staging() as staging:
+        if lines:
+            texts = spark.read.text(path).select(F.col("value").alias("text"))
+        else:
+            texts = split_records(spark, path, staging)
+        members = [F.try_variant_get(F.try_parse_json("text"), f"$.{m}", "variant").alias(m) for m in _MEMBERS]
+        rows = texts.select(*members).select(
+            F.lit(index_name).alias("index_name"),
+            text(F.col("objectID")).alias("object_id"),
+            text(F.col("collection")).alias("collection"),
+            text(F.col("documentID")).alias("document_id"),
+        ).where("object_id is not null and collection is not null")
+        # An index holds an object id once; should a dump repeat one, a fixed choice is made.
+        found = dedup_last_write(rows, ["index_name", "object_id"], ["collection", "document_id"])
+        return found if lines else materialize(found, "live")
