@@ -261,6 +261,9 @@ def test_one_document_dumps_are_read_in_parts(spark, tmp_path):
                 frame = read_live_index(spark, str(tmp_path / f"{name}{indent}.json"), "i")
                 assert {(r.object_id, r.document_id) for r in frame.collect()} == expected, (name, indent)
         assert spark.read.option("lineSep", "}").text(str(tmp_path / "arrayNone.json")).rdd.getNumPartitions() > 3
+        for name, content in (("one", '{"objectID":"a","collection":"/db","documentID":"d"}'), ("deep", '{"objectID":"a","x":{"y":[{}]},"collection":"/db","documentID":"d", "z":{"k":{}} } \n')):
+            (tmp_path / f"{name}.json").write_text(content)
+            assert [tuple(r) for r in read_live_index(spark, str(tmp_path / f"{name}.json"), "i").collect()] == [("i", "a", "/db", "d")]
         for name, content in (("none", "[]"), ("nothing", '{"records": []}'), ("void", "")):
             (tmp_path / f"{name}.json").write_text(content)
             assert read_live_index(spark, str(tmp_path / f"{name}.json"), "i").count() == 0

@@ -31,7 +31,7 @@ def split_records(spark: SparkSession, path: str, staging: Staging) -> DataFrame
     inside a string or outside; sums over the pieces before tell which of the two is true, how
     deep the piece begins, and so which closing braces end a record. The pieces between two
     such braces are a record and what stands before it. Records are the objects of an array, or
-    of the array `records` of an object.
+    of the array `records` of an object; an object without that is one record.
     """
     pieces = staging.write(
         spark.read.option("lineSep", "}").text(path).select(
@@ -86,14 +86,22 @@ def split_records(spark: SparkSession, path: str, staging: Staging) -> DataFrame
     wanted = begins.withColumn("last", ends).where("name = 'records'").drop("name")
     inside = (F.col("l.file") == F.col("w.file")) & (F.col("record") >= F.col("first")) & (F.col("last").isNull() | (F.col("record") < F.col("last")))
     listed = led.alias("l").where("level = 2").join(wanted.alias("w"), inside, "left_semi")
-    return led.where("level = 1").unionByName(listed).select("file", "record", "text")
+    found = led.where("level = 1").unionByName(listed).select("file", "record", "text")
+    # An object without `records` is a record itself; whether its last brace is a separator shows on parsing.
+    single = first.where("level = 2").join(wanted, "file", "left_anti")
+    joined = F.array_join(F.array_sort(F.collect_list(F.struct("split", "id", "value")))["value"], "}")
+    whole = pieces.join(single.select("file"), "file", "left_semi").groupBy("file").agg(joined.alias("text")).select(
+        "file", F.lit(0).cast("bigint").alias("record"),
+        F.when(F.try_parse_json("text").isNotNull(), F.col("text")).otherwise(F.concat("text", F.lit("}"))).alias("text"),
+    )
+    return found.unionByName(whole)
 
 
 def read_live_index(spark: SparkSession, path: str, index_name: str, lines: bool = False) -> DataFrame:
     """`index_name, object_id, collection, document_id` of every valid record of a dump.
 
-    The dump is JSON files that hold an array of records or an object with a `records` array, or,
-    with `lines`, one record per line; either way a file is read by as many tasks as it has
+    The dump is JSON files that hold an array of records, an object with a `records` array or one
+    record, or, with `lines`, one record per line; either way a file is read by as many tasks as it has
     splits (compressed files by one). Ids that are not strings count as absent.
     """
     def text(value: Column) -> Column:
