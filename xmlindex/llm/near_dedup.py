@@ -10,9 +10,9 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from xmlindex.llm.bpe import arrow_rows
+from xmlindex.llm.bpe import arrow_rows, slices
 from xmlindex.llm.components import connected_components
 from xmlindex.llm.support import held, unused, whole_text
 from xmlindex.session import materialize
@@ -20,6 +20,8 @@ from xmlindex.session import materialize
 _CACHED_WORDS = 200_000
 # Entries that one batch of inverted lists may have.
 _ENTRIES = 100_000
+# 64-bit words of a set's parities.
+_PARITY_WORDS = 16
 
 
 @dataclass(frozen=True)
@@ -68,6 +70,18 @@ class Sketching:
             loss += chance * (1 - alike) ** lists
         return loss
 
+    @staticmethod
+    def similarity_at(sizes: Column, differences: Column) -> Column:
+        """The similarity of two sets by the sum of their sizes and the size of their difference."""
+        return (sizes - differences) / (sizes + differences)
+
+    def possible(self, x: str, y: str) -> Column:
+        """May the sets of two rows be linked, by their sizes and parities? Never false for linked ones."""
+        n_x, n_y = F.col(f"{x}n_shingles"), F.col(f"{y}n_shingles")
+        return (100 * F.least(n_x, n_y) >= self.percent * F.greatest(n_x, n_y)) & (
+            (100 + self.percent) * _differences(x, y) <= (100 - self.percent) * (n_x + n_y)
+        )
+
     @property
     def estimate_floor(self) -> float:
         return self.limit - self.margin
@@ -147,11 +161,30 @@ def _node(shingles: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(shingles.tobytes())
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """Bits that say of each slot of hashes whether an odd number of the shingles falls there.
+
+    Where two sets' bits differ, some shingle is in one set only, so the count of such bits is at
+    most the size of their symmetric difference. It holds for sets of any size, and comes close
+    as long as the sets differ in fewer shingles than there are bits.
+    """
+    bits = 64 * _PARITY_WORDS
+    odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _differences(x: str, y: str) -> Column:
+    """How many shingles the sets of two rows differ in, at least."""
+    return sum(
+        (F.bit_count(F.col(f"{x}parity")[i].bitwiseXOR(F.col(f"{y}parity")[i])) for i in range(_PARITY_WORDS)), F.lit(0)
+    ).cast("long")
+
+
 def sketch_texts(df: DataFrame, how: Sketching) -> DataFrame:
-    """doc_id, mark, node (a digest of the shingle set), n_shingles and sketch of rows of doc_id, mark, text."""
+    """doc_id, mark, node (a digest of the shingle set), n_shingles, sketch and parity of rows of doc_id, mark, text."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingle_hashes(t, how.words) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -159,12 +192,13 @@ def sketch_texts(df: DataFrame, how: Sketching) -> DataFrame:
                     pa.array([_node(s) for s in sets], pa.binary()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     _lists([s[: how.retained] for s in sets]),
+                    _lists([parities(s) for s in sets]),
                 ],
-                names=["doc_id", "mark", "node", "n_shingles", "sketch"],
+                names=["doc_id", "mark", "node", "n_shingles", "sketch", "parity"],
             )
 
     return df.select("doc_id", "mark", "text").mapInArrow(
-        sketch, "doc_id long, mark long, node binary, n_shingles long, sketch array<long>"
+        sketch, "doc_id long, mark long, node binary, n_shingles long, sketch array<long>, parity array<long>"
     )
 
 
@@ -215,7 +249,7 @@ def _shingle_sets(df: DataFrame, how: Sketching, wanted: DataFrame) -> DataFrame
     """node, shingles: the full sets of the wanted (doc_id, node)."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [shingle_hashes(t, how.words) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([_node(s) for s in found], pa.binary()), _lists(found)], names=["node", "shingles"]
@@ -254,19 +288,24 @@ class _Search:
     def verify(self, pairs: DataFrame) -> DataFrame:
         """a, b, linked, low, high: whether pairs are linked, and bounds of their distance.
 
-        Sizes and the estimate from the sketches rule out what lies far below the limit; the rest
-        is decided on the full sets.
+        Sizes, parities and the estimate from the sketches rule out what lies far below the limit;
+        the rest is decided on the full sets.
         """
         how = self.how
         side = lambda name: self.nodes.select(
             F.col("node").alias(name), F.col("n_shingles").alias(f"n_{name}"),
             F.col("sketch").alias(f"sketch_{name}"), F.col("doc_id").alias(f"doc_{name}"),
+            F.col("parity").alias(f"{name}_parity"),
         )
         sizes = F.least("n_a", "n_b") / F.greatest("n_a", "n_b")
+        apart = _differences("a_", "b_")
         judged = materialize(
             pairs.join(side("a"), "a").join(side("b"), "b")
             .withColumn("estimate", _estimate(how.retained)("sketch_a", "sketch_b"))
-            .select("a", "b", "n_a", "n_b", "doc_a", "doc_b", "estimate", sizes.alias("most"))
+            .select(
+                "a", "b", "n_a", "n_b", "doc_a", "doc_b", "estimate",
+                F.least(sizes, how.similarity_at(F.col("n_a") + F.col("n_b"), apart)).alias("most"),
+            )
             .withColumn("near", (F.col("estimate") >= how.estimate_floor) & (F.col("most") >= how.limit - 1e-9)),
             "judged",
         )
@@ -311,11 +350,16 @@ class _Search:
         return connected_components(self.verdicts.unionByName(found).where("linked"))
 
     def of_strays(self, lists: DataFrame) -> DataFrame:
-        """a, b: each stray of a list with its nodes of other parts; at most `few` pairs per node."""
-        stray = lists.where(F.col("root") != F.col("main"))
-        return stray.alias("x").join(lists.alias("y"), "key").where(
+        """a, b: each stray of a list with its nodes of other parts that it may be linked with.
+
+        At most `few` strays meet a node, and only pairs that sizes and parities allow are made.
+        """
+        rows = lists.join(self.nodes.select("node", "n_shingles", "parity"), "node")
+        stray = rows.where(F.col("root") != F.col("main"))
+        return stray.alias("x").join(rows.alias("y"), "key").where(
             (F.col("x.root") != F.col("y.root"))
             & ((F.col("y.root") == F.col("y.main")) | (F.col("x.node") < F.col("y.node")))
+            & self.how.possible("x.", "y.")
         ).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
 
     def with_parts(self, lists: DataFrame) -> DataFrame:
@@ -355,12 +399,13 @@ class _Search:
 
         Shingles are put in order of how few nodes of the lists hold them. Two linked sets share
         one of the first n - ceil(limit * n) + 1 shingles of each, so only those are looked up, and
-        have room for enough common ones beside those that no other node holds. A stray differs
-        from the rest of its list, mostly in shingles that hardly any other has.
+        from the first that they share on, both have room for enough common ones. Sizes and
+        parities have to allow a link too before a pair is made. A stray differs from the rest of
+        its list, mostly in shingles that hardly any other has.
         """
         pool = materialize(
             lists.groupBy("node").agg(F.min("root").alias("root"), F.max(F.col("root") != F.col("main")).alias("stray"))
-            .join(self.nodes.select("node", "doc_id", "n_shingles"), "node"),
+            .join(self.nodes.select("node", "doc_id", "n_shingles", "parity"), "node"),
             "pool",
         )
         held = materialize(
@@ -376,15 +421,17 @@ class _Search:
         place = alone + F.row_number().over(of_node.orderBy("holders", "shingle"))
         first = materialize(
             held.join(common, "shingle").join(pool, "node")
-            .select("shingle", "node", "root", "stray", "n_shingles", (n - alone).alias("shared"), (place <= n - least + 1).alias("early"))
+            .select("shingle", "node", "root", "stray", "n_shingles", "parity", place.alias("place"), (place <= n - least + 1).alias("early"))
             .where("early").drop("early"),
             "rare",
         )
-        # At most the shingles that each shares with any other node can be common to both.
-        most = F.least("x.shared", "y.shared")
-        possible = 100 * most >= self.how.percent * (F.col("x.n_shingles") + F.col("y.n_shingles") - most)
+        # What two nodes share comes no earlier than the first shingle that they share, in both.
+        left = lambda side: F.col(f"{side}.n_shingles") - F.col(f"{side}.place") + 1
+        most = F.least(left("x"), left("y"))
+        room = 100 * most >= self.how.percent * (F.col("x.n_shingles") + F.col("y.n_shingles") - most)
         return first.where("stray").alias("x").join(first.alias("y"), "shingle").where(
-            (F.col("x.node") != F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & possible
+            (F.col("x.node") != F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & room
+            & self.how.possible("x.", "y.")
         ).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
 
 
@@ -418,7 +465,8 @@ def near_duplicates(
     rows = materialize(sketch_texts(source, how), "sketches")
     nodes = materialize(
         rows.groupBy("node").agg(
-            F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.max("sketch").alias("sketch")
+            F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.max("sketch").alias("sketch"),
+            F.max("parity").alias("parity"),
         ),
         "nodes",
     )
