@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from xmlindex.llm import bpe, chat, licenses, near_dedup, packing, quality, token_counts, token_files, topk, toxicity
+from xmlindex.llm import bpe, chat, licenses, near_dedup, packing, quality, support, token_counts, token_files, topk, toxicity
 from xmlindex.llm.tokenizer import encoder
 from xmlindex.session import ship_package, staging_path
 
@@ -405,3 +405,23 @@ def test_pipeline_stages_keep_the_columns(spark, tmp_path):
     assert {r["doc_id"] for r in packed} == set(range(40))
 
 
+
+
+def test_parities_never_exceed_the_difference_of_sets():
+    rng = np.random.default_rng(5)
+    for size in (0, 1, 40, 900, 20_000):
+        for changed in (0, 1, 7, 300):
+            one = np.unique(rng.integers(0, 1 << 63, size, np.uint64))
+            other = np.unique(np.concatenate([one[min(changed, len(one)):], rng.integers(0, 1 << 63, changed, np.uint64)]))
+            bits = near_dedup.parities(one) ^ near_dedup.parities(other)
+            counted = sum(int(w).bit_count() for w in bits.view(np.uint64))
+            assert counted <= len(np.setxor1d(one, other))
+            if changed == 1 and size > 1:
+                assert counted in (0, 2)
+
+
+def test_a_worker_holds_what_its_step_asks_for():
+    made = []
+    for key in ("a", "a", "b", "a"):
+        support.held((key,), lambda: made.append(key) or key)
+    assert made == ["a", "b", "a"]

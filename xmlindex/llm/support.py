@@ -22,16 +22,18 @@ def whole_text(column: str = "text") -> Column:
 
 
 def held(key: tuple, make: Callable[[], Any]) -> Any:
-    """`make()` once per Python worker.
+    """`make()` once per Python worker, as long as it asks for nothing else.
 
     The package's functions may travel by value, and then a global of theirs starts anew with
-    every task; a module of its own name in `sys.modules` lasts as long as the worker.
+    every task; a module of its own name in `sys.modules` lasts as long as the worker. A worker
+    outlives the step it worked for, so what another step asks for takes the place of the last.
     """
     holder = sys.modules.get(_HOLDER)
     if holder is None:
         holder = sys.modules.setdefault(_HOLDER, types.ModuleType(_HOLDER))
         holder.values = {}
     if key not in holder.values:
+        holder.values.clear()
         holder.values[key] = make()
     return holder.values[key]
 
