@@ -218,6 +218,15 @@ def test_report_replay_refresh_reconcile(spark, job, index):
     os.remove(os.path.join(index.path, "x1.json"))
     final = reconcile(job, "words", "/db/dict/a", documents(spark, ONE, TWO), live, "q1", "stamp__a", allow=True)
     assert final.first().synced and index.ids() == ["x1", "x2", "x3", "y1"]
+    # A record that only the index has stays: the second round finds what the first one left.
+    json.dump({"objectID": "stray", "collection": "/db/dict/a", "documentID": 7},
+              open(os.path.join(index.path, "stray.json"), "w"))
+    os.remove(os.path.join(index.path, "x1.json"))
+    final = reconcile(job, "words", "/db/dict/a", documents(spark, ONE, TWO), live, "q2", "stamp__b", allow=True).first()
+    assert not final.synced and (final.sample_missing, final.sample_unexpected) == ([], ["stray"])
+    assert index.ids() == ["stray", "x1", "x2", "x3", "y1"]
+    aside = {name for name in os.listdir(os.path.join(job.store.path, "quarantine"))}
+    assert aside == {"stamp__a", "stamp__b", "stamp__b-2"}
     asked = spark.createDataFrame([("words", "one")], "index_name string, doc_key string")
     with pytest.raises(FileExistsError):
         job.store.quarantine(asked, "stamp__a")

@@ -81,19 +81,37 @@ def refresh(job: Job, index_name: str, tree: str, live: DataFrame) -> DataFrame:
 
 def reconcile(
     job: Job, index_name: str, tree: str, documents: DataFrame, live: LiveReader, commit: str,
-    quarantine_name: str, force: bool = False, allow: bool = False,
+    quarantine_name: str, force: bool = False, allow: bool = False, rounds: int = 5,
 ) -> DataFrame:
-    """Set the stored snapshots of a tree aside and index it anew; returns the final report.
-
-    Does nothing if the tree is in step, unless forced. Changes the store, hence `allow`.
+    """Set the stored snapshots of a tree aside and index it anew, until that changes nothing more;
+    returns the final report.
+
+    A round sets aside what the store holds of the tree, extracts its documents again, sends all of
+    them and reports. Rounds end once the tree is in step, two reports in a row agree (what is wrong
+    then, such as records that only the index has, indexing does not mend), or after `rounds`. Later
+    rounds add their number to the names of commit and quarantine. Does nothing if the tree is in
+    step, unless forced. Changes the store, hence `allow`.
     """
     if not allow:
         raise PermissionError("reconcile changes the snapshot store; pass allow=True to do so")
     report = materialize(report_for(job, index_name, tree, live()), "report")
     if report.select("synced").first()[0] and not force:
         return report
-    local = job.store.listing(tree).where(F.col("index_name") == index_name)
     trees = job.spark.createDataFrame([(index_name, tree)], "index_name string, tree string")
-    job.store.quarantine(matching_documents(local, trees).drop("tree"), quarantine_name)
-    reindex_collection(job, documents, tree, commit)
-    return report_for(job, index_name, tree, live())
+    seen = _findings(report)
+    for number in range(1, rounds + 1):
+        suffix = "" if number == 1 else f"-{number}"
+        local = job.store.listing(tree).where(F.col("index_name") == index_name)
+        job.store.quarantine(matching_documents(local, trees).drop("tree"), quarantine_name + suffix)
+        reindex_collection(job, documents, tree, commit + suffix)
+        report = materialize(report_for(job, index_name, tree, live()), "report")
+        before, seen = seen, _findings(report)
+        if seen["synced"] or seen == before:
+            break
+    return report
+
+
+def _findings(report: DataFrame) -> dict:
+    """What a report of one tree says of store and index, without the times of the status."""
+    counts = [c for c in report.columns if c.endswith("_count") or c.startswith("sample_")]
+    return report.select("synced", "classification", *counts).first().asDict()
