@@ -42,9 +42,8 @@ def encode_texts(
 
     A text of up to `leaf_chars` characters is one leaf and is encoded where it is read. A longer
     one is cut into leaves that are dealt out over all tasks; then its leaves' ids meet again.
-    Leaves that end where a word ends stand as they are. A word that is itself longer is encoded
-    in pieces, and the pieces are joined pairwise up a tree: a growing window around each join is
-    encoded again until its ids agree with both sides.
+    Leaves are halves of halves, cut wherever the middle falls, and are joined pairwise up a tree: a
+    growing window around each join is encoded again until its ids agree with both sides.
 
     Null text and empty text: no ids. Repeated rows stay repeated. An empty table gives an empty
     table. Other columns are kept, whatever their names; one that is called `output` is replaced.

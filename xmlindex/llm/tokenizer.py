@@ -21,7 +21,12 @@ from xmlindex.llm.support import held
 
 # The pattern that splits text before the merges, and white space as it sees it.
 SPLIT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-WORD_THEN_SPACE = r"\S(?=\s)"
+# Places where that pattern always ends a word, whatever lies further away. After an
+# apostrophe it may take letters along, and white space is split by what follows it.
+WORD_END = r"""(?<=\p{L})(?!\p{L})|(?<=\p{N})(?!\p{N})|(?<=[^\p{White_Space}\p{L}\p{N}])(?=\p{White_Space})|(?<=[^\p{White_Space}\p{L}\p{N}'])(?=[\p{L}\p{N}])"""
+# Text of one kind, long enough that no contraction reaches across it. White space
+# is none, as its last character may belong to what follows.
+ONE_KIND = r"""\p{L}{3,}|\p{N}{3,}|[^\p{White_Space}\p{L}\p{N}']{3,}"""
 
 # Characters encoded in one go.
 LEAF_CHARS = 16_384
@@ -53,8 +58,8 @@ class ByteLevelEncoder:
             "file", pat_str=SPLIT_PATTERN, mergeable_ranks=ranks, special_tokens=specials
         )
         self.size = max([*ranks.values(), *specials.values()]) + 1
-        self._split = regex.compile(SPLIT_PATTERN)
-        self._boundary = regex.compile(WORD_THEN_SPACE)
+        self._word_end = regex.compile(WORD_END)
+        self._one_kind = regex.compile(ONE_KIND)
         self._special = (
             regex.compile("|".join(regex.escape(s) for s in sorted(specials, key=len, reverse=True)))
             if specials else None
@@ -63,9 +68,9 @@ class ByteLevelEncoder:
     def leaves(self, text: str, leaf_chars: int = LEAF_CHARS) -> Iterator[tuple[str, str]]:
         """The text as (kind, piece) of bounded length, in order.
 
-        `text`: ends where the pattern ends a word whatever comes next, so its ids stand on
-        their own. `special`: a special string. `open` and `part`: consecutive pieces of one long
-        word that the pattern does not split; `open` begins such a word.
+        `text`: a stretch between special strings that is short enough. `special`: a special
+        string. `open` and `part`: consecutive pieces of a longer stretch, halved wherever its
+        middle falls until the pieces are short enough; `open` begins such a stretch.
         """
         if len(text) <= leaf_chars:
             if text:
@@ -79,78 +84,82 @@ class ByteLevelEncoder:
         yield from self._section(text, start, len(text), leaf_chars)
 
     def _section(self, text: str, start: int, end: int, leaf_chars: int) -> Iterator[tuple[str, str]]:
-        while end - start > leaf_chars:
-            cut = None
-            # The last place in reach where white space follows something else.
-            near = start + leaf_chars
-            for back in (256, leaf_chars):
-                places = list(self._boundary.finditer(text, max(start, near - back), near + 1))
-                if places:
-                    cut = places[-1].end()
-                    break
-            if cut is None:
-                far = self._boundary.search(text, near, end)
-                cut = far.end() if far and far.end() < end else end
-                yield from self._unspaced(text[start:cut], leaf_chars)
-            else:
-                yield "text", text[start:cut]
-            start = cut
-        if end > start:
-            yield "text", text[start:end]
-
-    def _unspaced(self, stretch: str, leaf_chars: int) -> Iterator[tuple[str, str]]:
-        """A stretch with no place to cut but between the pattern's words, or within long ones.
-
-        How white space is split depends on what follows it, so no piece ends with it: where a
-        long word comes next, the words of white space before it are pieces of their own.
-        """
-        begun, spaces = 0, []
-        for match in self._split.finditer(stretch):
-            start, end = match.span()
-            if end - start > leaf_chars:
-                before = spaces[0][0] if spaces else start
-                if before > begun:
-                    yield "text", stretch[begun:before]
-                for a, b in spaces:
-                    yield "open", stretch[a:b]
-                for i in range(start, end, leaf_chars):
-                    yield "open" if i == start else "part", stretch[i:min(i + leaf_chars, end)]
-                begun, spaces = end, []
-            elif match.group().isspace():
-                spaces.append((start, end))
-            else:
-                if end - begun > leaf_chars and start > begun and not spaces:
-                    yield "text", stretch[begun:start]
-                    begun = start
-                spaces = []
-        if begun < len(stretch):
-            yield "text", stretch[begun:]
+        if end - start <= leaf_chars:
+            if end > start:
+                yield "text", text[start:end]
+            return
+        pieces = 1
+        while -(-(end - start) // pieces) > leaf_chars:
+            pieces *= 2
+        cuts = [start + (end - start) * i // pieces for i in range(pieces + 1)]
+        for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            yield "part" if i else "open", text[a:b]
 
     def encode_leaf(self, kind: str, piece: str) -> np.ndarray:
         if kind == "text":
             return self.core.encode_to_numpy(piece, allowed_special="all")
         if kind == "special":
             return np.array([self.specials[piece]], np.uint32)
-        return np.array(self.core._encode_single_piece(piece.encode()), np.uint32)
+        return np.array(self.core.encode_ordinary(piece), np.uint32)
 
     def join(self, left: np.ndarray, right: np.ndarray, window: int = 8) -> np.ndarray:
-        """The ids of a long word from those of its two halves.
+        """The ids of a stretch from those of its two halves.
 
-        A window around the join is encoded again and grows until its first and last ids are
-        those that the halves have there. A row of ids is the word's encoding if each two
-        neighbours are the encoding of their bytes, so what lies beyond agreeing ids stands.
+        A window of ids around the join is encoded again, and grows until it agrees with both
+        sides. A side agrees from a place on where a word ends for certain, because there what
+        lies beyond is split and merged by itself. Where a side is all letters, or of another
+        single kind, it has no such place, and agrees if the outermost id is the one that it has
+        there: a row of ids is a word's encoding if each two neighbours are that of their bytes.
         """
         while True:
-            a, b = left[-window:], right[:window]
-            middle = np.array(
-                self.core._encode_single_piece(self.core.decode_bytes([*a.tolist(), *b.tolist()])), np.uint32
-            )
-            left_agrees = len(a) == len(left) or (len(middle) > 1 and middle[0] == a[0])
-            right_agrees = len(b) == len(right) or (len(middle) > 1 and middle[-1] == b[-1])
-            if left_agrees and right_agrees:
-                return np.concatenate([left[: len(left) - len(a)], middle, right[len(b):]])
+            found = self._window(left, right, window)
+            if found is not None:
+                return found
             window *= 2
 
+    def _window(self, left: np.ndarray, right: np.ndarray, window: int) -> np.ndarray | None:
+        a, b = left[-window:], right[:window]
+        all_left, all_right = len(a) == len(left), len(b) == len(right)
+        before, after = self.core.decode_bytes(a.tolist()), self.core.decode_bytes(b.tolist())
+        try:
+            text, other = before.decode(), after.decode()
+        except UnicodeDecodeError:  # an end of the window is inside of a character
+            return None
+        middle = np.array(self.core.encode_ordinary(text + other), np.uint32)
+        ends = [m.start() for m in self._word_end.finditer(text + other)]
+        first = next((e for e in ends if 0 < e < len(text)), None)
+        last = next((e for e in reversed(ends) if len(text) < e < len(text) + len(other)), None)
+        # Ids that stand on each side, and those of the window between them.
+        start, stop, keep_left, keep_right = 0, len(middle), len(left) - len(a), len(b)
+        if not all_left:
+            if first is not None:
+                size = len(text[:first].encode())
+                start, keep = self._ids_of(middle, size), self._ids_of(a, size)
+                if start is None or keep is None:
+                    return None
+                keep_left += keep
+            elif not (self._one_kind.fullmatch(text) and len(middle) > 1 and middle[0] == a[0]):
+                return None
+        if not all_right:
+            if last is not None:
+                size = len(before) + len(other[: last - len(text)].encode())
+                stop, keep_right = self._ids_of(middle, size), self._ids_of(b, size - len(before))
+                if stop is None or keep_right is None:
+                    return None
+            elif not (self._one_kind.fullmatch(other) and len(middle) > 1 and middle[-1] == b[-1]):
+                return None
+        return np.concatenate([left[:keep_left], middle[start:stop], right[keep_right:]])
+
+    def _ids_of(self, ids: np.ndarray, size: int) -> int | None:
+        """How many of the first ids make `size` bytes; none if an id reaches across."""
+        for n, one in enumerate(ids.tolist()):
+            if size <= 0:
+                break
+            size -= len(self.core.decode_single_token_bytes(one))
+        else:
+            n = len(ids)
+        return n if size == 0 else None
+
     def join_tree(self, halves: list[np.ndarray]) -> np.ndarray:
         while len(halves) > 1:
             joined = [self.join(a, b) for a, b in zip(halves[::2], halves[1::2])]
