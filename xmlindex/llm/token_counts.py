@@ -13,6 +13,8 @@ from xmlindex.llm.tokenizer import LEAF_CHARS, encoder, file_version
 from xmlindex.session import materialize
 from xmlindex.sources.files import exists
 
+# A text that more than one in so many rows hold is a frequent one.
+FREQUENT = 1000
 _SCHEMA = "digest binary, version string, n_tokens long"
 
 
@@ -46,9 +48,11 @@ def count_tokens(
     text: str = "text",
     output: str = "n_tokens",
     normalise: Callable[[Column], Column] | None = None,
+    carry: list[str] | None = None,
     leaf_chars: int = LEAF_CHARS,
 ) -> DataFrame:
-    """Add `output` long: the tokens of the whole text, as the tokenizer file's library counts them.
+    """The columns `carry` (default: all) and `output` long: the tokens of the whole text, as the
+    tokenizer file's library counts them.
 
     Texts are known by the SHA-256 digest of their normalised content, and counts by that and by
     the digest of the tokenizer file. Digests alone decide what is missing; then each missing text
@@ -59,13 +63,14 @@ def count_tokens(
     `normalise` may only join texts that the tokenizer itself cannot tell apart (by default
     nothing but null, which counts as empty). Null and empty text: the count of the empty text.
     Repeated rows stay repeated; an empty table gives an empty table and appends nothing of
-    weight. Other columns are kept; one that is called `output` is replaced. The join that brings
-    the counts back is a plain equi-join, so a text that many rows hold is split by adaptive
-    execution.
+    weight. Other columns are kept; one that is called `output` is replaced. A text that more than
+    one row in `FREQUENT` holds gets its count from a broadcast table, which has fewer than
+    `FREQUENT` rows; the others by an equi-join on the digest. `carry` without the text keeps the
+    texts out of that join.
     """
     version = file_version(tokenizer)
-    columns = [c for c in df.columns if c.lower() != output.lower()]
-    digest = unused(df.columns, "_digest")
+    columns = [c for c in (df.columns if carry is None else carry) if c.lower() != output.lower()]
+    digest, known, place = (unused(df.columns, name) for name in ("_digest", "_known", "_place"))
 
     @F.pandas_udf("long")
     def tokens(texts: pd.Series) -> pd.Series:
@@ -80,16 +85,21 @@ def count_tokens(
     # Equal texts are joined where they are read, before any row moves, so a text that a third of
     # all rows hold does not meet in one task.
     keyed = df.select(content.alias("content"), key.alias("digest"))
-    missing = materialize(
-        keyed.select("digest").distinct().join(cache.counts(version), "digest", "left_anti"), "missing"
-    )
+    held = materialize(keyed.groupBy("digest").agg(F.count("*").alias("n")), "digests")
+    missing = materialize(held.select("digest").join(cache.counts(version), "digest", "left_anti"), "missing")
     texts = keyed.groupBy("digest").agg(F.max("content").alias("content")).join(missing, "digest", "left_semi")
     counted = texts.select("digest", tokens("content").alias("n_tokens"))
     cache.append(counted, version)
 
-    stored = cache.counts(version).select(F.col("digest").alias(digest), F.col("n_tokens").alias(output))
+    stored = cache.counts(version)
+    rows = held.agg(F.sum("n")).first()[0] or 0
+    often = held.where(F.col("n") * FREQUENT > rows).select("digest").join(stored, "digest")
+    # Rows whose count is known from the broadcast table need no partner: they go anywhere.
+    anywhere = F.concat(F.lit(b"known"), F.monotonically_increasing_id().cast("string").cast("binary"))
     return (
         df.select(*(F.col(f"`{c}`") for c in columns), key.alias(digest))
-        .join(stored, digest, "left")
-        .select(*(F.col(f"`{c}`") for c in columns), output)
+        .join(F.broadcast(often.select(F.col("digest").alias(digest), F.col("n_tokens").alias(known))), digest, "left")
+        .withColumn(place, F.when(F.col(known).isNull(), F.col(digest)).otherwise(anywhere))
+        .join(stored.select(F.col("digest").alias(place), F.col("n_tokens").alias(output)), place, "left")
+        .select(*(F.col(f"`{c}`") for c in columns), F.coalesce(F.col(known), F.col(f"`{output}`")).alias(output))
     )
