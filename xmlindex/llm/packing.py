@@ -33,7 +33,9 @@ Packing = dict[Pattern, int]
 class Evolution:
     islands: int = 6
     population: int = 6
-    epochs: int = 3
+    # The search ends when it has as few sequences as the tokens need, or after so many epochs
+    # that did not save one.
+    stall: int = 2
     generations: int = 6
     migrants: int = 1
     seed: int = 7
@@ -197,8 +199,10 @@ def _packing(patterns: list[str], times: list[int]) -> Packing:
 def find_packing(spark, counts: dict[int, int], capacity: int, how: Evolution = Evolution()) -> Packing:
     """The best packing found for so many pieces of each length.
 
-    Islands evolve in parallel, one task each; after every epoch each one's elite moves to the
-    next island. Seeds depend on island and epoch alone, so a lost task gives the same again.
+    Islands evolve in parallel, in partitions by ranges of their numbers, which adaptive execution
+    leaves apart; after every epoch each one's elite moves to the next island. Seeds depend on island
+    and epoch alone, so a lost task gives the same again. The search ends at the lower bound or when
+    `how.stall` epochs have not saved a sequence.
     """
     if not counts:
         return {}
@@ -222,13 +226,18 @@ def find_packing(spark, counts: dict[int, int], capacity: int, how: Evolution =
 
     rank = Window.partitionBy("island").orderBy("n", "patterns")
     state = spark.createDataFrame([(i, [], []) for i in range(how.islands)], schema)
-    for number in range(how.epochs):
-        state = materialize(state.groupBy("island").applyInPandas(epoch(number), schema), "islands")
+    least = -(-sum(length * n for length, n in counts.items()) // capacity)
+    fewest, number, stalled = None, 0, 0
+    while stalled < how.stall and fewest != least:
+        dealt = state.repartitionByRange(how.islands, "island")
+        state = materialize(dealt.groupBy("island").applyInPandas(epoch(number), schema), "islands")
         sequences = F.aggregate("times", F.lit(0).cast("long"), lambda a, b: a + b)
         ranked = state.withColumn("n", sequences).withColumn("rank", F.row_number().over(rank))
         elite = ranked.where(F.col("rank") <= how.migrants).withColumn("island", (F.col("island") + 1) % how.islands)
         state = ranked.select("island", "patterns", "times").union(elite.select("island", "patterns", "times"))
-    best = ranked.orderBy("n", "island", "rank").first()
+        best = ranked.orderBy("n", "island", "rank").first()
+        stalled = 0 if fewest is None or best["n"] < fewest else stalled + 1
+        fewest, number = best["n"], number + 1
     return _packing(best["patterns"], best["times"])
 
 
