@@ -12,6 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from xmlindex.llm.support import held, whole_text
+from xmlindex.session import materialize
 
 # Words that name groups of people; a text may mention any of them neutrally.
 IDENTITY_TERMS = (
@@ -33,9 +34,6 @@ class Training:
     # At most so many documents of each label are collected; the rest of the labels only counts
     # for how frequent each label is.
     rows_per_label: int = 2500
-    # Distinct words of one sample document, by smallest hash, so that very long ones cannot fill
-    # the driver. Scores are of all words.
-    words_per_row: int = 10_000
     buckets: int = 1 << 20
     # A feature is used if its share differs between the labels by so many standard errors, in
     # at least so many documents.
@@ -75,7 +73,7 @@ class _Hashed(dict):
     def __missing__(self, word: str) -> tuple[int, ...]:
         if len(self) >= _CACHED_WORDS:
             self.clear()
-        names = [word] if len(word) <= 4 else [word, "^" + word[:4]]
+        names = [word] if len(word) <= 4 or word in IDENTITY_TERMS else [word, "^" + word[:4]]
         value = self[word] = tuple(xxhash.xxh32_intdigest(n.encode()) % self.buckets for n in names)
         return value
 
@@ -87,7 +85,8 @@ def words_of(text: str) -> set[str]:
 def features(words: set[str], buckets: int) -> np.ndarray:
     """Hashed features of a set of words, ascending: each word, and its first four letters.
 
-    The prefixes let inflected and compounded forms of a word count that were not in the sample.
+    The prefixes let inflected and compounded forms of a word count that were not in the sample. An
+    identity term has none, so that what the penalty takes from it other words keep.
     """
     known = held(("word features", buckets), lambda: _Hashed(buckets))
     return np.array(sorted({f for w in words for f in known[w]}), np.int64)
@@ -163,6 +162,27 @@ def fit(
     return Model(columns, w, float(b), how.buckets)
 
 
+def _candidates(described: DataFrame, how: Training) -> np.ndarray:
+    """The features that may be used, counted over the whole sample by Spark: at most `how.buckets`.
+
+    A little wider than what `fit` takes, which decides.
+    """
+    n = {r["label"]: r["n"] for r in described.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    n0, n1 = n.get(0, 0), n.get(1, 0)
+    if not n0 or not n1:
+        return np.zeros(0, np.int64)
+    found = described.select("label", F.explode("own").alias("feature")).groupBy("feature").agg(
+        F.sum("label").alias("ones"), F.count("*").alias("both")
+    )
+    share = F.col("ones") / n1 - (F.col("both") - F.col("ones")) / n0
+    common = F.col("both") / (n0 + n1)
+    error = F.sqrt(F.greatest(common * (1 - common), F.lit(1e-9)) * (1 / n1 + 1 / n0))
+    identity = np.concatenate([features({t}, how.buckets) for t in IDENTITY_TERMS])
+    used = (F.abs(share) >= 0.999 * how.min_deviations * error) | F.col("feature").isin(*identity.tolist())
+    names = found.where((F.col("both") >= how.min_rows) & used).select("feature").toArrow()["feature"]
+    return np.sort(names.to_numpy().astype(np.int64))
+
+
 def held_out(id_column: Column) -> Column:
     """Rows that learning never sees: crc32 of the id as text leaves 2 when divided by 4."""
     return F.coalesce(F.pmod(F.crc32(id_column.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
@@ -174,7 +194,8 @@ def train(
     """A model from the labelled rows of `df` that are not held out.
 
     The sample is bounded by `how.rows_per_label`: of each label the rows with the smallest hash
-    of their id, among the ids that `df` has. An id is one row: of several, the text with the smallest
+    of their id, among the ids that `df` has. All words of these rows teach; their features are
+    counted by Spark, and only those that may be used come to the driver. An id is one row: of several, the text with the smallest
     hash teaches. Rows without a label, with another than 0 or 1, or whose id has two different
     labels teach nothing.
     """
@@ -186,9 +207,18 @@ def train(
     )
     totals = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     rows = df.select(F.col(f"`{id}`").alias("id"), whole_text(f"`{text}`").alias("text"))
-    present = known.join(rows.select("id").distinct(), "id", "left_semi")
-    order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    picked = present.withColumn("place", F.row_number().over(order)).where(F.col("place") <= how.rows_per_label)
+    present = materialize(known.join(rows.select("id").distinct(), "id", "left_semi"), "labelled")
+    here = {r["label"]: r["n"] for r in present.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    # Hashes below a bound leave more rows than are asked for but not many, so that few are ranked.
+    hashed = F.shiftrightunsigned(F.xxhash64("id"), 1)
+    low = F.lit(False)
+    for value, n in here.items():
+        share = min(1.0, (2 * how.rows_per_label + 200) / n)
+        low = low | ((F.col("label") == value) & (hashed <= int(share * ((1 << 63) - 1024))) if share < 1 else F.col("label") == value)
+    order = Window.partitionBy("label").orderBy(hashed, "id")
+    picked = (
+        present.where(low).withColumn("place", F.row_number().over(order)).where(F.col("place") <= how.rows_per_label)
+    )
     sample = (
         rows.join(F.broadcast(picked.select("id", "label")), "id")  # bounded by rows_per_label
         .groupBy("id", "label").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("least"))
@@ -202,8 +232,6 @@ def train(
             rows = []
             for name, value, content in zip(batch["id"].astype(str), batch["label"], batch["text"]):
                 words = words_of(content)
-                if len(words) > how.words_per_row:
-                    words = set(sorted(words, key=lambda w: xxhash.xxh32_intdigest(w.encode()))[: how.words_per_row])
                 own = features(words, how.buckets)
                 others = [
                     features(w, how.buckets) for w in counterfactuals(words, how.pairs_per_row, zlib.crc32(name.encode()))
@@ -212,7 +240,18 @@ def train(
                 rows.append((name, int(value), own, added, [np.setdiff1d(own, f) for f in others]))
             yield pd.DataFrame(rows, columns=["id", "label", "own", "added", "taken"])
 
-    sampled = sample.mapInPandas(describe, schema).toArrow().sort_by("id")
+    described = materialize(sample.mapInPandas(describe, schema), "sample")
+    columns = _candidates(described, how)
+
+    def narrow(batches):
+        for batch in batches:
+            keep = lambda found: np.intersect1d(np.array(found, np.int64), columns)
+            batch["own"] = [keep(row) for row in batch["own"]]
+            for name in ("added", "taken"):
+                batch[name] = [[keep(one) for one in row] for row in batch[name]]
+            yield batch
+
+    sampled = described.mapInPandas(narrow, schema).toArrow().sort_by("id")
     total = sum(totals.values())
     numbers = lambda row: np.array(row, np.int64)
     pairs = [
