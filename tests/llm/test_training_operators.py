@@ -44,6 +44,38 @@ def test_leaves_join_to_the_library_ids():
             assert cutter.encode(text, leaf).tolist() == reference(text)
 
 
+def test_halves_of_unbroken_texts_are_joined_by_windows(monkeypatch):
+    cutter = encoder(PATH)
+    joins = Counter()
+    join, window = cutter.join, cutter._window
+    monkeypatch.setattr(cutter, "join", lambda *x: joins.update(joins=1) or join(*x))
+    monkeypatch.setattr(cutter, "_window", lambda *x: joins.update(windows=1, ids=len(x[0][-x[2]:]) + len(x[1][:x[2]])) or window(*x))
+    rng = random.Random(12)
+    texts = ["ab" * 3000, " " * 5000 + "x", "x" + "\n" * 4000, "!?" * 3000, "9" * 4001, "中文字" * 900, "it's we're 'tis " * 300,
+             "".join(rng.choice("abcde") for _ in range(9000)), " ".join(rng.choice(["wörd", "It's", "12", "...", "x"]) for _ in range(4000))]
+    for text in texts:
+        assert cutter.encode(text, 500).tolist() == reference(text)
+    assert joins["joins"] > 100 and joins["windows"] >= joins["joins"]
+    # Windows stay around the joins where words end.
+    joins.clear()
+    cutter.encode(texts[-1], 500)
+    assert joins["ids"] < 40 * joins["joins"]
+    for size in (1, 2, 4):
+        monkeypatch.setattr(cutter, "join", lambda a, b: join(a, b, size))  # noqa: B023
+        for text in texts[5:]:
+            assert cutter.encode(text, 37).tolist() == reference(text)
+
+
+def test_long_texts_of_the_table_pass_through_joins(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("length(text) > 16384").collect()
+    cutter = encoder(PATH)
+    assert rows
+    for row in rows:
+        kinds = Counter(kind for kind, _ in cutter.leaves(row["text"]))
+        assert kinds["open"] == 1 and kinds["part"] >= 1
+        assert cutter.encode(row["text"]).tolist() == reference(row["text"])
+
+
 def test_encode_and_decode_whole_texts(spark):
     df = documents(spark, ODD + ODD[3:5])
     encoded = bpe.encode_texts(df, PATH, leaf_chars=64)
@@ -68,6 +100,22 @@ def test_counts_come_from_the_cache(spark):
     assert token_counts.count_tokens(df.limit(0), PATH, cache).count() == 0
 
 
+def test_stored_counts_are_found_and_only_misses_encoded(spark):
+    long = "many words " * 5000
+    texts = ["one text", "another", None, long] + ["everywhere"] * 40
+    df = documents(spark, texts).withColumn("N_tokens", F.lit("clash"))
+    cache = token_counts.CountCache(spark, staging_path(spark, "cache"))
+    token_counts.count_tokens(df.where("doc_id < 2"), PATH, cache)
+    # A wrong stored count shows that it is taken and not counted again.
+    version = token_counts.file_version(PATH)
+    cache.append(spark.createDataFrame([("another", 77)], "text string, n_tokens long").select(F.unhex(F.sha2("text", 256)).alias("digest"), "n_tokens"), version)
+    got = {r["doc_id"]: r["n_tokens"] for r in token_counts.count_tokens(df, PATH, cache, carry=["doc_id"]).collect()}
+    expected = {i: len(reference(t)) for i, t in enumerate(texts)}
+    assert got == {**expected, 1: 77}
+    runs = spark.read.parquet(f"{cache.path}/run=*").groupBy(F.input_file_name()).count()
+    assert runs.agg(F.sum("count")).first()[0] == 2 + 1 + 3
+
+
 def test_other_tokenizer_files(spark):
     model = public_tokenizers.path("piece_bpe_32k.model")
     cache = token_counts.CountCache(spark, staging_path(spark, "cache"))
@@ -80,7 +128,7 @@ def test_other_tokenizer_files(spark):
 
 def test_packing_places_every_piece(spark):
     texts = ["word " * n for n in (1, 1, 3, 9, 40, 41, 200, 7)] + [None, ""]
-    how = packing.Evolution(islands=2, epochs=2, generations=2, population=3)
+    how = packing.Evolution(islands=2, stall=2, generations=2, population=3)
     rows = packing.pack_texts(documents(spark, texts).drop("ids"), PATH, capacity=32, with_ids=True, how=how).collect()
     sequences = {}
     for i, text in enumerate(texts):
@@ -170,6 +218,49 @@ def brute_signals(text):
     )
 
 
+def test_fewer_neutral_mentions_are_taken_for_toxic(spark):
+    rng = random.Random(3)
+    plain = [f"w{i}" for i in range(200)]
+    texts, labels = [], []
+    for i in range(900):
+        words, toxic = rng.sample(plain, 15), i % 3 == 0
+        # Most toxic sentences have a vile word; most name a group, which others seldom do.
+        words += ["vile"] * (toxic and rng.random() < 0.8) + ["muslim"] * (rng.random() < (0.7 if toxic else 0.05))
+        texts.append(" ".join(words))
+        labels.append((i, int(toxic)))
+    df = documents(spark, texts)
+    known = spark.createDataFrame(labels, "doc_id long, toxic int")
+    neutral = [" ".join(rng.sample(plain, 15)) + " muslim" for _ in range(200)]
+    false, caught = {}, {}
+    for fairness in (0.0, toxicity.Training().fairness):
+        model = toxicity.train(df, known, how=toxicity.Training(fairness=fairness))
+        score = lambda text: 1 / (1 + np.exp(-model.logit(toxicity.features(toxicity.words_of(text), model.buckets))))  # noqa: B023,E731
+        false[fairness] = sum(score(t) >= 0.3 for t in neutral)
+        caught[fairness] = sum(score(t) >= 0.3 for t in texts if "vile" in t)
+    assert false[0.0] > 100 and false[toxicity.Training().fairness] < 10
+    assert caught[toxicity.Training().fairness] >= 0.95 * sum("vile" in t for t in texts)
+    assert toxicity.score_toxicity(df.limit(0).withColumn("Score", F.lit(1)), known).count() == 0
+
+
+def test_quality_query_with_hosts_that_differ_equals_its_sql(spark, tmp_path):
+    import duckdb
+
+    from xmlindex.llm import queries
+
+    good = " ".join(f"word{i}" for i in range(80))
+    slight = good + " " + "# " * 13
+    rows = [(i, "too short" if i % 5 == 0 else slight if i % 7 == 0 else good, "en", f"host{i % 6}", "") for i in range(600)]
+    rows += [(1000 + i, "too short" if i % 4 else slight if i % 8 else good, "en", "bad", "") for i in range(200)]
+    rows += [(2000, slight + " x" * 9000, "en", None, ""), (2001, good, "en", "bad", ""), (2002, good, "en", "bad", "")]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    got = Counter(tuple(r) for r in queries.QUERIES["op6_quality_rules"](spark, str(tmp_path)).collect())
+    base = duckdb.connect()
+    base.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert got == Counter(base.execute(queries.SQL["op6_quality_rules"]).fetchall())
+    kept = {r[0]: r[-1] for r in got}
+    assert not kept[1004] and kept[1000] and kept[7]
+
+
 def test_quality_counts_and_host_verdicts(spark):
     rng = random.Random(4)
     texts = ODD + ["a b a b a b\nx\nx", " ".join(rng.choice("abcd") for _ in range(300))]

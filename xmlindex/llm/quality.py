@@ -23,9 +23,9 @@ class Rules:
     max_repeat_percent: int = 50
     max_symbol_percent: int = 5
     max_dup_line_percent: int = 40
-    # Shrunk failure rate above which a host is distrusted, and by what the limits of its
-    # documents are then divided.
-    max_host_rate: float = 0.5
+    # A host is distrusted if the odds that a document of it fails, by its shrunk rate, are above
+    # so many times the odds by the prior's mean; the limits of its documents are then divided.
+    max_host_odds: float = 2.0
     distrusted_divisor: int = 2
 
 
@@ -153,8 +153,9 @@ def host_verdicts(judged: DataFrame, rules: Rules) -> DataFrame:
     shrunk = (F.col("n_failed") + F.col("weight") * F.col("mean")) / (n + F.col("weight"))
     return (
         hosts.join(F.broadcast(prior))  # one row
-        .select("host", "n_documents", "n_failed", shrunk.alias("rate"))
-        .withColumn("distrusted", F.col("rate") > rules.max_host_rate)
+        .select("host", "n_documents", "n_failed", shrunk.alias("rate"), "mean")
+        .withColumn("distrusted", F.col("rate") * (1 - F.col("mean")) > rules.max_host_odds * F.col("mean") * (1 - F.col("rate")))
+        .drop("mean")
     )
 
 

@@ -69,11 +69,13 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    cache = token_counts.CountCache(spark, staging_path(spark, "token-counts"))
-    counted = token_counts.count_tokens(documents, TOKENIZER, cache)
     n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
-    return counted.select("doc_id", n_bytes.alias("n_bytes"), "n_tokens", (F.col("n_tokens") > LIMIT).alias("over_limit"))
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", n_bytes.alias("n_bytes"))
+    cache = token_counts.CountCache(spark, staging_path(spark, "token-counts"))
+    # An earlier load has stored the counts of the English texts; all rows are then counted.
+    token_counts.count_tokens(documents.where("lang = 'en'"), TOKENIZER, cache)
+    counted = token_counts.count_tokens(documents, TOKENIZER, cache, carry=["doc_id", "n_bytes"])
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > LIMIT).alias("over_limit"))
 
 
 @query()
@@ -159,7 +161,8 @@ moments AS (SELECT x / n AS mean, (nrr / n - (x / n) * (x / n) - (x / n) * (1 -
                    / greatest(1 - nn / (n * n), 1e-9) AS between_ FROM sums),
 prior AS (SELECT mean, CASE WHEN between_ > 1e-9 THEN greatest(mean * (1 - mean) / between_ - 1, 1.0) ELSE 1e12 END AS weight
           FROM moments),
-verdicts AS (SELECT source, (x + weight * mean) / (n + weight) > 0.5 AS distrusted FROM hosts, prior)
+rates AS (SELECT source, (x + weight * mean) / (n + weight) AS rate, mean FROM hosts, prior)
+, verdicts AS (SELECT source, rate * (1 - mean) > 2 * mean * (1 - rate) AS distrusted FROM rates)
 SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND CASE WHEN distrusted THEN n_strict ELSE n_failures END = 0 AS kept
 FROM failed f JOIN verdicts v ON v.source IS NOT DISTINCT FROM f.source
