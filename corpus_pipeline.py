@@ -5,20 +5,18 @@ Each stage takes what the one before kept, as a table with the columns of `docum
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from xmlindex.llm import near_dedup, packing, quality, toxicity
 from xmlindex.llm.queries import END_ID, SEQUENCE, TOKENIZER, TOXIC_FROM
-from xmlindex.llm.support import table, unused
+from xmlindex.llm.support import table
 from xmlindex.session import materialize, ship_package
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules and their host's verdict."""
     ship_package()
-    verdict = unused(docs.columns, "quality")
-    judged = quality.judge_quality(docs, output=verdict)
-    return judged.where(F.col(verdict)["kept"]).select(*(F.col(f"`{c}`") for c in docs.columns))
+    return quality.keep_documents(docs)
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

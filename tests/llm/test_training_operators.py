@@ -258,6 +258,12 @@ def test_quality_query_with_hosts_that_differ_equals_its_sql(spark, tmp_path):
     base.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
     assert got == Counter(base.execute(queries.SQL["op6_quality_rules"]).fetchall())
     kept = {r[0]: r[-1] for r in got}
+    documents_ = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    again = documents_.union(documents_)
+    left = quality.keep_documents(again)
+    assert left.columns == again.columns
+    assert Counter(r["doc_id"] for r in left.collect()) == Counter({i: 2 for i in kept if kept[i]})
+    assert quality.keep_documents(again.limit(0)).count() == 0
     assert not kept[1004] and kept[1000] and kept[7]
 
 

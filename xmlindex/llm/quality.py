@@ -159,6 +159,36 @@ def host_verdicts(judged: DataFrame, rules: Rules) -> DataFrame:
     )
 
 
+def _counted(df: DataFrame, names: list[str], text: str, host: str) -> DataFrame:
+    """A written table of the columns `names` (as `carried`), the host and the signals of each row."""
+    return materialize(
+        df.select(
+            F.struct(*(F.col(f"`{c}`") for c in names)).alias("carried"),
+            F.col(f"`{host}`").cast("string").alias("host"),
+            signals(whole_text(f"`{text}`")).alias("signals"),
+        ),
+        "signals",
+    )
+
+
+def keep_documents(df: DataFrame, *, text: str = "text", host: str = "source", rules: Rules = Rules()) -> DataFrame:
+    """The rows of `df` that `judge_quality` keeps, as they are.
+
+    Most rows are decided by their own counts: they fail a rule, or stay below the limits of
+    distrusted hosts too. Only the others are held against their host, so no text moves but theirs.
+    Nulls, repeated rows and empty tables: as with `judge_quality`.
+    """
+    counted = _counted(df, df.columns, text, host)
+    s = F.col("signals")
+    plain, strict = _failures(s, rules) > 0, _failures(s, rules, rules.distrusted_divisor) > 0
+    verdicts = host_verdicts(counted.select("host", plain.alias("failed")), rules)
+    distrusted = verdicts.where("distrusted").select(F.col("host").alias("host_"))
+    decided = counted.where(~plain & ~strict).select("carried")
+    doubtful = counted.where(~plain & strict).join(distrusted, F.col("host").eqNullSafe(F.col("host_")), "left_anti")
+    kept = decided.unionAll(doubtful.select("carried"))
+    return kept.select(*(F.col("carried").getField(c).alias(c) for c in df.columns))
+
+
 def judge_quality(
     df: DataFrame,
     *,
@@ -183,14 +213,7 @@ def judge_quality(
     read; the join back is a plain equi-join, which adaptive execution splits.
     """
     names = [c for c in (df.columns if carry is None else carry) if c.lower() != output.lower()]
-    counted = materialize(
-        df.select(
-            F.struct(*(F.col(f"`{c}`") for c in names)).alias("carried"),
-            F.col(f"`{host}`").cast("string").alias("host"),
-            signals(whole_text(f"`{text}`")).alias("signals"),
-        ),
-        "signals",
-    )
+    counted = _counted(df, names, text, host)
     s = F.col("signals")
     verdicts = host_verdicts(counted.select("host", (_failures(s, rules) > 0).alias("failed")), rules)
     side = verdicts.select(F.col("host").alias("host_"), "rate", "distrusted")
