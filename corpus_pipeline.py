@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from xmlindex.llm import near_dedup, packing, quality, toxicity
 from xmlindex.llm.queries import END_ID, SEQUENCE, TOKENIZER, TOXIC_FROM
-from xmlindex.llm.support import table
+from xmlindex.llm.support import bound_batches, table
 from xmlindex.session import materialize, ship_package
 
 
@@ -22,6 +22,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score stays below the threshold; learned from the labels of what came in."""
     ship_package()
+    bound_batches(spark)
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return docs.where(toxicity.toxicity_score(model) < TOXIC_FROM)
 
@@ -29,12 +30,14 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (five-word shingles, similarity 0.8)."""
     ship_package()
+    bound_batches(spark)
     return near_dedup.drop_near_duplicates(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the remaining documents and their places in sequences."""
     ship_package()
+    bound_batches(spark)
     packed = packing.pack_texts(docs.select("doc_id", "text"), TOKENIZER, capacity=SEQUENCE, end_id=END_ID)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 

@@ -38,6 +38,16 @@ def held(key: tuple, make: Callable[[], Any]) -> Any:
     return holder.values[key]
 
 
+def bound_batches(spark: SparkSession, rows: int = 500) -> None:
+    """Let no Arrow batch of this session have more rows, so that whole texts stay few in a worker.
+
+    A lower setting of the session stands.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def unused(columns: list[str], name: str) -> str:
     """`name`, lengthened until no column of the frame has it (Spark ignores case)."""
     taken = {c.lower() for c in columns}
