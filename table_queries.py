@@ -1113,9 +1113,10 @@ def stream_incremental(spark, sf_dir):
     """Documents arrive as a stream of events; then one collection tree is removed."""
     path = staging_path(spark, "stream")
     job = Job.at(spark, path, [document_config(QUALITY_DOCUMENT)], FilePublisher(f"{path}/requests"))
+    # As a pattern the table may be one file or a folder of parts.
     arriving = (
         spark.readStream.schema(table(spark, sf_dir, "documents").schema)
-        .option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
+        .parquet(f"{sf_dir.rstrip('/')}/{{documents}}.parquet")
     )
     events = document_xml(spark, sf_dir, rows=arriving).select(
         F.col("document_id").alias("sequence"), F.lit("upsert").alias("op"), "collection",
