@@ -22,6 +22,7 @@ from xmlindex.plans.job import Job
 from xmlindex.plans.removing import drop_index, remove_collections
 from xmlindex.plans.repairing import reconcile, replay_batches, report_for
 from xmlindex.session import materialize, ship_package, spread, staging_path
+from xmlindex.sources.archives import write_archives
 from xmlindex.sources.documents import documents_from_table, read_documents, stream_documents, upserts, write_documents
 from xmlindex.sources.files import replace_with_pieces
 from xmlindex.sources.live import read_live_index
@@ -1353,8 +1354,8 @@ def reconcile_until_in_step(spark, sf_dir):
   event_type AS node_key, 'e' || event_id AS object_id, '/db/' || event_type AS collection
 FROM events WHERE event_type IN ('click', 'view')""")
 def import_stored_files(spark, sf_dir):
-    """Clicks and views are written as a tree of snapshot files; other events under names that do not count."""
-    events = table(spark, sf_dir, "events")
+    """Clicks and views are written as a packed tree of snapshot files; other events under names that do not count."""
+    events = spread(table(spark, sf_dir, "events"))
     user, stamp = F.col("user_id").cast("string"), F.col("event_id").cast("string")
     kind = F.col("event_type")
     name = (
@@ -1366,7 +1367,7 @@ def import_stored_files(spark, sf_dir):
     )
     body = F.concat(F.lit('{"objectID":"e'), stamp, F.lit('","collection":"/db/'), kind, F.lit('"}'))
     path = staging_path(spark, "stored")
-    materialize(write_documents(events.select(name.alias("name"), body.alias("content")), path), "written")
+    materialize(write_archives(events.select(name.alias("name"), body.alias("content")), path), "written")
     found = import_snapshot_files(spark, path)
     return found.select("index_name", "doc_key", "snapshot_ts", "node_key", "object_id", "collection")
 

@@ -269,3 +269,27 @@ def test_one_document_dumps_are_read_in_parts(spark, tmp_path):
             assert read_live_index(spark, str(tmp_path / f"{name}.json"), "i").count() == 0
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_snapshot_files_are_imported_from_archives_too(spark, tmp_path):
+    import gzip
+    import os
+
+    from xmlindex.sources.archives import read_archives, write_archives
+
+    body = json.dumps({"objectID": "o", "collection": "/db", "documentID": "d"})
+    names = ["i/doc/100/1.2.json", "i/doc/200/a b+%2F.json", "i/doc/200/.hidden.json", "i/doc/200/1.3.txt",
+             "i/doc/notes/1.json", "i/.x/300/1.json", "i/_y/300/1.json", f"i/{'long' * 40}/50/0.json"]
+    path = str(tmp_path / "tree")
+    documents = spark.createDataFrame([(n, body) for n in names], "name string, content string").repartition(3)
+    sizes = write_archives(documents, path, archive_bytes=2000).collect()
+    assert {(r.name, r.size) for r in sizes} == {(n, len(body)) for n in names}
+    packed = [n for n in os.listdir(path) if n.endswith(".tar.gz")]
+    assert 3 < len(packed) < len(names) and all(gzip.open(f"{path}/{n}").read(1) for n in packed)
+    assert {(r.name, bytes(r.content).decode()) for r in read_archives(spark, path).collect()} == {(n, body) for n in names}
+    beside = tmp_path / "tree" / "i" / "7" / "60"
+    beside.mkdir(parents=True)
+    (beside / "1.json").write_text(body)
+    found = {(r.index_name, r.doc_key, r.snapshot_ts, r.node_key, r.object_id) for r in import_snapshot_files(spark, path).collect()}
+    assert found == {("i", "doc", 100, "1.2", "o"), ("i", "doc", 200, "a b+%2F", "o"),
+                     ("i", "long" * 40, 50, "0", "o"), ("i", "7", 60, "1", "o")}

@@ -28,6 +28,7 @@ from xmlindex.functions.paths import place, tree_places
 from xmlindex.operators.snapshots import DOCUMENT_KEY, RECORD_KEY, at_timestamps, latest_timestamps
 from xmlindex.session import Staging
 from xmlindex.sources import files
+from xmlindex.sources.archives import read_archives
 from xmlindex.sources.commits import GRACE, CommitLog, Run, State
 from xmlindex.sources.directory import DEEPEST, Directory, slot_of
 
@@ -459,28 +460,39 @@ def _without(state: State, commit: str) -> State:
 def import_snapshot_files(spark: SparkSession, path: str) -> DataFrame:
     """Snapshot rows from a tree of JSON files `<index>/<document>/<timestamp>/<node>.json`.
 
+    The files may also be members of tar archives (see `archives`) that lie where the tree would.
     Hidden files and folders, other extensions and folders that are not numbers are skipped.
     """
     from xmlindex.functions.records import collection_of, object_id_of, record_text
 
+    places = ((-4, "index_name"), (-3, "doc_key"), (-2, "stamp"), (-1, "file"))
+
+    def named(rows: DataFrame, parts: Column) -> DataFrame:
+        return rows.select("record_json", parts.alias("parts")).where("size(parts) >= 4").select(
+            "record_json", *[F.element_at("parts", n).alias(name) for n, name in places]
+        )
+
     texts = (
         spark.read.option("pathGlobFilter", "*.json").option("recursiveFileLookup", True)
         .option("wholetext", True).text(path)
-        .select(F.col("value").alias("record_json"), F.split("_metadata.file_path", "/").alias("parts"))
+        .withColumnRenamed("value", "record_json")
+    )
+    files = named(texts, F.split("_metadata.file_path", "/")).withColumns({
+        "doc_key": F.url_decode("doc_key"), "file": F.url_decode("file"),
+    })
+    # Spark leaves hidden files and folders out of a tree by itself, not out of an archive.
+    hidden = r"(^|/)([.]|_[^=/]*(/|$))"
+    members = read_archives(spark, path).where(F.col("name").endswith(".json") & ~F.col("name").rlike(hidden))
+    packed = named(
+        members.withColumn("record_json", F.col("content").cast("string")), F.split(F.concat_ws("/", "folder", "name"), "/")
     )
-    depth = F.size("parts")
     return (
-        texts.select(
-            "record_json",
-            *[F.element_at("parts", n).alias(name) for n, name in
-              ((-4, "index_name"), (-3, "doc_key"), (-2, "stamp"), (-1, "file"))],
-            depth.alias("n"),
-        )
-        .where(r"n >= 4 and stamp rlike '^\\d+$' and not startswith(file, '.') and not startswith(doc_key, '.')")
+        files.unionByName(packed)
+        .where(r"stamp rlike '^\\d+$' and not startswith(file, '.') and not startswith(doc_key, '.')")
         .select(
-            "index_name", F.url_decode("doc_key").alias("doc_key"),
+            "index_name", "doc_key",
             F.col("stamp").cast("bigint").alias("snapshot_ts"),
-            F.url_decode(F.regexp_replace("file", r"\.json$", "")).alias("node_key"),
+            F.regexp_replace("file", r"\.json$", "").alias("node_key"),
             object_id_of("record_json").alias("object_id"),
             collection_of("record_json").alias("collection"),
             F.get_json_object("record_json", "$.documentID").alias("document_id"),
