@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from xmlindex.session import gathered
 from xmlindex.sources.files import qualified
 
 # What Spark's binaryFile source yields; streams need it spelled out.
@@ -44,16 +45,21 @@ def read_documents(spark: SparkSession, path: str, collection: str = "/db", patt
         spark.read.format("binaryFile").option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", True).load(path)
     )
-    return _from_files(files, path, collection)
+    return _from_files(gathered(files), path, collection)
 
 
 def stream_documents(spark: SparkSession, path: str, collection: str = "/db", pattern: str = "*.xml",
-                     files_per_batch: int = 10_000) -> DataFrame:
-    """New documents below a folder, as they appear."""
+                     batch_bytes: int = 512 << 20, files_per_batch: int | None = None) -> DataFrame:
+    """New documents below a folder, as they appear.
+
+    A batch takes the files of about `batch_bytes`: what a batch costs beside its documents does not
+    depend on their number. With `files_per_batch` it takes so many files instead.
+    """
+    limit = ("maxBytesPerTrigger", batch_bytes) if files_per_batch is None else ("maxFilesPerTrigger", files_per_batch)
     files = (
         spark.readStream.format("binaryFile").schema(T._parse_datatype_string(_FILE_SCHEMA))
         .option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
-        .option("maxFilesPerTrigger", files_per_batch).load(path)
+        .option(*limit).load(path)
     )
     return _from_files(files, path, collection)
 

@@ -22,7 +22,7 @@ from xmlindex.operators.removal import covered_by_removal, removal_scope
 from xmlindex.plans.indexing import index_documents, remove_documents
 from xmlindex.plans.job import Job
 from xmlindex.plans.removing import flush_removals, request_removals
-from xmlindex.session import Staging
+from xmlindex.session import Staging, gathered
 from xmlindex.sources import files
 
 UPSERT, DELETE, REMOVE_COLLECTION = "upsert", "delete", "remove_collection"
@@ -52,7 +52,7 @@ def apply_events(job: Job, events: DataFrame, commit: str, snapshot_ts: int | No
     snapshot_ts = job.now_millis() if snapshot_ts is None else snapshot_ts
     times = ["event_ts"] if "event_ts" in events.columns else []
     with Staging() as staging:
-        events = staging.write(events, "events")
+        events = staging.write(gathered(events), "events")
         kept = surviving_events(events, job.configs)
         upserts = kept.where(F.col("op") == UPSERT)
         deletes = kept.where(F.col("op") == DELETE)
