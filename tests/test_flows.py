@@ -557,3 +557,19 @@ def test_the_later_of_two_status_writers_folds_into_the_other(spark, job, monkey
     monkeypatch.setattr(job.status._versions, "claim", beside)
     job.record(events("/db/a", 1))
     assert {r.collection for r in job.status.read().collect()} == {"/db/a", "/db/b"}
+
+
+def test_an_indexing_run_stages_texts_once_and_does_not_rewrite_the_first_run(spark, tmp_path, monkeypatch):
+    import gzip
+
+    from xmlindex.session import Staging
+
+    staged, write = [], Staging.write
+    monkeypatch.setattr(Staging, "write", lambda self, df, label: staged.append((label, set(df.columns))) or write(self, df, label))
+    job = Job.at(spark, str(tmp_path / "s"), [CONFIG], FilePublisher(str(tmp_path / "out")), capacity=2)
+    index_documents(job, documents(spark, ONE, ("/db/dict/a", 5, 2, "<book>")), "c1", 100, on_malformed="skip")
+    assert [label for label, columns in staged if columns & {"fields", "record_json"}] == ["extracted"]
+    assert [r.rows for r in job.store.log.state().runs] == [3]
+    assert [r for r in job.status.read().collect() if r.failure_class == "MalformedDocument"]
+    sent = list((tmp_path / "out").rglob("*.gz"))
+    assert sent and all(json.loads(line)["requests"] for path in sent for line in gzip.open(path, "rt"))

@@ -21,6 +21,8 @@ _SCOPE_SCHEMA = (
     f"{_PREDICATES}, field_cfg array<struct<name:string,key:string,kind:string,type:string,"
     f"preds:array<{_PREDICATES}>>>, document_id_slot int, visible_by_slot int, batch_size int"
 )
+# What a marker row says of its document.
+MARKER_COLUMNS = ("scope", "doc_values", "error", "config_no")
 _SHRED_ONLY = ("scope", "root_node_id", "root_checks", "fields", "doc_values", "error", "config_no")
 
 
@@ -136,19 +138,21 @@ def _field_json(child: Column) -> Column:
 
 
 def build_records(
-    shredded: DataFrame, configs: list[CollectionConfig], mode: str = "drop", drop_empty: bool = False
+    shredded: DataFrame, configs: list[CollectionConfig], mode: str = "drop", drop_empty: bool = False,
+    markers: bool = False,
 ) -> DataFrame:
     """Records of shredded documents.
 
     `children` lists the fields in the order of their first node (objects before attributes
     when one node feeds both). A value that is not a literal of its type is left out and
     counted in `bad_literals`; `mode="fail"` raises instead. `drop_empty` leaves out root
-    objects none of whose fields matched.
+    objects none of whose fields matched. With `markers` the marker row of every document stays, with
+    the columns it has from shredding (`MARKER_COLUMNS`), so that one table holds all that is asked later.
     """
     if mode not in ("drop", "fail"):
         raise ValueError("mode is 'drop' or 'fail'")
     numeric = shredded.schema["document_id"].dataType.typeName() not in ("string",)
-    kept = [c for c in shredded.columns if c not in _SHRED_ONLY]
+    kept = [c for c in shredded.columns if c not in _SHRED_ONLY or markers and c in MARKER_COLUMNS]
     configured = F.broadcast(scope_table(shredded.sparkSession, configs))
 
     def with_values(field: Column, values: Column) -> Column:
@@ -168,9 +172,12 @@ def build_records(
     )
     children = F.transform(ordered, lambda child: with_values(child, _merged(child)))
     node_ids = F.filter(F.element_at("fields", -1), lambda v: v["content"] != "")
+    if markers:
+        rows = shredded.withColumn("fields", F.when(F.col("scope").isNotNull(), F.col("fields"))).join(configured, "scope", "left")
+    else:
+        rows = shredded.where("scope is not null").join(configured, "scope")
     out = (
-        shredded.where("scope is not null")
-        .join(configured, "scope")
+        rows
         .where(predicates_hold(F.col("root_checks"), F.col("root_preds")))
         .select(
             *kept,
@@ -186,7 +193,7 @@ def build_records(
         )
     )
     if drop_empty:
-        out = out.where(F.size("children") > 0)
+        out = out.where((F.size("children") > 0) | F.col("scope").isNull() if markers else F.size("children") > 0)
     out = out.withColumn("object_id", R.object_id("user_node_id", "collection_id", "document_id", "node_id"))
     members = F.concat(
         F.array(

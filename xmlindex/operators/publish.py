@@ -199,14 +199,14 @@ class CallPublisher:
 
 
 class FilePublisher:
-    """Writes request bodies as lines, one folder per commit and index; repeating a commit replaces it."""
+    """Writes request bodies as lines of compressed text, one folder per commit and index; repeating a commit replaces it."""
 
     def __init__(self, path: str):
         self.path = path.rstrip("/")
 
     def publish(self, batches: DataFrame, commit: str) -> DataFrame:
         folder = f"{self.path}/commit={commit}"
-        batches.select("index_name", "body").write.mode("overwrite").partitionBy("index_name").text(folder)
+        batches.select("index_name", "body").write.mode("overwrite").partitionBy("index_name").text(folder, compression="gzip")
         nothing = F.lit(None).cast("string")
         return batches.drop("body").select(
             "*",

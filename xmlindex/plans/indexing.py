@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from xmlindex.functions.paths import in_collection_tree
 from xmlindex.operators.batches import assemble_batches, plan_batches
-from xmlindex.operators.extract import build_records, processed_documents, resolve_config, skipped_documents
+from xmlindex.operators.extract import MARKER_COLUMNS, build_records, processed_documents, resolve_config, skipped_documents
 from xmlindex.operators.removal import document_removals, tombstones
 from xmlindex.operators.shred import shred_documents
 from xmlindex.operators.snapshots import DOCUMENT_KEY, RECORD_KEY, diff_snapshots
@@ -83,14 +83,20 @@ def index_documents(
     """
     snapshot_ts = job.now_millis() if snapshot_ts is None else snapshot_ts
     with Staging() as staging:
-        shredded = staging.write(
-            shred_documents(resolve_config(documents, job.configs), job.configs, on_malformed), "shredded"
+        # Texts are staged once, as records; the documents' marker rows go with them.
+        shredded = shred_documents(resolve_config(documents, job.configs), job.configs, on_malformed)
+        marked = [c for c in documents.columns if c != "xml"]
+        extracted = staging.write(
+            build_records(shredded, job.configs, markers=True)
+            .withColumn("written", F.monotonically_increasing_id())
+            .select(*marked, *MARKER_COLUMNS, "index_name", "doc_key", "node_key", "object_id", "user_document_id",
+                    "record_json", "md5", "written"),
+            "extracted",
         )
-        processed = processed_documents(shredded, job.configs)
-        records = staging.write(
-            snapshot_rows(build_records(shredded, job.configs), F.col(event_time) if event_time else snapshot_ts)
-            .withColumn("written", F.monotonically_increasing_id()),
-            "records",
+        markers = extracted.where("scope is null").select(*marked, *MARKER_COLUMNS)
+        processed = processed_documents(markers, job.configs)
+        records = snapshot_rows(
+            extracted.where("scope is not null"), F.col(event_time) if event_time else snapshot_ts, "written"
         )
         # Deciding what changed moves keys and checksums only; record text is joined afterwards.
         slim = records.drop("record_json", "snapshot_ts", "user_document_id")
@@ -102,7 +108,7 @@ def index_documents(
         previous = job.store.latest_of(processed, without_commit=commit)
         times = late = None
         if event_time:
-            seen = processed_documents(shredded, job.configs, event_time)
+            seen = processed_documents(markers, job.configs, event_time)
             times = seen.groupBy(*DOCUMENT_KEY).agg(F.max(event_time).cast("bigint").alias("snapshot_ts"))
             times = staging.write(times, "times")
             late = staging.write(late_documents(job, times, commit), "late")
@@ -129,7 +135,7 @@ def index_documents(
             accepted = accepted.unionByName(late.select(*DOCUMENT_KEY))
         _remember(job, winners, processed, changes, accepted, commit, snapshot_ts, times)
         _spare_from_removal(job, processed)
-        skipped = skipped_documents(shredded, job.configs)
+        skipped = skipped_documents(markers, job.configs)
         job.record(_indexing_events(job, processed, skipped, sent, outcomes))
     return outcomes
 

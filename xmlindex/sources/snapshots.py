@@ -6,8 +6,8 @@ live (see `commits`). From the runs three tables are read:
 * the history: all snapshots, by time;
 * the current table: the newest snapshot of every document. A run says which of its rows were newest
   when it was written, and brings along the keys of the documents it replaces, a deletion vector
-  for the runs before it. Once more rows were added than the last compaction left, the current
-  rows are written anew, so reading them never costs more than twice their number;
+  for the runs before it. Once more rows were added than the last compaction left (or the first run
+  had), the current rows are written anew, so reading them never costs more than twice their number;
 * the listing: the current records without their text, in files sorted by the place of their
   collection in the tree, so that a collection tree is one range of places, and the files of other
   trees are left out by their minima and maxima.
@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from xmlindex.functions.paths import place, tree_places
 from xmlindex.operators.snapshots import DOCUMENT_KEY, RECORD_KEY, at_timestamps, latest_timestamps
-from xmlindex.session import Staging
+from xmlindex.session import CODEC, Staging
 from xmlindex.sources import files
 from xmlindex.sources.archives import read_archives
 from xmlindex.sources.commits import GRACE, CommitLog, Run, State
@@ -49,13 +49,13 @@ _SCHEMAS = {
 CAPACITY = 200_000
 
 
-def snapshot_rows(records: DataFrame, snapshot_ts: int | Column) -> DataFrame:
-    """Records as snapshot rows; a node key written twice keeps its last record."""
+def snapshot_rows(records: DataFrame, snapshot_ts: int | Column, *carried: str) -> DataFrame:
+    """Records as snapshot rows, with further columns; a node key written twice keeps its last record."""
     ts = F.lit(snapshot_ts) if isinstance(snapshot_ts, int) else snapshot_ts
     return records.select(
         "index_name", "doc_key", ts.cast("bigint").alias("snapshot_ts"), "node_key", "object_id",
         "collection", F.col("document_id").cast("string").alias("document_id"), "user_document_id",
-        "record_json", "md5",
+        "record_json", "md5", *carried,
     )
 
 
@@ -224,13 +224,13 @@ class SnapshotStore:
             rows.select(*_COLUMNS, "newest", directory.bucket(*DOCUMENT_KEY).alias("bucket"))
             .hint("rebalance", "index_name", "bucket")
             .sortWithinPartitions("index_name", "bucket", "doc_key", "node_key")
-            .write.mode("overwrite").partitionBy("index_name", "bucket").parquet(f"{self._root}/data/run={run}")
+            .write.mode("overwrite").partitionBy("index_name", "bucket").parquet(f"{self._root}/data/run={run}", compression=CODEC)
         )
         return self._read("data", [Run(run, 0)]).count()
 
     def _write_keys(self, documents: DataFrame, directory: Directory, run: str) -> None:
         keys = documents.select(*DOCUMENT_KEY, directory.bucket(*DOCUMENT_KEY).alias("bucket"))
-        keys.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self._root}/replaced/run={run}")
+        keys.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self._root}/replaced/run={run}", compression=CODEC)
 
     def _write_listing(self, listed: DataFrame, unlisted: DataFrame | None, run: str) -> None:
         def rows(df: DataFrame, alive: bool) -> DataFrame:
@@ -240,7 +240,7 @@ class SnapshotStore:
         order = ["index_name", "place", "doc_key", "node_key"]
         (
             both.repartitionByRange(*order).sortWithinPartitions(*order)
-            .write.mode("overwrite").parquet(f"{self._root}/trees/run={run}")
+            .write.mode("overwrite").parquet(f"{self._root}/trees/run={run}", compression=CODEC)
         )
 
     def _split(self, state: State, documents: DataFrame, rows: int) -> tuple[str, Directory]:
@@ -335,6 +335,9 @@ class SnapshotStore:
         state = self.log.commit(commit, change)
         added = [r.rows for r in state.runs if r.current and r.history]
         base = [r.rows for r in state.runs if r.current and not r.history]
+        if not base:
+            # Nothing came before the first run, so it needs no compaction to be a base.
+            base, added = added[:1], added[1:]
         if sum(added) > max(self.capacity, sum(base)):
             self.compact()
         self.log.free()
@@ -426,7 +429,7 @@ class SnapshotStore:
 
         def change(state: State, number: int) -> State:
             moved = self._history(state).join(wanted, DOCUMENT_KEY, "left_semi")
-            moved.select(*_COLUMNS, "commit").write.mode("overwrite").partitionBy("commit").parquet(target)
+            moved.select(*_COLUMNS, "commit").write.mode("overwrite").partitionBy("commit").parquet(target, compression=CODEC)
             found = self.spark.read.schema("index_name string, doc_key string").parquet(target).distinct()
             found.write.mode("overwrite").parquet(f"{self._root}/gone/run={gone}")
             found = self.spark.read.schema("index_name string, doc_key string").parquet(f"{self._root}/gone/run={gone}")
