@@ -1,5 +1,6 @@
 """The training-data operators on small tables with nulls, empty and long texts, ties and repeats."""
 
+import pathlib
 import random
 import re
 import zlib
@@ -522,3 +523,16 @@ def test_a_worker_holds_what_its_step_asks_for():
     for key in ("a", "a", "b", "a"):
         support.held((key,), lambda: made.append(key) or key)
     assert made == ["a", "b", "a"]
+
+
+def test_token_files_leave_no_staged_frames(spark, tmp_path):
+    from xmlindex.llm import token_files
+    from xmlindex.llm.queries import END_ID, TOKENIZER
+    from xmlindex.session import staging_root
+
+    folder = pathlib.Path(staging_root(spark).removeprefix("file:")) / "xmlindex"
+    before = set(folder.glob("frames-*"))
+    df = spark.createDataFrame([(1, "a b"), (2, None), (3, "c")], "doc_id long, text string")
+    token_files.write_texts(df, str(tmp_path / "t"), TOKENIZER, END_ID)
+    assert token_files.read_tokens(spark, str(tmp_path / "t")).count() == 3
+    assert set(folder.glob("frames-*")) == before

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 from xmlindex.llm.bpe import arrow_rows, encode_texts, slices
 from xmlindex.llm.support import whole_text
 from xmlindex.llm.tokenizer import encoder
-from xmlindex.session import materialize
+from xmlindex.session import Staging
 
 BLOCK_BYTES = 1 << 18
 LEVEL = 3
@@ -141,12 +141,13 @@ def write_tokens(
         if held:
             yield take()
 
-    staged = materialize(
-        documents.mapInArrow(compress, "doc_id long, length long, frame binary").withColumn("tie", F.xxhash64("frame")),
-        "frames",
-    )
-    ordered = staged.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-    ordered.select("doc_id", "length", "frame").mapInArrow(blocks, _BLOCKS).write.parquet(f"{path}/blocks")
+    with Staging() as staging:
+        frames = documents.mapInArrow(compress, "doc_id long, length long, frame binary").withColumn("tie", F.xxhash64("frame"))
+        staged = staging.write(frames, "frames")
+        # What encoding shuffled is not read again: Spark's cleaner deletes it once the driver has collected its plan.
+        spark._jvm.System.gc()
+        ordered = staged.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+        ordered.select("doc_id", "length", "frame").mapInArrow(blocks, _BLOCKS).write.parquet(f"{path}/blocks")
 
 
 def write_texts(
