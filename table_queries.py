@@ -200,9 +200,10 @@ def stored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def live_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A status is one letter; the greatest number is found by hashing, the greatest string by sorting.
     shipped = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
-        F.max("l_linestatus").alias("status"), F.min("l_shipdate").alias("shipped")
-    )
+        F.max(F.ascii("l_linestatus")).alias("letter"), F.min("l_shipdate").alias("shipped")
+    ).withColumn("status", F.char("letter"))
     owners = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     return shipped.join(owners, "l_orderkey").select(
         F.lit("orders").alias("index_name"),
@@ -225,7 +226,7 @@ def order_status(local: DataFrame) -> DataFrame:
         F.lit(1).cast("bigint").alias("object_count"), F.lit(None).cast("string").alias("failure_class"),
         F.lit(None).cast("string").alias("failure_message"),
     )
-    return T.fold_status(events)
+    return T.fold_status(T.newest_events(events))
 
 
 def sync_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -691,7 +692,7 @@ def matching_documents(spark, sf_dir):
 UNION ALL SELECT tree, 'live', collection, count(*) FROM live_t GROUP BY ALL
 UNION ALL SELECT tree, 'wrong_path', collection, count(*) FROM wrong GROUP BY ALL""")
 def sync_counts(spark, sf_dir):
-    counted = Y.sync_counts(*sync_inputs(spark, sf_dir))
+    counted = Y.sync_counts(*sync_inputs(spark, sf_dir), live_staged=True)
     return counted.select("tree", "side", "collection", F.col("n").cast("bigint").alias("n"))
 
 
@@ -711,7 +712,7 @@ def _sample_sql(source: str, where: str, name: str) -> str:
        + _sample_sql("wrong", "", "sample_wrong_path"))
 def sync_report(spark, sf_dir):
     local, live, trees = sync_inputs(spark, sf_dir)
-    report = Y.sync_report(local, live, trees, order_status(local))
+    report = Y.sync_report(local, live, trees, order_status(local), live_staged=True)
     samples = ("sample_missing", "sample_unexpected", "sample_wrong_path")
     for name in samples:
         report = report.withColumn(name, F.array_join(name, ","))
@@ -723,7 +724,7 @@ def sync_report(spark, sf_dir):
   || ' live object(s), uploads ' || local_count || ' object(s)' END AS action FROM classified""")
 def recommend_action(spark, sf_dir):
     local, live, trees = sync_inputs(spark, sf_dir)
-    report = Y.sync_report(local, live, trees, order_status(local))
+    report = Y.sync_report(local, live, trees, order_status(local), live_staged=True)
     return Y.recommend_action(report).select("tree", "classification", "action")
 
 

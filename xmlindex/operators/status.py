@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from xmlindex.session import small_side
+
 # Fixed values of the status contract.
 CURRENT, DEGRADED, STALE = "current", "degraded", "stale_local_store"
 BATCH_WRITE, DOCUMENT_DELETE, COLLECTION_DELETE = "batch_write", "document_delete", "collection_delete"
@@ -47,6 +49,21 @@ def fold_status(events: DataFrame, previous: DataFrame | None = None) -> DataFra
     )
 
 
+def newest_events(events: DataFrame) -> DataFrame:
+    """The events `fold_status` can still choose from: per (index, collection) those of the highest number,
+    and of the highest of a success.
+
+    For many events of few collections, which are read twice for it: numbers are compared by hashing, the
+    rows of a fold by sorting.
+    """
+    succeeded = F.when((F.col("state") == CURRENT) & F.col("ts").isNotNull(), F.col("seq"))
+    last = events.groupBy(*STATUS_KEY).agg(F.max("seq").alias("_last"), F.max(succeeded).alias("_success"))
+    last = small_side(last.select(F.col("index_name").alias("_index"), F.col("collection").alias("_collection"), "_last", "_success"))
+    same = F.col("index_name").eqNullSafe(F.col("_index")) & F.col("collection").eqNullSafe(F.col("_collection"))
+    kept = F.col("seq").isNull() | (F.col("seq") == F.col("_last")) | (succeeded == F.col("_success"))
+    return events.join(last, same & kept).select(*events.columns)
+
+
 def collection_health(status: DataFrame) -> DataFrame:
     """Rows of a known collection."""
     return status.where("collection is not null and collection <> ''")
