@@ -199,6 +199,14 @@ def test_live_dumps(spark, tmp_path):
         assert {(r.object_id, r.collection, r.document_id) for r in rows.collect()} == expected, name
 
 
+def test_live_records_are_parsed_once(spark, tmp_path):
+    (tmp_path / "d.jsonl").write_text('{"objectID":"a","collection":"/c","documentID":7}\n{"objectID":"","collection":"/c"}\nx\n')
+    rows = read_live_index(spark, str(tmp_path / "d.jsonl"), "i", lines=True)
+    assert [tuple(r) for r in rows.collect()] == [("i", "a", "/c", None)]
+    physical = plan_of(rows).split("== Initial Plan ==")[0]
+    assert len(re.findall(r"parse_json\(|parseJson|ParseJson", physical)) == 1
+
+
 def test_snapshot_files_are_imported(spark, tmp_path):
     def put(path, collection="/db"):
         target = tmp_path / "indexes" / path

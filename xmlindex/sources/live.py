@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from xmlindex.functions.records import let
 from xmlindex.operators.snapshots import dedup_last_write
 from xmlindex.session import Staging, materialize
 
-_MEMBERS = ("objectID", "collection", "documentID")
+_MEMBERS = {"object_id": "objectID", "collection": "collection", "document_id": "documentID"}
 
 
 def _before(rows: DataFrame, value: Column, name: str) -> DataFrame:
@@ -39,19 +40,23 @@ def split_records(spark: SparkSession, path: str, staging: Staging) -> DataFrame
             F.monotonically_increasing_id().alias("id"), "value",
         ), "pieces",
     )
-    plain = F.regexp_replace("value", r"(?s)\\.", "")
-    parts = F.split(plain, '"', -1)
+    escaped = F.contains("value", F.lit("\\"))
+    plain = F.when(escaped, F.regexp_replace("value", r"(?s)\\.", "")).otherwise(F.col("value"))
+
+    def outside(parts: Column, inside: int) -> Column:
+        return F.array_join(F.filter(parts, lambda _part, n: (n + inside) % 2 == 0), "")
+
+    # `inline` computes the parts of a piece once, for whatever is asked of them.
+    parted = pieces.select("file", "split", "id", F.inline(F.transform(F.array(F.split(plain, '"', -1)), lambda parts: F.struct(
+        (F.size(parts) - 1).alias("quotes"), outside(parts, 0).alias("plain_0"), outside(parts, 1).alias("plain_1")))))
 
     def depth(inside: int) -> Column:
-        outside = F.array_join(F.filter(parts, lambda _part, n: (n + inside) % 2 == 0), "")
-        opened = F.length(F.regexp_replace(outside, r"[^\[{]", "")) - F.length(F.regexp_replace(outside, r"[^\]]", ""))
+        text = F.col(f"plain_{inside}")
+        count = lambda letters: F.length(text) - F.length(F.translate(text, letters, ""))
         # The brace that ends the piece closes something unless a string goes on.
-        return opened - F.when((F.size(parts) - 1 + inside) % 2 == 0, 1).otherwise(0)
+        return count("[{") - count("]") - F.when((F.col("quotes") + inside) % 2 == 0, 1).otherwise(0)
 
-    marked = staging.write(
-        pieces.select("file", "split", "id", (F.size(parts) - 1).alias("quotes"), depth(0).alias("out"), depth(1).alias("in")),
-        "marked",
-    )
+    marked = staging.write(parted.select("file", "split", "id", "quotes", depth(0).alias("out"), depth(1).alias("in")), "marked")
     started = _before(marked, F.col("quotes"), "seen").withColumn("inside", F.col("seen") % 2)
     started = started.withColumn("change", F.when(F.col("inside") == 1, F.col("in")).otherwise(F.col("out")))
     started = staging.write(started.select("file", "split", "id", "quotes", "inside", "change"), "started")
@@ -104,21 +109,24 @@ def read_live_index(spark: SparkSession, path: str, index_name: str, lines: bool
     record, or, with `lines`, one record per line; either way a file is read by as many tasks as it has
     splits (compressed files by one). Ids that are not strings count as absent.
     """
-    def text(value: Column) -> Column:
-        found = F.when(F.schema_of_variant(value) == "STRING", value.cast("string"))
-        return F.when(found != "", found)
+    def text(record: Column, member: str) -> Column:
+        found = let(
+            F.try_variant_get(record, f"$.{member}", "variant"),
+            lambda value: F.when(F.schema_of_variant(value) == "STRING", value.cast("string")),
+        )
+        return F.nullif(found, F.lit(""))
+
+    # `inline` parses a record once; a projection would do so for every use of every member.
+    def members(record: Column) -> Column:
+        return F.struct(*[text(record, member).alias(name) for name, member in _MEMBERS.items()])
 
     with Staging() as staging:
         if lines:
             texts = spark.read.text(path).select(F.col("value").alias("text"))
         else:
             texts = split_records(spark, path, staging)
-        members = [F.try_variant_get(F.try_parse_json("text"), f"$.{m}", "variant").alias(m) for m in _MEMBERS]
-        rows = texts.select(*members).select(
-            F.lit(index_name).alias("index_name"),
-            text(F.col("objectID")).alias("object_id"),
-            text(F.col("collection")).alias("collection"),
-            text(F.col("documentID")).alias("document_id"),
+        rows = texts.select(
+            F.lit(index_name).alias("index_name"), F.inline(F.transform(F.array(F.try_parse_json("text")), members)),
         ).where("object_id is not null and collection is not null")
         # An index holds an object id once; should a dump repeat one, a fixed choice is made.
         found = dedup_last_write(rows, ["index_name", "object_id"], ["collection", "document_id"])
