@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -24,7 +25,7 @@ from xmlindex.plans.repairing import reconcile, replay_batches, report_for
 from xmlindex.session import materialize, ship_package, spread, staging_path
 from xmlindex.sources.archives import write_archives
 from xmlindex.sources.documents import documents_from_table, read_documents, stream_documents, upserts, write_documents
-from xmlindex.sources.files import replace_with_pieces
+from xmlindex.sources.files import list_names, replace_with_pieces
 from xmlindex.sources.live import read_live_index
 from xmlindex.sources.snapshots import import_snapshot_files
 from xmlindex.sources.status import read_status_document, write_status_document
@@ -1288,6 +1289,22 @@ def replaced_documents(spark, sf_dir):
     )
 
 
+def sent_requests(job: Job, read: dict[str, DataFrame]) -> DataFrame:
+    """Keys of all requests in the publisher's files, which do not change; `read` keeps those of commits read before."""
+    requests = "array<struct<action: string, body: struct<objectID: string, collection: string, documentID: string>>>"
+    for folder in list_names(job.spark, job.publisher.path):
+        if folder.startswith("commit=") and folder not in read:
+            bodies = job.spark.read.text(f"{job.publisher.path}/{folder}")
+            rows = bodies.select(F.explode(F.from_json("value", f"requests {requests}")["requests"]).alias("r"))
+            read[folder] = materialize(rows.select(
+                F.lit("documents").alias("index_name"), F.col("r.body.objectID").alias("object_id"),
+                F.col("r.body.collection").alias("collection"), F.col("r.body.documentID").alias("document_id"), "r.action",
+                F.lit(folder.removeprefix("commit=")).alias("commit"),
+            ), "sent")
+    found = list(read.values())
+    return reduce(DataFrame.unionByName, found[1:], found[0])
+
+
 @query("""SELECT 'before' AS seen, count(*) AS local_count, count(*) FILTER (doc_id % 5 > 0) AS live_count,
   count(*) FILTER (doc_id % 5 = 0) AS missing_count, false AS synced FROM documents WHERE lang = 'en'
 UNION ALL SELECT 'after', count(*), count(*), 0, true FROM documents WHERE lang = 'en'""")
@@ -1297,19 +1314,18 @@ def reconcile_one_tree(spark, sf_dir):
     documents = document_xml(spark, sf_dir)
     index_documents(job, documents, "c1", 1)
 
+    read: dict[str, DataFrame] = {}
+
     def live() -> DataFrame:
-        sent = spark.read.option("basePath", job.publisher.path).text(job.publisher.path)
-        requests = "array<struct<action: string, body: struct<objectID: string, collection: string, documentID: string>>>"
-        rows = sent.select(F.col("commit"), F.explode(F.from_json("value", f"requests {requests}")["requests"]).alias("r"))
-        rows = rows.select(F.lit("documents").alias("index_name"), F.col("r.body.objectID").alias("object_id"),
-                           F.col("r.body.collection").alias("collection"), F.col("r.body.documentID").alias("document_id"), "r.action", "commit")
+        rows = sent_requests(job, read)
         kept = rows.where((F.col("commit") != "c1") | (F.substring("object_id", 2, 20).cast("int") % 5 > 0))
         last = S.dedup_last_write(kept, ["index_name", "object_id"], "commit")
         return last.where("action <> 'deleteObject'").drop("action", "commit")
 
     numbers = ["local_count", "live_count", "missing_count", "synced"]
-    before = materialize(report_for(job, "documents", "/db/en", live()).select(F.lit("before").alias("seen"), *numbers), "before")
-    after = reconcile(job, "documents", "/db/en", documents, live, "c2", "stamp__db_en", allow=True)
+    report = materialize(report_for(job, "documents", "/db/en", live()), "before")
+    before = report.select(F.lit("before").alias("seen"), *numbers)
+    after = reconcile(job, "documents", "/db/en", documents, live, "c2", "stamp__db_en", allow=True, report=report)
     return before.unionByName(after.select(F.lit("after").alias("seen"), *numbers))
 
 
@@ -1325,24 +1341,17 @@ def reconcile_until_in_step(spark, sf_dir):
     number = F.substring("object_id", 2, 20).cast("int")
     lost = F.when(F.col("commit") == "c1", number % 5 == 0).otherwise((F.col("commit") == "c2") & (number % 7 == 0))
 
-    def sent() -> DataFrame:
-        bodies = spark.read.option("basePath", job.publisher.path).text(job.publisher.path)
-        requests = "array<struct<action: string, body: struct<objectID: string, collection: string, documentID: string>>>"
-        rows = bodies.select("commit", F.explode(F.from_json("value", f"requests {requests}")["requests"]).alias("r"))
-        return rows.select(
-            F.lit("documents").alias("index_name"), F.col("r.body.objectID").alias("object_id"),
-            F.col("r.body.collection").alias("collection"), F.col("r.body.documentID").alias("document_id"), "r.action", "commit",
-        )
+    read: dict[str, DataFrame] = {}
 
     def live() -> DataFrame:
-        last = S.dedup_last_write(sent().where(~lost), ["index_name", "object_id"], "commit")
+        last = S.dedup_last_write(sent_requests(job, read).where(~lost), ["index_name", "object_id"], "commit")
         return last.where("action <> 'deleteObject'").drop("action", "commit")
 
     numbers = ["local_count", "live_count", "missing_count", "synced"]
-    before = materialize(report_for(job, "documents", "/db/de", live()).select(*numbers), "before")
-    after = reconcile(job, "documents", "/db/de", documents, live, "c2", "stamp__db_de", allow=True)
+    before = materialize(report_for(job, "documents", "/db/de", live()), "before")
+    after = reconcile(job, "documents", "/db/de", documents, live, "c2", "stamp__db_de", allow=True, report=before)
     of = lambda commit: F.count_if(F.col("commit") == commit).alias
-    counts = sent().agg(of("c2")("sent_first"), of("c2-2")("sent_again")).first().asDict()
+    counts = sent_requests(job, read).agg(of("c2")("sent_first"), of("c2-2")("sent_again")).first().asDict()
 
     def row(report: DataFrame, seen: str, of_round: dict) -> DataFrame:
         sizes = [F.lit(of_round.get(n, 0)).cast("long").alias(n) for n in ("sent_first", "sent_again")]

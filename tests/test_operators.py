@@ -37,6 +37,16 @@ def test_chunks_hold_additions_then_updates_then_deletions(spark):
     assert single == 2  # a batch holds at least one operation
 
 
+def test_batches_of_one_operation_are_assembled_where_they_are(spark):
+    rows = changes(spark, 1, 0, 0).unionByName(changes(spark, 0, 0, 1, "2")).withColumn("record_json", F.lit('{"objectID":"x"}'))
+    planned = B.plan_batches(rows, 5).localCheckpoint()
+    single = B.single_batches(planned)
+    assert "Exchange" not in plan_of(single)
+    whole = B.assemble_batches(planned)
+    assert single.dtypes == whole.dtypes
+    assert sorted(map(tuple, single.collect())) == sorted(map(tuple, whole.collect()))
+
+
 def test_hot_document_is_numbered_in_slices(spark):
     rows = B.number_operations(changes(spark, 300, 50, 0), ["index_name", "document_id"])
     assert sorted(r.position for r in rows.collect()) == list(range(1, 351))

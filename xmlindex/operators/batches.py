@@ -204,6 +204,15 @@ def assemble_batches(batches: DataFrame, group: tuple[str, ...] = ("index_name",
     )
 
 
+def single_batches(batches: DataFrame, group: tuple[str, ...] = ("index_name", "document_id")) -> DataFrame:
+    """`assemble_batches` where every batch has one operation: request text is not moved."""
+    request = request_json("op", "object_id", "record_json")
+    return batches.select(
+        *group, "chunk", "total_chunks", F.lit(1).cast("bigint").alias("requests"),
+        F.concat(F.lit('{"requests":['), F.coalesce(request, F.lit("")), F.lit("]}")).alias("body"),
+    )
+
+
 def touched_collections(changes: DataFrame, documents: DataFrame | None = None) -> DataFrame:
     """Distinct collections a change set touches, per index: of its records and of the documents."""
     rows = changes.where("op <> 'delete'").select("index_name", "collection")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from xmlindex.functions.paths import in_collection_tree
-from xmlindex.operators.batches import assemble_batches, plan_batches
+from xmlindex.operators.batches import assemble_batches, plan_batches, single_batches
 from xmlindex.operators.extract import MARKER_COLUMNS, build_records, processed_documents, resolve_config, skipped_documents
 from xmlindex.operators.removal import document_removals, tombstones
 from xmlindex.operators.shred import shred_documents
@@ -49,7 +49,9 @@ def publish_changes(job: Job, changes: DataFrame, commit: str, texts: DataFrame
         upserts = planned.where("op <> 'delete'")
         if texts is not None:
             requests = requests.unionByName(texts.join(upserts, RECORD_KEY))
-        outcomes = job.publisher.publish(assemble_batches(requests, _GROUP), commit)
+        several = planned.where("operations > 1")
+        bodies = single_batches(requests, _GROUP) if several.isEmpty() else assemble_batches(requests, _GROUP)
+        outcomes = job.publisher.publish(bodies, commit)
         per_document = outcomes.groupBy(*_GROUP).agg(
             F.when(F.bool_or(failed), DEGRADED).otherwise("current").alias("state"),
             F.sum("requests").alias("object_count"),

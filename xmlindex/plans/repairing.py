@@ -81,7 +81,7 @@ def refresh(job: Job, index_name: str, tree: str, live: DataFrame) -> DataFrame:
 
 def reconcile(
     job: Job, index_name: str, tree: str, documents: DataFrame, live: LiveReader, commit: str,
-    quarantine_name: str, force: bool = False, allow: bool = False, rounds: int = 5,
+    quarantine_name: str, force: bool = False, allow: bool = False, rounds: int = 5, report: DataFrame | None = None,
 ) -> DataFrame:
     """Set the stored snapshots of a tree aside and index it anew, until that changes nothing more;
     returns the final report.
@@ -90,11 +90,13 @@ def reconcile(
     them and reports. Rounds end once the tree is in step, two reports in a row agree (what is wrong
     then, such as records that only the index has, indexing does not mend), or after `rounds`. Later
     rounds add their number to the names of commit and quarantine. Does nothing if the tree is in
-    step, unless forced. Changes the store, hence `allow`.
+    step, unless forced. Changes the store, hence `allow`. `report` is the tree's `report_for` as things
+    are, if there is one already.
     """
     if not allow:
         raise PermissionError("reconcile changes the snapshot store; pass allow=True to do so")
-    report = materialize(report_for(job, index_name, tree, live()), "report")
+    if report is None:
+        report = materialize(report_for(job, index_name, tree, live()), "report")
     if report.select("synced").first()[0] and not force:
         return report
     trees = job.spark.createDataFrame([(index_name, tree)], "index_name string, tree string")
