@@ -197,3 +197,20 @@ def test_documents_without_content_are_reported_in_both_modes(spark):
         markers = {r["document_id"]: r["error"] for r in shredded.where("scope is null").collect()}
         assert markers == {1: None, 2: "no content"}
         assert [r["document_id"] for r in skipped_documents(shredded, [config]).collect()] == [2]
+
+
+def test_literals_are_typed_once_and_only_root_objects_leave_the_tasks(spark):
+    config = load_config({"collection": "/db/harbour", "indexes": [{"name": "i", "roots": [
+        {"path": "/x/y", "fields": [field("n", "n", type="integer"), field("d", "d", type="date")]}]}]})
+    xml = "<x><y><n>4</n><n>four</n><d>1970-01-02</d></y><y><d>soon</d></y></x>"
+    documents = spark.createDataFrame([("/db/harbour", 1, 2, xml), ("/db/harbour", 1, 3, "<x/>")], DOCUMENTS)
+
+    shredded = shred_documents(resolve_config(documents, [config]), [config], markers=False)
+    assert [r.scope for r in shredded.collect()] == [0, 0]
+
+    records = extract_records(documents, [config]).select("record_json", "bad_literals")
+    plan = records._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_cast") == 3  # integer, float and timestamp, for the record and the count together
+    assert sorted((json.loads(r.record_json).get("n"), json.loads(r.record_json).get("d"), r.bad_literals)
+                  for r in records.collect() if "n" in json.loads(r.record_json)) == [(4, 86400000, 1)]
+    assert sorted(r.bad_literals for r in records.collect()) == [1, 1]

@@ -46,13 +46,14 @@ def typed_json(value: Column | str, literal_type: Column | str) -> Column:
         value.try_cast("float"),
         lambda n: F.when(~F.isnan(n) & (F.abs(n) < F.lit(float("inf"))), n.cast("string")),
     )
+    # Alternatives are spelled out: inside lambdas, where nothing is compiled, `isin` throws at every match.
     lowered = F.lower(value)
     return (
         F.when(literal_type == "string", json_string(value))
         .when(literal_type == "integer", integer)
         .when(literal_type == "float", number)
-        .when(literal_type == "boolean", F.when(lowered.isin("true", "false"), lowered))
-        .when(literal_type.isin("date", "dateTime"), epoch_millis(value).cast("string"))
+        .when(literal_type == "boolean", F.when((lowered == "true") | (lowered == "false"), lowered))
+        .when((literal_type == "date") | (literal_type == "dateTime"), epoch_millis(value).cast("string"))
     )
 
 

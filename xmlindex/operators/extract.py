@@ -120,7 +120,13 @@ def _value_json(field: Column, value: Column) -> Column:
     ).otherwise(R.typed_json(value["content"], field["type"]))
 
 
-def _field_json(child: Column) -> Column:
+def _literals(child: Column) -> Column:
+    """JSON of each value, null where it is not a literal of the configured type; null for plain text."""
+    is_plain = (child["kind"] == "attribute") & (child["type"] == "string")
+    return F.when(~is_plain, F.transform(child["values"], lambda v: _value_json(child, v)))
+
+
+def _field_json(child: Column, literals: Column) -> Column:
     """`"name":value`, null if no value is a literal of the configured type.
 
     Plain text, the usual case, takes one serialiser call for all values of the field.
@@ -128,13 +134,8 @@ def _field_json(child: Column) -> Column:
     many = F.size(child["values"]) > 1
     texts = F.to_json(F.transform(child["values"], lambda v: v["content"]))
     plain = R.let(texts, lambda t: F.when(many, t).otherwise(F.btrim(t, F.lit("[]"))))
-    other = R.array_or_scalar(
-        F.filter(
-            F.transform(child["values"], lambda v: _value_json(child, v)), lambda json: json.isNotNull()
-        )
-    )
-    is_plain = (child["kind"] == "attribute") & (child["type"] == "string")
-    return F.concat(child["key"], F.when(is_plain, plain).otherwise(other))
+    other = R.array_or_scalar(F.filter(literals, lambda json: json.isNotNull()))
+    return F.concat(child["key"], F.when(literals.isNull(), plain).otherwise(other))
 
 
 def build_records(
@@ -159,18 +160,22 @@ def build_records(
         names = ("name", "key", "kind", "type")
         return F.struct(*[field[n].alias(n) for n in names], values.alias("values"))
 
+    # Steps that no field of the configuration needs are left out of the plan.
+    fields = [f for config in configs for index in config.indexes for root in index.roots for f in root.fields]
+    has_predicates = any(path_predicates(steps) for f in fields for steps in f.paths)
+    has_mixed = any(len({steps[-1].attribute for steps in f.paths}) > 1 for f in fields)
     # Each step binds the one before to a lambda variable, so nothing is computed twice.
     selected = F.zip_with(
         F.slice("fields", F.lit(1), F.size("field_cfg")),
         F.col("field_cfg"),
-        lambda values, field: with_values(field, _selected(values, field)),
+        lambda values, field: with_values(field, _selected(values, field) if has_predicates else values),
     )
     present = F.filter(selected, lambda child: F.coalesce(F.size(child["values"]), F.lit(0)) > 0)
     # Fields are configured objects first, and the sort keeps that order for equal nodes.
     ordered = F.array_sort(
         present, lambda a, b: F.signum(a["values"][0]["ord"] - b["values"][0]["ord"]).cast("int")
     )
-    children = F.transform(ordered, lambda child: with_values(child, _merged(child)))
+    children = F.transform(ordered, lambda child: with_values(child, _merged(child))) if has_mixed else ordered
     node_ids = F.filter(F.element_at("fields", -1), lambda v: v["content"] != "")
     if markers:
         rows = shredded.withColumn("fields", F.when(F.col("scope").isNotNull(), F.col("fields"))).join(configured, "scope", "left")
@@ -195,6 +200,8 @@ def build_records(
     if drop_empty:
         out = out.where((F.size("children") > 0) | F.col("scope").isNull() if markers else F.size("children") > 0)
     out = out.withColumn("object_id", R.object_id("user_node_id", "collection_id", "document_id", "node_id"))
+    # Records and counts of bad literals both read these.
+    out = out.withColumn("_literals", F.transform("children", _literals))
     members = F.concat(
         F.array(
             F.concat(F.lit('"objectID":'), R.json_string("object_id")),
@@ -202,16 +209,15 @@ def build_records(
             F.concat(F.lit('"documentID":'), R.document_id_json("user_document_id", "document_id", numeric)),
             F.concat(F.lit('"visible_by":'), R.json_string("visible_by")),
         ),
-        F.transform("children", _field_json),
+        F.zip_with("children", "_literals", _field_json),
     )
     # `array_join` leaves out nulls: a missing visible_by, a field without a valid literal.
     record_json = F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
     bad = F.aggregate(
-        "children",
+        "_literals",
         F.lit(0),
-        lambda n, child: n + F.when(
-            (child["kind"] == "attribute") & (child["type"] != "string"),
-            F.size(F.filter(child["values"], lambda v: R.typed_json(v["content"], child["type"]).isNull())),
+        lambda n, literals: n + F.when(
+            literals.isNotNull(), F.size(F.filter(literals, lambda json: json.isNull()))
         ).otherwise(0),
     )
     out = (
@@ -220,6 +226,7 @@ def build_records(
         .withColumn("doc_key", R.doc_key("user_document_id", "document_id"))
         .withColumn("node_key", R.node_key("user_node_id", "node_id"))
         .withColumn("md5", F.md5("record_json"))
+        .drop("_literals")
     )
     if mode == "fail":
         out = out.withColumn(
@@ -239,7 +246,7 @@ def extract_records(
     drop_empty: bool = False,
 ) -> DataFrame:
     """Documents (`collection`, `collection_id`, `document_id`, `xml`) to records."""
-    shredded = shred_documents(resolve_config(documents, configs), configs, on_malformed)
+    shredded = shred_documents(resolve_config(documents, configs), configs, on_malformed, markers=False)
     return build_records(shredded, configs, mode, drop_empty)
 
 
