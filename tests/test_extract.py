@@ -214,3 +214,31 @@ def test_literals_are_typed_once_and_only_root_objects_leave_the_tasks(spark):
     assert sorted((json.loads(r.record_json).get("n"), json.loads(r.record_json).get("d"), r.bad_literals)
                   for r in records.collect() if "n" in json.loads(r.record_json)) == [(4, 86400000, 1)]
     assert sorted(r.bad_literals for r in records.collect()) == [1, 1]
+
+
+def test_batches_of_documents_are_bounded_in_bytes(spark):
+    from xmlindex.operators import shred
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for setting, kept in (("64m", str(shred._INPUT_BYTES)), ("1m", "1m")):
+            spark.conf.set(key, setting)
+            text = F.concat(F.lit("<x>"), F.repeat(F.lit("a"), 20_000), F.lit("</x>"))
+            documents = spark.range(0, 1000, 1, 1).select(F.col("id").alias("document_id"), text.alias("xml"))
+            assert shred_xml(documents, ["/x"]).agg(F.count("*"), F.min(F.length("value"))).first()[:] == (1000, 20_000)
+            assert spark.conf.get(key) == kept
+            sizes = documents.mapInArrow(
+                lambda batches: (b.select([]).from_pydict({"size": [b.nbytes]}) for b in batches), "size long")
+            assert max(r.size for r in sizes.collect()) <= shred._INPUT_BYTES + 100_000
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_a_batch_of_many_small_values_is_bounded():
+    from xmlindex.operators import shred
+
+    builder = shred._BatchBuilder()
+    while not builder.full():
+        builder.add(0, [0, None, None, [[1, True, "1.1", 0, "a", None] * 100]], None, None)
+    assert len(builder.values) // shred._MEMBERS < 50_000
