@@ -536,3 +536,59 @@ def test_token_files_leave_no_staged_frames(spark, tmp_path):
     token_files.write_texts(df, str(tmp_path / "t"), TOKENIZER, END_ID)
     assert token_files.read_tokens(spark, str(tmp_path / "t")).count() == 3
     assert set(folder.glob("frames-*")) == before
+
+
+def test_token_files_go_from_encoder_to_shard_without_a_copy_or_the_texts(spark, tmp_path, monkeypatch):
+    from xmlindex import session
+
+    def no_copy(*_):
+        raise AssertionError("something is staged")
+
+    carried = []
+
+    def encode(df, *args, **named):
+        carried.append(set(named.get("carry") or df.columns))
+        return bpe.encode_texts(df, *args, **named)
+
+    monkeypatch.setattr(session, "staging_path", no_copy)
+    monkeypatch.setattr(token_files, "encode_texts", encode)
+    rng = random.Random(3)
+    long = " ".join(rng.choice("abcdefgh") * 3 for _ in range(9000))  # more than a leaf
+    texts = [long, None, *("x" * rng.randint(0, 9) for _ in range(500))]
+    rows = [(rng.choice([None, -3, 7, *range(60)]), t, "en", "s", "x") for t in texts]
+    path = str(tmp_path / "t")
+    token_files.write_texts(spark.createDataFrame(rows, SCHEMA).repartition(3), path, PATH, 2)
+    assert {"doc_id", "tie"} in carried and not any({"doc_id", "text"} <= c for c in carried)
+
+    got = sorted(token_files.read_tokens(spark, path).collect(), key=lambda r: r["start"])
+    assert Counter((r["doc_id"], tuple(r["ids"])) for r in got) == Counter((i, (*reference(t), 2)) for i, t, *_ in rows)
+    assert [r["start"] for r in got] == [sum(len(r["ids"]) for r in got[:n]) for n in range(len(got))]
+    order = [(r["doc_id"] is not None, r["doc_id"] or 0) for r in got]
+    assert order == sorted(order)
+    blocks = spark.read.parquet(f"{path}/blocks").orderBy("shard", "block").collect()
+    assert {b["shard"] for b in blocks} == {0, 1}
+    assert min(Counter(b["shard"] for b in blocks for _ in b["doc_ids"]).values()) > 100
+
+
+def test_token_files_cut_one_id_by_its_texts(spark, tmp_path):
+    rows = [(5, f"text {i}", "en", "s", "x") for i in range(400)]
+    token_files.write_texts(spark.createDataFrame(rows, SCHEMA), str(tmp_path / "t"), PATH, 2)
+    got = token_files.read_tokens(spark, str(tmp_path / "t")).collect()
+    assert Counter(tuple(r["ids"]) for r in got) == Counter((*reference(t), 2) for _, t, *_ in rows)
+    assert {b["shard"] for b in spark.read.parquet(f"{tmp_path}/t/blocks").collect()} == {0, 1}
+    assert len(token_files.read_document(spark, str(tmp_path / "t"), 5)) == 400
+
+    # Ids without a tie of their own are ordered by a hash of them.
+    ids = spark.createDataFrame([(i % 3 or None, [i, i + 1] if i % 7 else None) for i in range(300)], "doc_id long, ids array<int>")
+    token_files.write_tokens(ids, str(tmp_path / "u"), 1 << 17, b"")
+    got = sorted(token_files.read_tokens(spark, str(tmp_path / "u")).collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in got] == [None] * 100 + [1] * 100 + [2] * 100
+    assert Counter(tuple(r["ids"]) for r in got) == Counter(tuple(r["ids"] or ()) for r in ids.collect())
+
+
+def test_encoder_carries_what_it_is_asked_to(spark):
+    df = documents(spark, ["one two", None, "x" * 200])
+    encoded = bpe.encode_texts(df, PATH, carry=["doc_id", "ids"], leaf_chars=64)
+    assert encoded.columns == ["doc_id", "ids"]
+    assert {r["doc_id"]: r["ids"] for r in encoded.collect()} == {0: reference("one two"), 1: [], 2: reference("x" * 200)}
+    assert "text" in bpe.encode_texts(df, PATH).columns

@@ -36,9 +36,11 @@ def arrow_rows(lists: pa.ListArray) -> Iterator[np.ndarray]:
 
 
 def encode_texts(
-    df: DataFrame, tokenizer: str, *, text: str = "text", output: str = "ids", leaf_chars: int = LEAF_CHARS
+    df: DataFrame, tokenizer: str, *, text: str = "text", output: str = "ids", carry: list[str] | None = None,
+    leaf_chars: int = LEAF_CHARS,
 ) -> DataFrame:
-    """Add `output` array<int>: the ids of the whole text as the tokenizer file's library gives them.
+    """The columns `carry` (default: all) and `output` array<int>: the ids of the whole text as the
+    tokenizer file's library gives them.
 
     A text of up to `leaf_chars` characters is one leaf and is encoded where it is read. A longer
     one is cut into leaves that are dealt out over all tasks; then its leaves' ids meet again.
@@ -47,9 +49,10 @@ def encode_texts(
 
     Null text and empty text: no ids. Repeated rows stay repeated. An empty table gives an empty
     table. Other columns are kept, whatever their names; one that is called `output` is replaced.
-    A document's ids are one row, so the longest document bounds the memory of a task.
+    `carry` without the text keeps whole texts out of both shuffles, where they would travel beside
+    their leaves. A document's ids are one row, so the longest document bounds the memory of a task.
     """
-    kept = [c for c in df.columns if c.lower() != output.lower()]
+    kept = [c for c in (df.columns if carry is None else carry) if c.lower() != output.lower()]
     source = df.select(
         F.struct(*(F.col(f"`{c}`") for c in kept)).alias("kept"), whole_text(f"`{text}`").alias("whole")
     )

@@ -388,9 +388,9 @@ def pack_texts(
     Columns: those of `df` but the text, then piece, start, length, ids_crc32, sequence_id and
     offset; `with_ids` adds the ids. Null text: empty, so one piece of the end id alone.
     """
-    ids = encode_texts(df, tokenizer, text=text, output="ids").withColumn("ids", F.concat("ids", F.array(F.lit(end_id))))
-    others = [c for c in ids.columns if c.lower() not in (text.lower(), "ids")]
-    pieces = cut_pieces(ids.select(*(F.col(f"`{c}`") for c in others), "ids"), capacity, with_ids=with_ids)
+    others = [c for c in df.columns if c.lower() not in (text.lower(), "ids")]
+    encoded = encode_texts(df, tokenizer, text=text, output="ids", carry=others)
+    pieces = cut_pieces(encoded.withColumn("ids", F.concat("ids", F.array(F.lit(end_id)))), capacity, with_ids=with_ids)
     return pack(materialize(pieces, "pieces"), capacity, how=how)
 
 

@@ -17,22 +17,23 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from xmlindex.llm.bpe import arrow_rows, encode_texts, slices
 from xmlindex.llm.support import whole_text
 from xmlindex.llm.tokenizer import encoder
-from xmlindex.session import Staging
 
 BLOCK_BYTES = 1 << 18
 LEVEL = 3
+# Documents that a shard has at least, on average.
+SHARD_ROWS = 100
 
 _BLOCKS = (
     "shard long, block long, first_id long, last_id long, dictionary string, payload binary, "
@@ -75,25 +76,49 @@ def _dictionary(data: bytes) -> zstandard.ZstdCompressionDict | None:
     return zstandard.ZstdCompressionDict(data) if data else None
 
 
+def shard_keys(keys: DataFrame) -> list[tuple]:
+    """Where the shards after the first begin, ascending: keys of `doc_id` and `tie` that cut the rows evenly.
+
+    One row per shard is collected, at most as many as the session has shuffle partitions.
+    """
+    most = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shards = max(1, min(most, keys.count() // SHARD_ROWS))
+    if shards == 1:
+        return []
+    ranges = keys.repartitionByRange(shards, "doc_id", "tie").groupBy(F.spark_partition_id().alias("range"))
+    return sorted(_key(*r["key"]) for r in ranges.agg(F.min(F.struct("doc_id", "tie")).alias("key")).collect())[1:]
+
+
+def _key(doc_id: int | None, tie: int) -> tuple:
+    """Sorts as Spark does, null first."""
+    return doc_id is not None, doc_id or 0, tie
+
+
 def write_tokens(
     encoded: DataFrame, path: str, vocabulary: int, data: bytes, *, doc_id: str = "doc_id", ids: str = "ids",
-    block_bytes: int = BLOCK_BYTES,
+    tie: str | None = None, keys: DataFrame | None = None, block_bytes: int = BLOCK_BYTES,
 ) -> None:
     """Write the documents' ids in ascending order of `doc_id` as a token data set; `data` is the
     dictionary.
 
-    Frames are compressed where the ids are and staged, so only compressed bytes are sorted.
-    Null ids: a document without ids. Null `doc_id`: before all others. Ties and repeated rows:
-    each is a document; rows of one id are ordered by a hash of their frames, which also lets
-    them lie in several shards. An empty table gives an empty `blocks` table. Other columns are
-    not written.
+    Frames are compressed where the ids are, and only compressed bytes are sorted. Null ids: a
+    document without ids. Null `doc_id`: before all others. Ties and repeated rows: each is a
+    document; rows of one id are ordered by the long column `tie` (default: a hash of their ids),
+    which also lets them lie in several shards. An empty table gives an empty `blocks` table.
+    Other columns are not written.
+
+    Where shards begin is found first, from `keys`: columns `doc_id` and `tie` of the same rows.
+    Without it they come from `encoded`, which is then run more than once. Frames need no copy on
+    disk that way, for they go from where they are made to their shard.
     """
     spark = encoded.sparkSession
     width = _width(vocabulary)
     documents = encoded.select(
         F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
+        (F.xxhash64(F.col(f"`{ids}`")) if tie is None else F.col(f"`{tie}`")).alias("tie"),
         F.coalesce(F.col(f"`{ids}`"), F.array().cast("array<int>")).alias("ids"),
     )
+    begins = shard_keys(documents.select("doc_id", "tie") if keys is None else keys)
     digest = hashlib.sha256(data).hexdigest()
     spark.createDataFrame([(digest, data, width)], "hash string, data binary, width int").coalesce(1).write.parquet(
         f"{path}/dictionary"
@@ -105,10 +130,15 @@ def write_tokens(
             arrays = list(arrow_rows(batch.column("ids")))
             frames = pa.array([frame(a.astype(f"<u{width}").tobytes()) for a in arrays], pa.binary())
             lengths = pa.array([len(a) for a in arrays], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lengths, frames], names=["doc_id", "length", "frame"])
+            named = zip(batch.column("doc_id").to_pylist(), batch.column("tie").to_pylist())
+            shards = pa.array([bisect_right(begins, _key(*one)) for one in named], pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [shards, batch.column("doc_id"), batch.column("tie"), lengths, frames],
+                names=["shard", "doc_id", "tie", "length", "frame"],
+            )
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, block, before = TaskContext.get().partitionId(), 0, 0
+        shard, block, before = 0, 0, 0
         held: list[tuple] = []
         held_bytes = 0
 
@@ -133,21 +163,21 @@ def write_tokens(
             ("starts", longs), ("lengths", longs),
         ])
         for batch in slices(batches):
-            for row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "length", "frame"))):
-                held.append(row)
+            for of, *row in zip(*(batch.column(c).to_pylist() for c in ("shard", "doc_id", "length", "frame"))):
+                if of != shard:
+                    if held:
+                        yield take()
+                    shard, block, before = of, 0, 0
+                held.append(tuple(row))
                 held_bytes += len(row[2]) + 64
                 if held_bytes >= block_bytes:
                     yield take()
         if held:
             yield take()
 
-    with Staging() as staging:
-        frames = documents.mapInArrow(compress, "doc_id long, length long, frame binary").withColumn("tie", F.xxhash64("frame"))
-        staged = staging.write(frames, "frames")
-        # What encoding shuffled is not read again: Spark's cleaner deletes it once the driver has collected its plan.
-        spark._jvm.System.gc()
-        ordered = staged.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-        ordered.select("doc_id", "length", "frame").mapInArrow(blocks, _BLOCKS).write.parquet(f"{path}/blocks")
+    frames = documents.mapInArrow(compress, "shard int, doc_id long, tie long, length long, frame binary")
+    ordered = frames.repartitionById(len(begins) + 1, "shard").sortWithinPartitions("shard", "doc_id", "tie")
+    ordered.select("shard", "doc_id", "length", "frame").mapInArrow(blocks, _BLOCKS).write.parquet(f"{path}/blocks")
 
 
 def write_texts(
@@ -157,14 +187,18 @@ def write_texts(
     """Encode whole texts, append `end_id` to each and write them as a token data set."""
     vocabulary = max(encoder(tokenizer).size, end_id + 1)
 
-    def ids(frame: DataFrame) -> DataFrame:
-        encoded = encode_texts(frame, tokenizer, text=text, output="ids")
+    def ids(frame: DataFrame, carry: list[str]) -> DataFrame:
+        encoded = encode_texts(frame, tokenizer, output="ids", carry=carry)
         return encoded.withColumn("ids", F.concat("ids", F.array(F.lit(end_id))))
 
-    sample = sample_texts(df, text=text, rows=sample_rows, chars=sample_chars).withColumnRenamed("text", text)
-    documents = df.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias(text))
+    sample = sample_texts(df, text=text, rows=sample_rows, chars=sample_chars)
+    trained = train_dictionary(ids(sample, ["text"]), vocabulary)
+    documents = df.select(
+        F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.xxhash64(whole_text(f"`{text}`")).alias("tie"),
+        F.col(f"`{text}`").alias("text"),
+    )
     write_tokens(
-        ids(documents).select("doc_id", "ids"), path, vocabulary, train_dictionary(ids(sample), vocabulary)
+        ids(documents, ["doc_id", "tie"]), path, vocabulary, trained, tie="tie", keys=documents.select("doc_id", "tie")
     )
 
 
