@@ -11,9 +11,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from xmlindex.session import gathered
 from xmlindex.sources.files import qualified
+from xmlindex.sources.listing import can_list, stream_tree
 
 # What Spark's binaryFile source yields; streams need it spelled out.
 _FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+# Bytes of a batch for each of its tasks.
+_TASK_BYTES = 32 << 20
 
 
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
@@ -54,7 +57,16 @@ def stream_documents(spark: SparkSession, path: str, collection: str = "/db", pa
 
     A batch takes the files of about `batch_bytes`: what a batch costs beside its documents does not
     depend on their number. With `files_per_batch` it takes so many files instead.
+
+    Tasks list the files and read them (see `listing`), so the driver's memory does not grow with their number.
+    A file system that only Spark reaches is left to Spark's own source, which holds them all at the driver.
     """
+    root = qualified(spark, path)
+    if can_list(root):
+        weight, limit = ("length", batch_bytes) if files_per_batch is None else (None, files_per_batch)
+        cores = spark.sparkContext.defaultParallelism
+        tasks = cores if files_per_batch else max(cores, -(-batch_bytes // _TASK_BYTES))
+        return _from_files(stream_tree(spark, root, pattern, weight, limit, tasks), path, collection)
     limit = ("maxBytesPerTrigger", batch_bytes) if files_per_batch is None else ("maxFilesPerTrigger", files_per_batch)
     files = (
         spark.readStream.format("binaryFile").schema(T._parse_datatype_string(_FILE_SCHEMA))

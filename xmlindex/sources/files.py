@@ -52,10 +52,18 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 
 def publish_text(spark: SparkSession, path: str, text: str) -> bool:
     """Put a finished file at `path`; False if there is one already. Nobody sees half a file."""
-    system = _system(spark, path)
-    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.getUri(), spark._jsc.hadoopConfiguration())
     draft = f"{path}.{uuid.uuid4().hex}.draft"
     write_text(spark, draft, text)
+    if claim(spark, draft, path):
+        return True
+    delete(spark, draft)
+    return False
+
+
+def claim(spark: SparkSession, draft: str, path: str) -> bool:
+    """Move a file or folder to `path`; False if there is one already."""
+    system = _system(spark, path)
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.getUri(), spark._jsc.hadoopConfiguration())
     no_options = spark._sc._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
     try:
         context.rename(_path(spark, draft), _path(spark, path), no_options)
@@ -63,7 +71,6 @@ def publish_text(spark: SparkSession, path: str, text: str) -> bool:
     except Py4JJavaError as error:
         if "FileAlreadyExists" not in error.java_exception.getClass().getName():
             raise
-        delete(spark, draft)
         return False
 
 
@@ -105,6 +112,15 @@ def modified(spark: SparkSession, path: str) -> float:
     return _system(spark, path).getFileStatus(_path(spark, path)).getModificationTime() / 1000
 
 
+def set_modified(spark: SparkSession, path: str, millis: int) -> None:
+    """Give a file another time, where the file system keeps one."""
+    _system(spark, path).setTimes(_path(spark, path), millis, -1)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    _system(spark, path).mkdirs(_path(spark, path))
+
+
 def age(spark: SparkSession, path: str) -> float:
     """Seconds since a file was last written."""
     return time.time() - modified(spark, path)
