@@ -58,7 +58,8 @@ def stream_documents(spark: SparkSession, path: str, collection: str = "/db", pa
     A batch takes the files of about `batch_bytes`: what a batch costs beside its documents does not
     depend on their number. With `files_per_batch` it takes so many files instead.
 
-    Tasks list the files and read them (see `listing`), so the driver's memory does not grow with their number.
+    Tasks list the files, when a query starts and about every ten seconds while it waits, and read them (see
+    `listing`), so the driver's memory does not grow with their number.
     A file system that only Spark reaches is left to Spark's own source, which holds them all at the driver.
     """
     root = qualified(spark, path)
